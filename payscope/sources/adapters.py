@@ -47,19 +47,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def ensure_parallelism(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A fact table stored as one file with one row group is read by a single
+    task, which then runs every narrow operator (joins to broadcast tables,
+    regexes over text) on one core.  Hash-partitioning on ``key`` fixes
+    that without the per-partition sort a round-robin repartition needs for
+    deterministic retries, and when ``key`` is the posting key the dedup
+    window downstream reuses this partitioning instead of shuffling again.
+    On a real input of many files or row groups the scan already has at
+    least that many splits and nothing is added.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, key)
+    return df
+
+
+def fact_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
+    """Scan only ``columns`` of a fact table (the first is its key), then
+    apply the parallelism guard."""
+    return ensure_parallelism(table(spark, sf_dir, name).select(*columns), columns[0])
+
+
 def _money_text(x) -> F.Column:
     return F.concat(F.lit("$"), x.cast("decimal(12,2)").cast("string"))
 
 
 def postings_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw postings (snake_case names, all text like the CSV) from lineitem."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = fact_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate")
+        "l_extendedprice", "l_returnflag", "l_shipdate"])
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    orders = fact_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
 
     supp_nation = supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey)
     j = (li.join(part, li.l_partkey == part.p_partkey)
@@ -107,7 +131,7 @@ def postings_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``Annual_Salary_Mid`` is ``n_chars`` as a double.  The text also serves
     as qualification text for the contextual-skill rules.
     """
-    d = table(spark, sf_dir, "documents")
+    d = fact_table(spark, sf_dir, "documents", ["doc_id", "source", "lang", "text", "n_chars"])
     return d.select(
         F.col("doc_id").alias(SNAKE.job_id),
         F.col("source").alias(SNAKE.agency),
