@@ -1,0 +1,197 @@
+import datetime as dt
+import math
+import random
+import statistics
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from payscope.functions.fdist import f_survival
+from payscope.operators import anova as A
+from payscope.operators import features as T
+from payscope.operators import kpis as K
+from payscope.operators import profile as P
+from payscope.operators.aggregates import exact_median
+
+
+def test_qualification_rules(spark):
+    df = spark.createDataFrame([("A Masters degree and diploma",), ("BACCALAUREATE",), ("High school Diploma",),
+                                ("matriculation",), ("Bachelors",), (None,)], "q string")
+    got = [r.Qualification_Category for r in T.categorize_qualification(df, "q").collect()]
+    assert got == ["Masters Degree", "Bachelors Degree", "Diploma", "Matriculation", "Experienced", "Experienced"]
+
+
+def test_pay_bands_and_null_salary(spark):
+    # median of [80, 90, 100, 110, 111, 200] by percentile_approx is 100 (lower middle)
+    vals = [80.0, 90.0, 100.0, 110.0, 111.0, 200.0, None]
+    df = spark.createDataFrame([("X", v) for v in vals], "Qualification_Category string, Annual_Salary_Mid double")
+    got = {r.Annual_Salary_Mid: r.Salary_Qual_Flag for r in T.flag_salary_vs_qualification(df).collect()}
+    assert got == {80.0: "underpaid", 90.0: "below standard", 100.0: "industry standard",
+                   110.0: "industry standard", 111.0: "above standard", 200.0: "highly paid",
+                   None: "highly paid"}
+    labelled = T.flag_salary_vs_qualification(df, null_label="unknown").where("Annual_Salary_Mid is null")
+    assert labelled.collect()[0].Salary_Qual_Flag == "unknown"
+
+
+def test_median_join_is_broadcast(spark):
+    df = spark.createDataFrame([("X", 1.0)], "Qualification_Category string, Annual_Salary_Mid double")
+    plan = T.flag_salary_vs_qualification(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan
+
+
+def test_combined_text(spark):
+    df = spark.createDataFrame([("Python", None, "SQL")], "a string, b string, c string")
+    assert T.combined_text(df, ["a", "b", "c"]).collect()[0].combined_text == "python  sql"
+
+
+def test_salary_distribution_having_and_median(spark):
+    rows = [("A", 1.0), ("A", 2.0), ("A", 3.0), ("A", 4.0), ("B", 5.0), ("C", 1.5), ("C", None)]
+    df = spark.createDataFrame(rows, "c string, s double")
+    got = {r.c: r for r in K.salary_distribution(df, "c", "s").collect()}
+    assert set(got) == {"A", "C"}
+    assert got["A"].median_salary == 2.0 and got["A"].avg_salary == 3.0 and got["A"].job_count == 4
+    assert got["C"].job_count == 2 and got["C"].median_salary == 1.5
+    exact = {r.c: r for r in K.salary_distribution_exact(df, "c", "s").collect()}
+    assert exact["A"].median == 2.0 and exact["A"]["mean"] == 2.0  # 2.5 rounds half-even to 2
+    assert exact["C"]["count"] == 1 and exact["B"]["max"] == 5.0
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(-5, 5)), min_size=1, max_size=40))
+def test_exact_median_property(spark, rows):
+    df = spark.createDataFrame([(k, float(v)) for k, v in rows], "k string, v double")
+    got = {r.k: r.median for r in exact_median(df, ["k"], "v").collect()}
+    exp = {}
+    for k in {k for k, _ in rows}:
+        exp[k] = statistics.median([float(v) for kk, v in rows if kk == k])
+    assert got == exp
+
+
+def test_exact_median_hot_key(spark):
+    n = 20001
+    df = spark.range(n).select(F.lit("hot").alias("k"), (F.col("id") % 997).cast("double").alias("v"))
+    got = exact_median(df, ["k"], "v").collect()[0].median
+    assert got == float(np.median([i % 997 for i in range(n)]))
+
+
+def test_agency_insights(spark):
+    d = dt.date
+    rows = [("A", d(2020, 1, 1), 100.0), ("A", d(2019, 6, 1), 200.0), ("A", d(2019, 1, 1), 300.0),
+            ("A", d(2017, 1, 1), 1e6), ("B", d(2020, 1, 1), 50.0), (None, d(2020, 1, 1), 10.0),
+            (None, d(2020, 1, 2), 10.0), (None, d(2020, 1, 3), 10.0)]
+    df = spark.createDataFrame(rows, "a string, d date, s double")
+    for exact in (False, True):
+        out = K.agency_insights(df, "a", "d", "s", exact=exact).collect()
+        assert [r.a for r in out] == ["A"]
+        r = out[0]
+        assert (r.job_count_2yr, r.avg_salary_2yr, r.High_salary_per_agency) == (3, 200.0, 300.0)
+        assert r.salary_premium == r.High_salary_per_agency - r.avg_salary_2yr == 100.0
+        assert r.premium_pct_per_agency == 50.0
+
+
+def test_top_paid_per_group(spark):
+    rows = [("A", "x", 1, 10.4, "t1"), ("A", "x", 2, 10.6, "t2"), ("A", "x", 3, 10.6, "t3"),
+            ("A", "y", 4, None, "t4"), ("B", "x", 5, 2.5, "t5")]
+    df = spark.createDataFrame(rows, "a string, c string, id int, s double, t string")
+    out = [tuple(r) for r in K.top_paid_per_group(df, ["a", "c"], "s", ["id", "t"], "id", ["s"]).collect()]
+    assert out == [("A", "x", 11.0, 3, "t3"), ("B", "x", 2.0, 5, "t5")]
+
+
+def test_recent_avg_by_group(spark):
+    d = dt.date
+    rows = [("A", "x", d(2020, 1, 1), 1.0), ("A", "x", d(2019, 1, 1), 2.0), ("A", "y", d(2020, 1, 1), 5.0),
+            ("A", "x", d(2016, 1, 1), 100.0)]
+    df = spark.createDataFrame(rows, "a string, c string, d date, s double")
+    out = K.recent_avg_by_group(df, ["a", "c"], "d", "s").collect()
+    assert [(r.a, r.c, r.job_count, r.avg_salary, r.from_date, r.to_date) for r in out] == [
+        ("A", "x", 2, 2.0, d(2018, 1, 1), d(2020, 1, 1))]
+
+
+def test_highest_paid_skills_counts_mentions(spark):
+    rows = [(1, "python python sql", 100.0), (2, "python", 200.0), (3, "sql", None), (4, "java", 50.0),
+            (5, "sql", 40.0), (6, "sql", 60.0)]
+    df = spark.createDataFrame(rows, "id int, t string, s double")
+    got = {r.skill: r for r in K.highest_paid_skills(df, "t", "id", "s", ["python", "sql", "java"], 2).collect()}
+    g = (100 + 200 + 50 + 40 + 60) / 5
+    assert got["python"].job_count == 3 and got["python"].unique_jobs == 2
+    assert got["python"].avg_salary == pytest.approx(400 / 3)
+    assert got["python"].avg_salary - got["python"].salary_premium == pytest.approx(g)
+    assert got["sql"].job_count == 3 and "java" not in got
+
+
+def test_highest_paid_skills_generalized(spark):
+    rows = [(1, "python and sql", "engineering", 100.0), (2, "python", None, 201.0), (3, "python", None, 300.0),
+            (4, "nothing", None, 1000.0)]
+    df = spark.createDataFrame(rows, "id int, t string, q string, s double")
+    got = {r.skill: r for r in K.highest_paid_skills_generalized(df, "t", "q", "id", "s", min_jobs=1).collect()}
+    assert got["data_programming_python"].job_count == 3
+    assert got["data_programming_python"].median_salary == 201.0
+    assert got["design"].avg_salary == 100.0
+    overall = (100 + 201 + 300 + 1000) / 4
+    assert got["data_programming_python"].salary_premium == pytest.approx(200.0 - overall)
+
+
+def test_value_counts_and_top(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)] + [("c",)] * 5, "v string")
+    got = {r.v: (r["count"], r.share_pct, r.percentage) for r in P.value_counts(df, "v").collect()}
+    assert got == {"a": (2, 25.0, "25.0%"), "b": (1, 12.5, "12.5%"), "c": (5, 62.5, "62.5%")}
+    top = [r.v for r in K.top_categories(df, "v", 2).collect()]
+    assert top == ["c", "a"]
+
+
+def test_profile_and_distinct(spark):
+    df = spark.createDataFrame([("x", None), ("y", 1)], "a string, `b c` int")
+    rows = [tuple(r) for r in P.profile(df).collect()]
+    assert rows == [(0, "a", "string", 2, 2), (1, "b c", "int", 2, 1)]
+    assert sorted(r.a for r in P.distinct_values(df.union(df), "a").collect()) == ["x", "y"]
+
+
+def test_global_stats(spark):
+    df = spark.createDataFrame([(1.0, dt.date(2020, 1, 1)), (None, dt.date(2021, 1, 1))], "s double, d date")
+    r = K.global_stats(df, "s", "d").collect()[0]
+    assert (r.salary_count, r.global_avg_salary, r.latest_date) == (1, 1.0, dt.date(2021, 1, 1))
+
+
+@pytest.mark.parametrize("f,d1,d2", [(3.0, 2, 10), (0.5, 2, 7), (12.0, 2, 40)])
+def test_f_survival_closed_form(f, d1, d2):
+    # for d1 = 2 the upper tail is (1 + 2 f / d2) ** (-d2 / 2)
+    assert f_survival(f, d1, d2) == pytest.approx((1 + 2 * f / d2) ** (-d2 / 2), rel=1e-10)
+
+
+@pytest.mark.parametrize("f,d1,d2", [(2.5, 4, 30), (1.1, 3, 12), (30.0, 4, 1600), (0.2, 6, 9)])
+def test_f_survival_numeric_integral(f, d1, d2):
+    x = np.linspace(f, f + 400, 400001)
+    logpdf = (0.5 * d1 * math.log(d1) + 0.5 * d2 * math.log(d2) + (0.5 * d1 - 1) * np.log(x)
+              - 0.5 * (d1 + d2) * np.log(d2 + d1 * x)
+              - (math.lgamma(d1 / 2) + math.lgamma(d2 / 2) - math.lgamma((d1 + d2) / 2)))
+    y = np.exp(logpdf)
+    integral = float(np.sum((y[1:] + y[:-1]) * np.diff(x)) / 2)
+    assert f_survival(f, d1, d2) == pytest.approx(integral, rel=1e-4, abs=1e-12)
+
+
+def test_anova_against_direct_formulas(spark):
+    random.seed(7)
+    groups = {"a": [random.gauss(10, 2) for _ in range(30)], "b": [random.gauss(11, 2) for _ in range(20)],
+              "c": [random.gauss(10.5, 3) for _ in range(25)]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [(None, 1.0), ("a", None)],
+                               "g string, v double")
+    r = A.anova_oneway(df, "g", "v").collect()[0]
+    allv = [v for vs in groups.values() for v in vs]
+    gm = sum(allv) / len(allv)
+    ssb = sum(len(vs) * (sum(vs) / len(vs) - gm) ** 2 for vs in groups.values())
+    ssw = sum(sum((v - sum(vs) / len(vs)) ** 2 for v in vs) for vs in groups.values())
+    f = (ssb / 2) / (ssw / (len(allv) - 3))
+    assert r.F_statistic == pytest.approx(f, rel=1e-9)
+    assert r.eta_squared == pytest.approx(ssb / (ssb + ssw), rel=1e-9)
+    assert r.p_value == pytest.approx(f_survival(f, 2, len(allv) - 3), rel=1e-9)
+    assert r.qual_groups == 3 and r.error is None
+    assert r.interpretation == ("significant" if r.p_value < 0.05 else "not significant")
+
+
+def test_anova_single_group(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "g string, v double")
+    r = A.anova_oneway(df, "g", "v").collect()[0]
+    assert r.F_statistic is None and r.p_value is None and r.error == A.INSUFFICIENT
