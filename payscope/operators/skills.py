@@ -75,8 +75,15 @@ def extract_mentions(df: DataFrame, text_col: str, keywords: Sequence[str] | Non
 
 
 def explode_skills(df: DataFrame, array_col: str, keep: Sequence[str], out: str = SKILL) -> DataFrame:
-    """One row per array element; rows with none disappear; empty skills dropped."""
-    return (df.select(F.explode(F.col(array_col)).alias(out), *keep)
+    """One row per array element; rows with none disappear; empty skills dropped.
+
+    ``explode_outer`` plus the null filter gives the same rows as
+    ``explode``, but keeps the optimizer from inferring a
+    ``size(array) > 0`` pre-filter: that filter would evaluate the (regex)
+    array expression a second time and can be pushed below a repartition
+    into the scan tasks.
+    """
+    return (df.select(F.explode_outer(F.col(array_col)).alias(out), *keep)
               .where(F.col(out).isNotNull() & (F.length(F.col(out)) > 0)))
 
 
