@@ -31,12 +31,15 @@ def annualize(value: Column, frequency: Column, unknown: str = "keep") -> Column
 
     ``unknown='keep'`` leaves values with any other frequency as they are
     (batch pipeline); ``unknown='null'`` nulls them (exploration variant).
+    Written as ``value * factor`` so the (often long) value expression
+    occurs once: when the optimizer inlines it into filters or grouping
+    keys, a branch per frequency would copy it each time.
     """
     if unknown not in ("keep", "null"):
         raise ValueError("unknown must be 'keep' or 'null'")
-    expr = None
-    for name, factor in ANNUAL_FACTORS.items():
-        branch = value if factor == 1 else value * F.lit(factor)
-        expr = (F.when(frequency == name, branch) if expr is None
-                else expr.when(frequency == name, branch))
-    return expr.otherwise(value) if unknown == "keep" else expr
+    factor = None
+    for name, f in ANNUAL_FACTORS.items():
+        factor = (F.when(frequency == name, F.lit(f)) if factor is None
+                  else factor.when(frequency == name, F.lit(f)))
+    factor = factor.otherwise(F.lit(1) if unknown == "keep" else F.lit(None).cast("int"))
+    return value * factor

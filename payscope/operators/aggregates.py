@@ -4,32 +4,89 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_MANT_BITS = 16
+_E_OFFSET = 2048          # exponents of finite doubles lie in [-1074, 1023]
+
+
+def with_value_bucket(df: DataFrame, value: str, out: str) -> DataFrame:
+    """Add an order-preserving bucket of a double column: sign, binary
+    exponent and the top 16 mantissa bits packed in one long (``a <= b``
+    implies ``bucket(a) <= bucket(b)``).
+
+    Pure arithmetic: scaling by a power of two is exact, and the exponent
+    from ``log2`` is corrected by one step either way, so no value lands in
+    a wrong bucket.  Built in small steps (one column each) so that every
+    expression is evaluated once and stays inside generated code.
+    """
+    v = F.col(value)
+    a = F.abs(v)
+    df = df.withColumn("_e0", F.floor(F.log2(a)))
+    df = df.withColumn("_p0", F.pow(F.lit(2.0), F.col("_e0")))
+    df = df.withColumn("_e", F.when(F.col("_p0") > a, F.col("_e0") - 1)
+                             .when(F.col("_p0") * 2 <= a, F.col("_e0") + 1)
+                             .otherwise(F.col("_e0")))
+    df = df.withColumn("_d", F.floor((a / F.pow(F.lit(2.0), F.col("_e")) - 1.0) * (1 << _MANT_BITS)))
+    top = F.lit(1 << 40)
+    e, d = F.col("_e"), F.col("_d")
+    pos = top * 3 + (e + _E_OFFSET) * (1 << _MANT_BITS) + d
+    neg = top * 1 + (F.lit(_E_OFFSET) - e) * (1 << _MANT_BITS) + ((1 << _MANT_BITS) - 1 - d)
+    # coalesce: the bucket is declared non-null, so a join on it infers no
+    # ``isnotnull(bucket)`` filter (which would be pushed, with the whole
+    # expression inlined, below the aggregation onto every input row)
+    bucket = F.when(v > 0, pos).when(v < 0, neg).otherwise(top * 2).cast("long")
+    df = df.withColumn(out, F.coalesce(bucket, F.lit(0).cast("long")))
+    return df.drop("_e0", "_p0", "_e", "_d")
+
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
     """Exact median per group (mean of the two middle values for even n).
 
-    Plan: rows are first collapsed to distinct ``(keys, value)`` pairs with
-    their multiplicity (partial aggregation before the shuffle, so a hot
-    group costs one row per distinct value, not one per posting).  A running
-    count over the sorted distinct values then locates the middle rank(s);
-    the window is sort-based and spills, it never holds a group in memory.
-    Groups with no non-null value produce no row.
+    Distributed two-level selection, with no group gathered in one task:
+
+    1. rows collapse to distinct ``(keys, value)`` pairs with their
+       multiplicity (map-side partial aggregation);
+    2. each pair gets an order-preserving value bucket (sign, exponent, top
+       16 mantissa bits); a histogram per ``(keys, bucket)`` and a running
+       sum over a group's buckets (at most a few thousand rows per group
+       for any data size) locate the one or two buckets holding the middle
+       ranks;
+    3. only pairs in those buckets are ranked exactly, partitioned by
+       ``(keys, bucket)``, so a hot group is spread over its buckets and a
+       task sees one bucket (a 1/65536 slice of a binary order of
+       magnitude) of one group.
+
+    Nulls and NaN are ignored; groups without values produce no row.
     """
     keys = list(keys)
     v = F.col(value)
-    counted = (df.where(v.isNotNull()).groupBy(*keys, value)
-                 .agg(F.count(F.lit(1)).alias("_c")))
-    ordered = Window.partitionBy(*keys).orderBy(value)
-    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = counted.select(*keys, value, "_c",
-                            F.sum("_c").over(running).alias("_hi"),
-                            F.sum("_c").over(whole).alias("_n"))
-    lo = F.col("_hi") - F.col("_c") + 1
+    pairs = with_value_bucket(
+        df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")),
+        value, "_b")
+    hist = pairs.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+    by_bucket = Window.partitionBy(*keys).orderBy("_b")
+    hist = hist.select(
+        *keys, "_b", "_bc",
+        F.sum("_bc").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
+        F.sum("_bc").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+         .alias("_n"))
     r1 = F.floor((F.col("_n") + 1) / 2)
     r2 = F.floor(F.col("_n") / 2) + 1
-    hit = ((lo <= r1) & (F.col("_hi") >= r1)) | ((lo <= r2) & (F.col("_hi") >= r2))
+    first = F.col("_cum") - F.col("_bc") + 1
+
+    def covers(lo: Column, hi: Column) -> Column:
+        return ((lo <= r1) & (hi >= r1)) | ((lo <= r2) & (hi >= r2))
+
+    targets = (hist.where(covers(first, F.col("_cum")))
+                   .select(*keys, "_b", (F.col("_cum") - F.col("_bc")).alias("_base"),
+                           r1.alias("_r1"), r2.alias("_r2")))
+    cand = pairs.join(targets, [*keys, "_b"])
+    within = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = cand.withColumn("_hi", F.col("_base") + F.sum("_c").over(within))
+    lo = F.col("_hi") - F.col("_c") + 1
+    hit = ((lo <= F.col("_r1")) & (F.col("_hi") >= F.col("_r1"))) | \
+          ((lo <= F.col("_r2")) & (F.col("_hi") >= F.col("_r2")))
     return ranked.where(hit).groupBy(*keys).agg(F.avg(value).alias(out))

@@ -103,10 +103,13 @@ def primary_category_clean(df: DataFrame, category: str, out: str = PRIMARY_CATE
                            unknown: str = "Unknown") -> DataFrame:
     """Null -> 'Unknown'; quotes/blanks stripped; head trimmed; capitalised."""
     c = F.col(category)
-    clean = F.btrim(c, F.lit("\"' \t\n"))
-    head = F.regexp_extract(clean, CATEGORY_HEAD, 0)
-    picked = F.when(head != "", strip_ws(head)).otherwise(strip_ws(clean))
-    return df.withColumn(out, F.when(c.isNull(), F.lit(unknown)).otherwise(capitalize_first(picked)))
+    df = df.withColumn("_clean", F.btrim(c, F.lit("\"' \t\n")))
+    df = df.withColumn("_head", F.regexp_extract(F.col("_clean"), CATEGORY_HEAD, 0))
+    picked = strip_ws(F.when(F.col("_head") != "", F.col("_head")).otherwise(F.col("_clean")))
+    df = df.withColumn("_picked", picked)
+    return (df.withColumn(out, F.when(c.isNull(), F.lit(unknown))
+                                .otherwise(capitalize_first(F.col("_picked"))))
+              .drop("_clean", "_head", "_picked"))
 
 
 def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -195,3 +195,27 @@ def test_anova_single_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "g string, v double")
     r = A.anova_oneway(df, "g", "v").collect()[0]
     assert r.F_statistic is None and r.p_value is None and r.error == A.INSUFFICIENT
+
+
+def test_value_bucket_is_monotone(spark):
+    vals = [-1e300, -3.5, -2.0, -1.9999999999, -1.0, -5e-324, 0.0, -0.0, 5e-324, 1e-310, 0.1, 0.5, 1.0,
+            1.0000000001, 1.9999999999999998, 2.0, 3.0, 4.0, 1023.99, 1024.0, 72500.5, 1e15, 1.7976931348623157e308]
+    from payscope.operators.aggregates import with_value_bucket
+    df = spark.createDataFrame([(x,) for x in vals], "v double")
+    got = [(r.v, r.b) for r in with_value_bucket(df, "v", "b").collect()]
+    s = sorted(got)
+    assert all(a[1] <= b[1] for a, b in zip(s, s[1:]))
+    assert len({b for v, b in got if v == 0}) == 1
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.floats(-1e9, 1e9, allow_nan=False, allow_infinity=False)),
+                min_size=1, max_size=60))
+def test_exact_median_continuous_values(spark, rows):
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.median for r in exact_median(df, ["k"], "v").collect()}
+    for k in {k for k, _ in rows}:
+        vals = sorted(v for kk, v in rows if kk == k)
+        n = len(vals)
+        exp = vals[n // 2] if n % 2 else (vals[n // 2 - 1] + vals[n // 2]) / 2
+        assert got[k] == pytest.approx(exp, rel=1e-12, abs=1e-300)
