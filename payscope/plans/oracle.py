@@ -284,6 +284,16 @@ SQL["T7_docs"] = w(DOCS) + f"""SELECT job_id,
 SQL["T8_docs"] = w(DOCS) + f"SELECT job_id, {joined(tech('combined_text'), 'skills')} FROM docs"
 _T9_SPLIT = (f"list_transform(list_filter(string_split_regex(lower(preferred_skills), '[;,|]'), "
              f"lambda x: length(trim(x, {WS})) > 2 AND NOT starts_with(x, 'http')), lambda x: trim(x, {WS}))")
+SQL["T5"] = w(*BASE_M2) + f"SELECT job_id, {joined(namespaced('combined_text', TAXONOMY), 'labels')} FROM m2"
+SQL["T6"] = w(*BASE_M2) + f"SELECT job_id, {joined(contextual('minimum_qual_requirements'), 'labels')} FROM m2"
+SQL["T7"] = w(*BASE_M2) + f"""SELECT job_id,
+  {joined(generalized('combined_text', 'minimum_qual_requirements', TAXONOMY), 'skills')} FROM m2"""
+SQL["T8"] = w(*BASE_M2) + f"""SELECT job_id, {joined(tech("concat_ws(' ', coalesce(preferred_skills, ''), "
+                                                    "coalesce(job_description, ''), coalesce(minimum_qual_requirements, ''))"),
+                                               'skills')} FROM m2"""
+SQL["T13"] = w(*BASE_M2) + f"""SELECT skill, job_id, Annual_Salary_Mid FROM (
+  SELECT unnest({_T4}) AS skill, job_id, Annual_Salary_Mid FROM m2)
+  WHERE skill IS NOT NULL AND length(skill) > 0"""
 SQL["T9"] = w(*BASE_M2) + f"""SELECT job_id, array_to_string(CASE WHEN preferred_skills IS NULL
   THEN {tech('job_description')} ELSE {_T9_SPLIT} END, '|') AS skills FROM m2"""
 SQL["T12_docs"] = w(DOCS) + f"SELECT job_id, CAST(len({tech('combined_text')}) AS INTEGER) AS skills_count FROM docs"

@@ -192,3 +192,18 @@ def test_contextual_and_trim(spark):
 def test_explode_drops_empty(spark):
     df = spark.createDataFrame([(1, ["a", "", "a"]), (2, []), (3, None)], "id int, s array<string>")
     assert sorted(tuple(r) for r in SK.explode_skills(df, "s", ["id"]).collect()) == [("a", 1), ("a", 1)]
+
+
+def test_phrases_and_cascade_on_postings_match_python(spark):
+    from payscope.plans import catalog as c
+    from payscope.columns import SNAKE as S
+    df = c.m2(spark, SF001)
+    text = F.concat_ws(" ", F.col(S.job_description), F.col(S.min_qual), F.col(S.preferred_skills))
+    casc = SK.skills_cascade(df, S.preferred_skills, S.job_description, S.min_qual)
+    rows = casc.select(S.preferred_skills, S.job_description, S.min_qual, SK.skill_phrases(text).alias("ph"),
+                       "skills_list").collect()
+    assert len(rows) > 1000
+    for r in rows:
+        all_text = " ".join(x for x in (r[S.job_description], r[S.min_qual], r[S.preferred_skills]) if x is not None)
+        assert r.ph == py_phrases(all_text)
+        assert r.skills_list == py_cascade(r[S.preferred_skills], r[S.job_description], r[S.min_qual])
