@@ -25,7 +25,7 @@ def anova_stats(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
 
     Per-group count, mean and sample variance come from one partial+final
     aggregate (k rows); the grand mean is a one-row aggregate of those and
-    is attached by broadcast; SSB and SSW follow from the k rows.
+    is attached as a scalar subquery; SSB and SSW follow from the k rows.
     """
     data = df.where(F.col(group_col).isNotNull() & F.col(value_col).isNotNull())
     groups = data.groupBy(group_col).agg(

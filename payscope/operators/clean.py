@@ -132,7 +132,10 @@ def stamp_constants(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Put the columns of a one-row result on every row.
 
-    The right side is a global aggregate (exactly one row), so broadcasting
-    it is safe at any input size, and nothing goes through the driver.
+    The one-row result (a global aggregate) becomes a scalar subquery: Spark
+    runs it once and inlines its value into the outer plan, so nothing is
+    joined, nothing goes through the driver, and its size never depends on
+    the input.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("_s")).scalar()
+    return df.withColumns({c: packed[c] for c in one_row.columns})

@@ -35,7 +35,7 @@ def recent_days(df: DataFrame, date_col: str, days: int = 730,
     """rows on or after (latest date in the data - ``days``).
 
     Null dates fall out; if no date is valid at all, every row is kept.
-    The latest date is a one-row aggregate joined by broadcast: no driver
+    The latest date is a one-row aggregate used as a scalar subquery: no driver
     round trip.  ``bounds`` names columns to keep the window (from, to).
     """
     j = _with_max(df, date_col, "_max_date")

@@ -158,7 +158,7 @@ def highest_paid_skills(df: DataFrame, text_col: str, job_id: str, salary: str =
     exact number of postings.  Only ``(skill, salary, id)`` leaves the text
     scan; the distinct count is planned as a (skill, id) pre-aggregation, so
     no group is collected in one place.  The global mean is a one-row
-    aggregate attached by broadcast.
+    aggregate attached as a scalar subquery.
     """
     ready = df.where(F.col(salary).isNotNull())
     with_sk = extract_mentions(ready, text_col, keywords, EXTRACTED_SKILLS)

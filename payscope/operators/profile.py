@@ -34,7 +34,7 @@ def value_counts(df: DataFrame, column: str, count_name: str = "count") -> DataF
 
     ``share_pct`` is the share x100 rounded half-even to one decimal and
     ``percentage`` the same as text with ``%``.  The total is a one-row
-    aggregate over the per-value counts, attached by broadcast.
+    aggregate over the per-value counts, attached as a scalar subquery.
     """
     counts = (df.where(F.col(column).isNotNull())
                 .groupBy(column).agg(F.count(F.lit(1)).alias(count_name)))

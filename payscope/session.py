@@ -45,19 +45,19 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster it is set by whoever runs the job and is read, never
-    overridden.  Only when it is unset (local tests) is ``fallback`` -- or a
-    fresh folder under the system temp dir -- installed.
+    overridden.  Only when it is unset may a caller (tests, local runs)
+    install ``fallback``; without one this raises rather than silently use
+    a folder that exists on one machine only.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return current
+        return sc.getCheckpointDir() or current
     if fallback is None:
-        import tempfile
-
-        fallback = tempfile.mkdtemp(prefix="payscope-ckpt-")
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for "
+                           "materialized tables and stream checkpoints")
     sc.setCheckpointDir(fallback)
     return sc.getCheckpointDir() or fallback
 
