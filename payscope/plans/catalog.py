@@ -446,6 +446,12 @@ def k12(spark, d):
 
 
 # ------------------------------------------------------------------ sorts, jobs
+@query("O1")
+def o1(spark, d):
+    return (m1(spark, d).select(S.job_id, SALARY_MID)
+            .orderBy(F.col(SALARY_MID).desc_nulls_last(), F.col(S.job_id).asc()))
+
+
 @query("O2")
 def o2(spark, d):
     return (m1(spark, d).select(S.agency, SALARY_MID, S.job_id)

@@ -412,6 +412,7 @@ SQL["K11_docs"] = k11_sql((DOCS,), "docs", PLAIN_TAXONOMY)
 SQL["K12"] = w(*BASE_M1) + """SELECT count(Annual_Salary_Mid) AS salary_count,
   round(avg(Annual_Salary_Mid), 2) AS global_avg_salary, max(Annual_Salary_Mid) AS global_max_salary,
   max(Posting_Date) AS latest_date FROM m1"""
+SQL["O1"] = w(*BASE_M1) + "SELECT job_id, Annual_Salary_Mid FROM m1 ORDER BY Annual_Salary_Mid DESC NULLS LAST, job_id"
 SQL["O2"] = w(*BASE_M1) + "SELECT agency, Annual_Salary_Mid, job_id FROM m1 ORDER BY agency, Annual_Salary_Mid DESC, job_id"
 SQL["O3"] = w(*BASE_M1) + """SELECT job_id, agency, Annual_Salary_Mid FROM m1
   ORDER BY Annual_Salary_Mid DESC NULLS LAST, job_id LIMIT 10"""

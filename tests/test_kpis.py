@@ -219,3 +219,23 @@ def test_exact_median_continuous_values(spark, rows):
         n = len(vals)
         exp = vals[n // 2] if n % 2 else (vals[n // 2 - 1] + vals[n // 2]) / 2
         assert got[k] == pytest.approx(exp, rel=1e-12, abs=1e-300)
+
+
+@pytest.mark.parametrize("shift", [0.0, 3.0])
+def test_anova_verdict_agrees_with_spark_ml_selector(spark, shift):
+    from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
+    random.seed(11)
+    rows = [(g, random.gauss(50 + (shift if g == "b" else 0.0), 5)) for g in "abc" for _ in range(40)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ours = A.anova_oneway(df, "g", "v").collect()[0]
+    labelled = df.withColumn("label", F.when(F.col("g") == "a", 0.0).when(F.col("g") == "b", 1.0).otherwise(2.0))
+    feats = VectorAssembler(inputCols=["v"], outputCol="features").transform(labelled)
+    sel = (UnivariateFeatureSelector(featuresCol="features", labelCol="label", outputCol="sel",
+                                     selectionMode="fpr").setFeatureType("continuous")
+           .setLabelType("categorical").setSelectionThreshold(0.05).fit(feats))
+    assert (len(sel.selectedFeatures) == 1) == (ours.interpretation == "significant")
+
+
+def test_preview(spark):
+    df = spark.range(100)
+    assert P.preview(df, 5).count() == 5
