@@ -37,6 +37,15 @@ PHRASE_PATTERNS = [
     r"([a-zA-Z0-9\s&/]+?)(?:programming|development|analysis|expertise)",
     r"\b([a-z]{3,})[\s]+(?:skills?|experience?|proficiency?)\b",
 ]
+# Literal words at least one of which any match of the pattern above (same
+# position in the list) contains; a text without them cannot match, so the
+# regex is skipped for it.
+PHRASE_TRIGGERS = [
+    ("proficienc", "experience", "knowledge", "skilled"),
+    ("require", "need", "must have"),
+    ("programming", "development", "analysis", "expertise"),
+    ("skill", "experienc", "proficienc"),
+]
 PREFERRED_SPLIT = r"[;,|]"
 
 # The third pattern has no anchor: a regex engine retries it at every
@@ -155,8 +164,15 @@ def parse_preferred(pref: Column, desc: Column, vocab: dict[str, list[str]] = TE
 def skill_phrases(text: Column) -> Column:
     """Group 1 of every hit of the phrase patterns; trimmed, 3-20 chars, distinct, sorted."""
     t = F.lower(text)
-    hits = F.flatten(F.array(*[F.regexp_extract_all(t, F.lit("(?i)" + _scan_pattern(p)), F.lit(1))
-                               for p in PHRASE_PATTERNS]))
+
+    def hits_of(p: str, words) -> Column:
+        present = None
+        for wd in words:
+            present = t.contains(wd) if present is None else (present | t.contains(wd))
+        found = F.regexp_extract_all(t, F.lit("(?i)" + _scan_pattern(p)), F.lit(1))
+        return F.when(present, found).otherwise(_empty())
+
+    hits = F.flatten(F.array(*[hits_of(p, w) for p, w in zip(PHRASE_PATTERNS, PHRASE_TRIGGERS)]))
     trimmed = F.transform(hits, _strip)
     kept = F.filter(trimmed, lambda x: (F.length(x) > 2) & (F.length(x) <= 20))
     return F.when(text.isNull(), _empty()).otherwise(F.array_sort(F.array_distinct(kept)))
@@ -169,16 +185,21 @@ def skills_cascade(df: DataFrame, pref_col: str, desc_col: str, qual_col: str, c
     keywords over all text, else phrases over all text (both capped)."""
     pref = F.col(pref_col)
     all_text = F.concat_ws(" ", F.col(desc_col), F.col(qual_col), pref)
-    split = parse_preferred(pref, F.col(desc_col), vocab)
-    kw = tech_skills(all_text, vocab)
+    split = F.when(pref.isNotNull(), _null_if_empty(parse_preferred(pref, F.col(desc_col), vocab)))
+    kw = _null_if_empty(tech_skills(all_text, vocab))
     phr = skill_phrases(all_text)
-    res = (F.when(pref.isNotNull() & (F.size(split) > 0), split)
-            .when(F.size(kw) > 0, F.slice(kw, 1, cap))
-            .otherwise(F.slice(phr, 1, cap)))
+    # coalesce evaluates left to right and stops at the first non-null, so
+    # each (regex-heavy) level runs at most once and only when needed
+    res = F.coalesce(split, F.slice(kw, 1, cap), F.slice(phr, 1, cap))
     df = df.withColumn(out, res)
     return df.withColumn(count_out, F.size(F.col(out))) if count_out else df
 
 
+def _null_if_empty(arr: Column) -> Column:
+    """The array itself, or null when it is empty (``arr`` is evaluated once)."""
+    return F.try_element_at(F.filter(F.array(arr), lambda a: F.size(a) > 0), F.lit(1))
+
+
 def with_skills_count(df: DataFrame, array_col: str = SKILLS_LIST, out: str = SKILLS_COUNT) -> DataFrame:
     """Number of skills per posting."""
     return df.withColumn(out, F.size(F.col(array_col)))
