@@ -97,3 +97,22 @@ def test_invariants_on_test_tables(spark):
     assert all(r.job_count > 1 and r.min_salary <= r.median_salary <= r.max_salary for r in k1)
     k7 = c.QUERIES["K7"](spark, SF001).collect()
     assert all(abs(r.High_salary_per_agency - r.avg_salary_2yr - r.salary_premium) < 0.011 for r in k7)
+
+
+def test_exact_median_splits_hot_groups_by_bucket(spark):
+    from pyspark.sql import functions as F
+    from payscope.operators.aggregates import exact_median
+    df = spark.createDataFrame([("hot", i * 0.37) for i in range(5000)] + [("cold", 1.0)], "k string, v double")
+    p = _plan(exact_median(df, ["k"], "v"))
+    # the exact ranking window runs per (group, bucket), never per group alone
+    ranking = [ln for ln in p.splitlines() if "Window [sum(_c#" in ln]
+    assert ranking and all("], [k#" in ln and ", _b#" in ln for ln in ranking)
+    assert "SinglePartition" not in p
+
+
+def test_scalar_attach_is_a_subquery_not_a_join(spark):
+    from pyspark.sql import functions as F
+    from payscope.operators.clean import attach_scalars
+    df = spark.range(100)
+    p = _plan(attach_scalars(df, df.agg(F.max("id").alias("m"))))
+    assert "Subquery" in p and "Join" not in p and "CartesianProduct" not in p
