@@ -239,3 +239,16 @@ def test_anova_verdict_agrees_with_spark_ml_selector(spark, shift):
 def test_preview(spark):
     df = spark.range(100)
     assert P.preview(df, 5).count() == 5
+
+
+@pytest.mark.parametrize("f,d2", [(3.0, 1e6), (0.7, 4e6), (5.0, 5e7), (3.0, 1e9), (0.4, 1e12), (9.0, 1e12)])
+def test_f_survival_huge_denominator_df(f, d2):
+    # d1 = 2 has a closed form at any d2; the chi-square limit is exp(-f)
+    exact = math.exp(-(d2 / 2) * math.log1p(2 * f / d2))
+    assert f_survival(f, 2, d2) == pytest.approx(exact, rel=1e-6)
+
+
+@pytest.mark.parametrize("f,d1", [(2.0, 4), (0.5, 6), (12.0, 3)])
+def test_f_survival_chi2_limit_consistent(f, d1):
+    # just below and above the switch the two methods agree
+    assert f_survival(f, d1, 9.9e7) == pytest.approx(f_survival(f, d1, 1.01e8), rel=1e-5)
