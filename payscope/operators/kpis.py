@@ -148,6 +148,16 @@ def recent_avg_by_group(df: DataFrame, keys: Sequence[str], date_col: str, salar
               .orderBy(F.col("avg_salary").desc(), *[F.col(k).asc() for k in keys]))
 
 
+def _per_skill_per_job(rows: DataFrame, job_id: str, salary: str) -> DataFrame:
+    """(skill, job) -> mention count and pay sum: the first of two aggregation
+    levels.  Counting postings per skill as rows of this table replaces a
+    ``count(DISTINCT id)`` next to plain aggregates, which Spark would plan
+    with an Expand that doubles every mention row before the shuffle; here
+    the rows are combined map-side and spread by posting, so a hot skill is
+    split over many tasks."""
+    return rows.groupBy(SKILL, job_id).agg(F.count(salary).alias("_n"), F.sum(salary).alias("_s"))
+
+
 def highest_paid_skills(df: DataFrame, text_col: str, job_id: str, salary: str = SALARY_MID,
                         keywords: Sequence[str] | None = None, min_jobs: int = 3,
                         top: int = 20) -> DataFrame:
@@ -156,18 +166,20 @@ def highest_paid_skills(df: DataFrame, text_col: str, job_id: str, salary: str =
     ``job_count`` counts mentions (a posting naming a skill twice counts
     twice) and ``avg_salary`` is mention-weighted; ``unique_jobs`` is the
     exact number of postings.  Only ``(skill, salary, id)`` leaves the text
-    scan; the distinct count is planned as a (skill, id) pre-aggregation, so
-    no group is collected in one place.  The global mean is a one-row
+    scan; two aggregation levels, (skill, id) then skill, give the counts,
+    the mean and the distinct postings without an Expand, and no group is
+    collected in one place.  The global mean is a one-row
     aggregate attached as a scalar subquery.
     """
     ready = df.where(F.col(salary).isNotNull())
     with_sk = extract_mentions(ready, text_col, keywords, EXTRACTED_SKILLS)
     mentions = explode_skills(with_sk, EXTRACTED_SKILLS, [salary, job_id], SKILL)
-    stats = (mentions.groupBy(SKILL).agg(
-                F.count(salary).alias("job_count"),
-                F.avg(salary).alias("avg_salary"),
-                F.count_distinct(job_id).alias("unique_jobs"))
-               .where(F.col("job_count") >= min_jobs))
+    stats = (_per_skill_per_job(mentions, job_id, salary)
+             .groupBy(SKILL).agg(
+                F.sum("_n").alias("job_count"),
+                (F.sum("_s") / F.sum("_n")).alias("avg_salary"),
+                F.count(F.lit(1)).alias("unique_jobs"))
+             .where(F.col("job_count") >= min_jobs))
     g = ready.agg(F.avg(salary).alias("_global"))
     premium = F.col("avg_salary") - F.col("_global")
     return (attach_scalars(stats, g)
@@ -186,10 +198,10 @@ def highest_paid_skills_generalized(df: DataFrame, text_col: str, qual_col: str,
     mean against the mean pay of all postings."""
     sk = generalized_skills(df, text_col, qual_col, taxonomy, cap, SKILLS_LIST)
     rows = explode_skills(sk, SKILLS_LIST, [salary, job_id], SKILL).where(F.col(salary).isNotNull())
-    base = rows.groupBy(SKILL).agg(
-        F.count(salary).alias("job_count"),
-        F.bround(F.avg(salary), 0).alias("avg_salary"),
-        F.count_distinct(job_id).alias("unique_jobs"))
+    base = _per_skill_per_job(rows, job_id, salary).groupBy(SKILL).agg(
+        F.sum("_n").alias("job_count"),
+        F.bround(F.sum("_s") / F.sum("_n"), 0).alias("avg_salary"),
+        F.count(F.lit(1)).alias("unique_jobs"))
     med = exact_median(rows, [SKILL], salary, "median_salary")
     stats = (base.where(F.col("job_count") >= min_jobs)
                  .join(med, SKILL, "left")

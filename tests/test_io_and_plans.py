@@ -116,3 +116,8 @@ def test_scalar_attach_is_a_subquery_not_a_join(spark):
     df = spark.range(100)
     p = _plan(attach_scalars(df, df.agg(F.max("id").alias("m"))))
     assert "Subquery" in p and "Join" not in p and "CartesianProduct" not in p
+
+
+def test_skill_kpis_have_no_expand(spark):
+    for name in ("K10_parts", "K10_docs", "K11_docs"):
+        assert "Expand" not in _plan(c.QUERIES[name](spark, SF001)), name
