@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscope.columns import EXTRACTED_SKILLS, SKILL, SKILLS_COUNT, SKILLS_LIST
-from payscope.functions.text import WHITESPACE, bounded, keyword_alternation, lower_concat
+from payscope.functions.text import WHITESPACE, bounded, keyword_alternation
 from payscope.sources.taxonomy import TAXONOMY, TECH_SKILLS, flat_keywords, taxonomy_entries
 
 # ---------------------------------------------------------------------------
@@ -204,6 +204,3 @@ def with_skills_count(df: DataFrame, array_col: str = SKILLS_LIST, out: str = SK
     """Number of skills per posting."""
     return df.withColumn(out, F.size(F.col(array_col)))
 
-
-def combined_lower(cols: Sequence[str]) -> Column:
-    return lower_concat(cols)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from payscope.columns import (COMBINED_TEXT, EXTRACTED_SKILLS, POSTING_DATE, PRIMARY_CATEGORY,
                               QUAL_MEDIAN, QUALIFICATION, RANGE_MID, SALARY_FLAG, SALARY_FROM_NUM,
-                              SALARY_MID, SALARY_TO_NUM, SKILL, SKILLS_LIST)
+                              SALARY_MID, SALARY_TO_NUM, SKILLS_LIST)
 from payscope.columns import SNAKE as S
 from payscope.operators import anova as A
 from payscope.operators import clean as C
@@ -31,7 +31,6 @@ from payscope.operators import profile as P
 from payscope.operators import skills as SK
 from payscope.plans import jobs
 from payscope.sources.adapters import TIEBREAK, postings_from_documents, postings_from_tpch
-from payscope.sources.taxonomy import TAXONOMY
 
 # ---------------------------------------------------------------------------
 # Test vocabularies.  The part-name words are the 16 words the
@@ -478,4 +477,3 @@ def q_m2(spark, d):
 # tail) have no SQL equivalent; they are checked against brute force in tests.
 NO_ORACLE = {"T10", "T10_docs", "T11_docs", "T11", "T12", "K5_test"}
 
-_ = (SKILL,)
