@@ -27,7 +27,7 @@ def main() -> None:
     from payscope.session import build_session
 
     spark = build_session(master=f"local[{cpus}]", app="payscope-bench",
-                          shuffle_partitions=max(2 * cpus, 8), driver_memory="16g")
+                          shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)), driver_memory="16g")
     names = sys.argv[1:] or HEADLINE
     for name in names:  # warm-up pass, not timed
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
