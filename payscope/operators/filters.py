@@ -31,31 +31,42 @@ def _with_max(df: DataFrame, date_col: str, name: str) -> DataFrame:
 
 
 def recent_days(df: DataFrame, date_col: str, days: int = 730,
-                bounds: tuple[str, str] | None = None) -> DataFrame:
+                bounds: tuple[str, str] | None = None, partition_year: str | None = None) -> DataFrame:
     """rows on or after (latest date in the data - ``days``).
 
     Null dates fall out; if no date is valid at all, every row is kept.
     The latest date is a one-row aggregate used as a scalar subquery: no driver
     round trip.  ``bounds`` names columns to keep the window (from, to).
+    ``partition_year`` names a partition column holding the year of
+    ``date_col``: an implied condition on it alone lets the scan skip whole
+    year partitions once the subquery has run.
     """
     j = _with_max(df, date_col, "_max_date")
     cut = F.date_sub(F.col("_max_date"), days)
-    out = j.where(F.col("_max_date").isNull() | (F.col(date_col) >= cut))
+    no_max = F.col("_max_date").isNull()
+    cond = no_max | (F.col(date_col) >= cut)
+    if partition_year:
+        cond = (no_max | (F.col(partition_year) >= F.year(cut))) & cond
+    out = j.where(cond)
     if bounds:
         out = out.withColumns({bounds[0]: cut, bounds[1]: F.col("_max_date")})
     return out.drop("_max_date")
 
 
 def recent_years(df: DataFrame, date_col: str, years: int = 2,
-                 bounds: tuple[str, str] | None = None) -> DataFrame:
+                 bounds: tuple[str, str] | None = None, partition_year: str | None = None) -> DataFrame:
     """rows on or after (latest date - ``years`` calendar years).
 
     Month arithmetic clamps Feb 29 to Feb 28, so this differs from F3 across
     leap days.  Null dates fall out; with no valid date no row passes.
+    ``partition_year`` as in F3.
     """
     j = _with_max(df, date_col, "_max_date")
     cut = F.add_months(F.col("_max_date"), -12 * years)
-    out = j.where(F.col(date_col) >= cut)
+    cond = F.col(date_col) >= cut
+    if partition_year:
+        cond = (F.col(partition_year) >= F.year(cut)) & cond
+    out = j.where(cond)
     if bounds:
         out = out.withColumns({bounds[0]: cut, bounds[1]: F.col("_max_date")})
     return out.drop("_max_date")

@@ -77,7 +77,8 @@ def median_by_group(df: DataFrame, keys: Sequence[str], salary: str = SALARY_MID
 
 
 def agency_insights(df: DataFrame, agency: str, date_col: str, salary: str = SALARY_MID,
-                    days: int = 730, min_jobs: int = 3, exact: bool = False) -> DataFrame:
+                    days: int = 730, min_jobs: int = 3, exact: bool = False,
+                    partition_year: str | None = None) -> DataFrame:
     """K7: per agency over the last ``days`` days of data.
 
     One aggregate gives count, mean, max and min; the premium of the best
@@ -88,9 +89,10 @@ def agency_insights(df: DataFrame, agency: str, date_col: str, salary: str = SAL
     ``exact=True`` sums pay as ``decimal(30,4)`` and derives mean, premium
     and percentage in decimal arithmetic: the result no longer depends on
     the order in which partitions are added (a double sum does), at the
-    price of slower 128-bit arithmetic in the aggregate.
+    price of slower 128-bit arithmetic in the aggregate.  ``partition_year``
+    lets a year-partitioned input skip old partitions (see F3).
     """
-    recent = recent_days(df, date_col, days)
+    recent = recent_days(df, date_col, days, partition_year=partition_year)
     pay = F.col(salary).cast(EXACT_PAY) if exact else F.col(salary)
     stats = (recent.where(F.col(agency).isNotNull()).groupBy(agency).agg(
                 F.count(F.lit(1)).alias("job_count_2yr"),
@@ -132,11 +134,11 @@ def top_paid_per_group(df: DataFrame, keys: Sequence[str], salary: str, carry: S
 
 
 def recent_avg_by_group(df: DataFrame, keys: Sequence[str], date_col: str, salary: str = SALARY_MID,
-                        years: int = 2, min_count: int = 2) -> DataFrame:
+                        years: int = 2, min_count: int = 2, partition_year: str | None = None) -> DataFrame:
     """K9: count of known salaries and mean (half-even, whole units) per group
     over the last ``years`` calendar years, with the window bounds stamped."""
     keys = list(keys)
-    recent = recent_years(df, date_col, years, bounds=("from_date", "to_date"))
+    recent = recent_years(df, date_col, years, bounds=("from_date", "to_date"), partition_year=partition_year)
     for k in keys:
         recent = recent.where(F.col(k).isNotNull())
     return (recent.groupBy(*keys).agg(

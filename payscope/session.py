@@ -62,15 +62,19 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return sc.getCheckpointDir() or fallback
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts the lineage so later stages do not recompute the upstream shuffles,
     and, unlike caching, survives the loss of executors because the files
-    live on shared storage.
+    live on shared storage.  ``partition_by`` lays the files out by those
+    columns so that filters on them skip whole folders.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return spark.read.parquet(path)

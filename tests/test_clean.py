@@ -137,3 +137,19 @@ def test_clean_job_order(spark):
     out = jobs.clean(spark.createDataFrame(rows, cols), RAW, ()).collect()
     assert len(out) == 1 and out[0]["Annual_Salary_Mid"] == 15 * 2080
     assert out[0]["Primary_Job_Category"] == "IT " and out[0]["Posting_Date"] == dt.date(2020, 1, 1)
+
+
+def test_recent_windows_with_year_partitions(spark, tmp_out):
+    import os
+    d = dt.date
+    rows = [(d(2020, 2, 29), 1), (d(2018, 3, 1), 2), (d(2018, 2, 28), 3), (d(2016, 1, 1), 4), (None, 5)]
+    path = os.path.join(tmp_out, "by_year")
+    (spark.createDataFrame(rows, "x date, v int").withColumn("y", F.year("x"))
+          .write.partitionBy("y").parquet(path))
+    t = spark.read.parquet(path)
+    got = sorted(r.v for r in FL.recent_days(t, "x", 730, partition_year="y").collect())
+    assert got == sorted(r.v for r in FL.recent_days(t, "x", 730).collect()) == [1, 2]
+    got = sorted(r.v for r in FL.recent_years(t, "x", 2, partition_year="y").collect())
+    assert got == [1, 2, 3]
+    plan = FL.recent_days(t, "x", 730, partition_year="y")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "year(date_sub(" in plan

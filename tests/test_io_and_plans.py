@@ -67,6 +67,14 @@ def test_report_job_end_to_end(spark, tmp_out):
     k4 = spark.read.option("header", True).csv(out["Degree_Salary_Correlation"])
     # invariant: K4 counts add up to the postings left after dedup
     assert sum(int(r.job_count) for r in k4.collect()) == c.dedup(spark, SF001).count()
+    # K7 on the year-partitioned table equals K7 on the enriched plan itself
+    from payscope.columns import POSTING_DATE
+    from payscope.operators import kpis as K
+    k7_file = {r.agency: float(r.avg_salary_2yr) for r in
+               spark.read.option("header", True).csv(out["Agency_insights"]).collect()}
+    k7_direct = {r.agency: r.avg_salary_2yr for r in K.agency_insights(enriched, SNAKE.agency, POSTING_DATE).collect()}
+    assert k7_file.keys() == k7_direct.keys() and len(k7_file) > 0
+    assert all(abs(k7_file[a] - k7_direct[a]) < 1e-6 * abs(k7_direct[a]) for a in k7_file)
     k10 = spark.read.option("header", True).csv(out["Highest_Paid_Skills"]).collect()
     means = {round(float(r.avg_salary) - float(r.salary_premium), 6) for r in k10}
     assert len(k10) > 0 and len(means) == 1      # one global mean behind every premium
