@@ -60,15 +60,30 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
 
     Nulls and NaN are ignored; groups without values produce no row.
     """
-    keys = list(keys)
     v = F.col(value)
+    pairs = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    return median_from_pairs(pairs, keys, value, "_c", out)
+
+
+def median_from_pairs(pairs: DataFrame, keys: Sequence[str], value: str, count: str,
+                      out: str = "median") -> DataFrame:
+    """Steps 2-3 of :func:`exact_median` on already collapsed
+    ``(keys, value, count)`` rows, so a caller that needs other statistics
+    from the same pairs shares one aggregation.  Values to ignore (null,
+    NaN) must carry count 0: they then cover no rank.
+
+    The group travels as one struct column: struct equality treats null
+    fields as equal, so a null group is matched by a plain equi-join, and
+    the join and the ranking window share one partitioning.
+    """
+    keys = list(keys)
     pairs = with_value_bucket(
-        df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")),
+        pairs.select(F.struct(*[F.col(k) for k in keys]).alias("_k"), value, F.col(count).alias("_c")),
         value, "_b")
-    hist = pairs.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
-    by_bucket = Window.partitionBy(*keys).orderBy("_b")
+    hist = pairs.groupBy("_k", "_b").agg(F.sum("_c").alias("_bc"))
+    by_bucket = Window.partitionBy("_k").orderBy("_b")
     hist = hist.select(
-        *keys, "_b", "_bc",
+        "_k", "_b", "_bc",
         F.sum("_bc").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
         F.sum("_bc").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
          .alias("_n"))
@@ -76,17 +91,17 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
     r2 = F.floor(F.col("_n") / 2) + 1
     first = F.col("_cum") - F.col("_bc") + 1
 
-    def covers(lo: Column, hi: Column) -> Column:
-        return ((lo <= r1) & (hi >= r1)) | ((lo <= r2) & (hi >= r2))
+    def covers(lo: Column, hi: Column, a: Column, b: Column) -> Column:
+        return ((lo <= a) & (hi >= a)) | ((lo <= b) & (hi >= b))
 
-    targets = (hist.where(covers(first, F.col("_cum")))
-                   .select(*keys, "_b", (F.col("_cum") - F.col("_bc")).alias("_base"),
+    targets = (hist.where(covers(first, F.col("_cum"), r1, r2))
+                   .select("_k", "_b", (F.col("_cum") - F.col("_bc")).alias("_base"),
                            r1.alias("_r1"), r2.alias("_r2")))
-    cand = pairs.join(targets, [*keys, "_b"])
-    within = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(
+    cand = pairs.join(targets, ["_k", "_b"])
+    within = Window.partitionBy("_k", "_b").orderBy(value).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranked = cand.withColumn("_hi", F.col("_base") + F.sum("_c").over(within))
     lo = F.col("_hi") - F.col("_c") + 1
-    hit = ((lo <= F.col("_r1")) & (F.col("_hi") >= F.col("_r1"))) | \
-          ((lo <= F.col("_r2")) & (F.col("_hi") >= F.col("_r2")))
-    return ranked.where(hit).groupBy(*keys).agg(F.avg(value).alias(out))
+    picked = ranked.where(covers(lo, F.col("_hi"), F.col("_r1"), F.col("_r2")))
+    med = picked.groupBy("_k").agg(F.avg(value).alias(out))
+    return med.select(*[F.col("_k")[k].alias(k) for k in keys], out)

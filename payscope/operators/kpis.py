@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payscope.columns import EXTRACTED_SKILLS, QUALIFICATION, SALARY_FLAG, SALARY_MID, SKILL, SKILLS_LIST
-from payscope.operators.aggregates import exact_median
+from payscope.operators.aggregates import exact_median, median_from_pairs
 from payscope.operators.clean import attach_scalars
 from payscope.operators.filters import recent_days, recent_years
 from payscope.operators.profile import value_counts
@@ -39,17 +39,30 @@ def salary_distribution(df: DataFrame, category: str, salary: str = SALARY_MID,
 def salary_distribution_exact(df: DataFrame, category: str, salary: str = SALARY_MID) -> DataFrame:
     """K2: per category count of known salaries, min, max, exact median, mean.
 
-    All values rounded half-even to whole units.
+    All values rounded half-even to whole units.  Every statistic comes from
+    one collapse of the rows to distinct ``(category, salary)`` pairs with
+    their multiplicity, so the input is read and aggregated once (a second
+    aggregation branch would recompute everything upstream of it).
+    Categories whose salaries are all unknown keep a row with count 0.
     """
-    base = df.groupBy(category).agg(
-        F.count(salary).alias("count"),
-        F.min(salary).alias("min"),
-        F.max(salary).alias("max"),
-        F.avg(salary).alias("mean"))
-    med = exact_median(df, [category], salary, "median")
-    j = base.join(med, base[category].eqNullSafe(med[category]), "left").drop(med[category])
+    s = F.col(salary)
+    known = s.isNotNull() & ~F.isnan(s)
+    pairs = df.groupBy(category, salary).agg(F.count(F.lit(1)).alias("_c"))
+    c = F.when(known, F.col("_c"))
+    base = pairs.groupBy(category).agg(
+        F.coalesce(F.sum(c), F.lit(0)).alias("count"),
+        F.min(F.when(known, s)).alias("min"),
+        F.max(F.when(known, s)).alias("max"),
+        (F.sum(F.when(known, s * F.col("_c"))) / F.sum(c)).alias("mean"))
+    # unknown salaries get multiplicity 0 instead of a filter: a filter on
+    # the grouping column would be pushed below the shared aggregation and
+    # turn it into a second one that recomputes everything upstream
+    weighted = pairs.withColumn("_kc", F.when(known, F.col("_c")).otherwise(F.lit(0).cast("long")))
+    med = (median_from_pairs(weighted, [category], salary, "_kc", "median")
+           .withColumnRenamed(category, "_mk"))
+    j = base.join(med, base[category].eqNullSafe(med["_mk"]), "left").drop("_mk")
     return j.select(category, "count",
-                    *[F.bround(c, 0).alias(c) for c in ("min", "max", "median", "mean")])
+                    *[F.bround(col, 0).alias(col) for col in ("min", "max", "median", "mean")])
 
 
 def top_categories(df: DataFrame, category: str, k: int = 10) -> DataFrame:

@@ -252,3 +252,10 @@ def test_f_survival_huge_denominator_df(f, d2):
 def test_f_survival_chi2_limit_consistent(f, d1):
     # just below and above the switch the two methods agree
     assert f_survival(f, d1, 9.9e7) == pytest.approx(f_survival(f, d1, 1.01e8), rel=1e-5)
+
+
+def test_exact_distribution_all_null_category(spark):
+    rows = [("A", 1.0), ("A", 3.0), ("A", 3.0), ("Z", None), ("Z", None), (None, 7.0)]
+    df = spark.createDataFrame(rows, "c string, s double")
+    got = {r.c: tuple(r)[1:] for r in K.salary_distribution_exact(df, "c", "s").collect()}
+    assert got == {"A": (3, 1.0, 3.0, 3.0, 2.0), "Z": (0, None, None, None, None), None: (1, 7.0, 7.0, 7.0, 7.0)}
