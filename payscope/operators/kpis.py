@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from payscope.columns import EXTRACTED_SKILLS, QUALIFICATION, SALARY_FLAG, SALARY_MID, SKILL, SKILLS_LIST
 from payscope.operators.aggregates import exact_median, median_from_pairs
-from payscope.operators.clean import attach_scalars
 from payscope.operators.filters import recent_days, recent_years
 from payscope.operators.profile import value_counts
-from payscope.operators.skills import explode_skills, extract_mentions, generalized_skills
+from payscope.operators.skills import extract_mentions, generalized_skills
 from payscope.sources.taxonomy import TAXONOMY
 
 # Exact pay type: four decimals hold every half-cent amount exactly.
@@ -163,14 +162,34 @@ def recent_avg_by_group(df: DataFrame, keys: Sequence[str], date_col: str, salar
               .orderBy(F.col("avg_salary").desc(), *[F.col(k).asc() for k in keys]))
 
 
-def _per_skill_per_job(rows: DataFrame, job_id: str, salary: str) -> DataFrame:
-    """(skill, job) -> mention count and pay sum: the first of two aggregation
-    levels.  Counting postings per skill as rows of this table replaces a
-    ``count(DISTINCT id)`` next to plain aggregates, which Spark would plan
-    with an Expand that doubles every mention row before the shuffle; here
-    the rows are combined map-side and spread by posting, so a hot skill is
-    split over many tasks."""
-    return rows.groupBy(SKILL, job_id).agg(F.count(salary).alias("_n"), F.sum(salary).alias("_s"))
+def _mentions_with_markers(df: DataFrame, skills: str, job_id: str, salary: str) -> DataFrame:
+    """One row per skill in ``skills`` plus one marker row (null skill) per
+    posting, for postings with a known salary.  The marker rows carry the
+    posting-level figures (the global mean) through the same aggregation as
+    the skills, so the text is scanned and shuffled once."""
+    items = F.concat(F.coalesce(F.col(skills), F.array().cast("array<string>")),
+                     F.array(F.lit(None).cast("string")))
+    rows = df.where(F.col(salary).isNotNull()).select(F.explode(items).alias(SKILL), salary, job_id)
+    return rows.where(F.col(SKILL).isNull() | (F.length(F.col(SKILL)) > 0))
+
+
+def _per_skill(per_job: DataFrame) -> DataFrame:
+    """(skill, job) -> skill: mention count, mean pay, distinct postings.
+
+    Two aggregation levels instead of a ``count(DISTINCT id)`` next to
+    plain aggregates, which Spark would plan with an Expand that doubles
+    every mention row before the shuffle.  The first level is combined
+    map-side and spread by posting, so a hot skill is split over many tasks.
+    The null-skill group (the markers) gets ``_global``, the mean pay of all
+    postings, which a window over the few per-skill rows (one per vocabulary
+    entry) puts on every row.
+    """
+    st = per_job.groupBy(SKILL).agg(
+        F.sum("_n").alias("job_count"),
+        (F.sum("_s") / F.sum("_n")).alias("_mean"),
+        F.count(F.lit(1)).alias("unique_jobs"))
+    everything = Window.partitionBy()
+    return st.withColumn("_global", F.max(F.when(F.col(SKILL).isNull(), F.col("_mean"))).over(everything))
 
 
 def highest_paid_skills(df: DataFrame, text_col: str, job_id: str, salary: str = SALARY_MID,
@@ -181,28 +200,22 @@ def highest_paid_skills(df: DataFrame, text_col: str, job_id: str, salary: str =
     ``job_count`` counts mentions (a posting naming a skill twice counts
     twice) and ``avg_salary`` is mention-weighted; ``unique_jobs`` is the
     exact number of postings.  Only ``(skill, salary, id)`` leaves the text
-    scan; two aggregation levels, (skill, id) then skill, give the counts,
-    the mean and the distinct postings without an Expand, and no group is
-    collected in one place.  The global mean is a one-row
-    aggregate attached as a scalar subquery.
+    scan, and everything -- including the global mean, through one marker
+    row per posting -- comes out of one pass over the text and one chain of
+    aggregations.
     """
-    ready = df.where(F.col(salary).isNotNull())
-    with_sk = extract_mentions(ready, text_col, keywords, EXTRACTED_SKILLS)
-    mentions = explode_skills(with_sk, EXTRACTED_SKILLS, [salary, job_id], SKILL)
-    stats = (_per_skill_per_job(mentions, job_id, salary)
-             .groupBy(SKILL).agg(
-                F.sum("_n").alias("job_count"),
-                (F.sum("_s") / F.sum("_n")).alias("avg_salary"),
-                F.count(F.lit(1)).alias("unique_jobs"))
-             .where(F.col("job_count") >= min_jobs))
-    g = ready.agg(F.avg(salary).alias("_global"))
+    with_sk = extract_mentions(df, text_col, keywords, EXTRACTED_SKILLS)
+    rows = _mentions_with_markers(with_sk, EXTRACTED_SKILLS, job_id, salary)
+    per_job = rows.groupBy(SKILL, job_id).agg(F.count(salary).alias("_n"), F.sum(salary).alias("_s"))
+    st = _per_skill(per_job)
     premium = F.col("avg_salary") - F.col("_global")
-    return (attach_scalars(stats, g)
-            .select(SKILL, "job_count", "avg_salary", "unique_jobs",
-                    premium.alias("salary_premium"),
-                    F.round(premium / F.col("_global") * 100, 1).alias("premium_pct"))
-            .orderBy(F.col("avg_salary").desc(), F.col(SKILL).asc())
-            .limit(top))
+    return (st.where(F.col(SKILL).isNotNull() & (F.col("job_count") >= min_jobs))
+              .withColumnRenamed("_mean", "avg_salary")
+              .select(SKILL, "job_count", "avg_salary", "unique_jobs",
+                      premium.alias("salary_premium"),
+                      F.round(premium / F.col("_global") * 100, 1).alias("premium_pct"))
+              .orderBy(F.col("avg_salary").desc(), F.col(SKILL).asc())
+              .limit(top))
 
 
 def highest_paid_skills_generalized(df: DataFrame, text_col: str, qual_col: str, job_id: str,
@@ -210,25 +223,30 @@ def highest_paid_skills_generalized(df: DataFrame, text_col: str, qual_col: str,
                                     min_jobs: int = 3, top: int = 20) -> DataFrame:
     """Presence-based skills (T5-T7) with count, mean, exact median and
     distinct postings, all rounded half-even; premium taken from the rounded
-    mean against the mean pay of all postings."""
+    mean against the mean pay of all postings.
+
+    One aggregation at (skill, posting, pay) feeds both the per-skill
+    figures and the median pairs, so the taxonomy scan of the text runs
+    once.
+    """
     sk = generalized_skills(df, text_col, qual_col, taxonomy, cap, SKILLS_LIST)
-    rows = explode_skills(sk, SKILLS_LIST, [salary, job_id], SKILL).where(F.col(salary).isNotNull())
-    base = _per_skill_per_job(rows, job_id, salary).groupBy(SKILL).agg(
-        F.sum("_n").alias("job_count"),
-        F.bround(F.sum("_s") / F.sum("_n"), 0).alias("avg_salary"),
-        F.count(F.lit(1)).alias("unique_jobs"))
-    med = exact_median(rows, [SKILL], salary, "median_salary")
-    stats = (base.where(F.col("job_count") >= min_jobs)
-                 .join(med, SKILL, "left")
-                 .withColumn("median_salary", F.bround("median_salary", 0)))
-    g = df.agg(F.avg(salary).alias("_global"))
+    rows = _mentions_with_markers(sk, SKILLS_LIST, job_id, salary)
+    lvl0 = rows.groupBy(SKILL, job_id, salary).agg(F.count(F.lit(1)).alias("_c"))
+    per_job = lvl0.groupBy(SKILL, job_id).agg(
+        F.sum("_c").alias("_n"), F.sum(F.col(salary) * F.col("_c")).alias("_s"))
+    pairs = lvl0.groupBy(SKILL, salary).agg(F.sum("_c").alias("_c"))
+    med = median_from_pairs(pairs, [SKILL], salary, "_c", "median_salary")
+    st = (_per_skill(per_job)
+          .where(F.col(SKILL).isNotNull() & (F.col("job_count") >= min_jobs))
+          .withColumn("avg_salary", F.bround("_mean", 0))
+          .join(med, SKILL, "left")
+          .withColumn("median_salary", F.bround("median_salary", 0)))
     premium = F.col("avg_salary") - F.col("_global")
-    return (attach_scalars(stats, g)
-            .select(SKILL, "job_count", "avg_salary", "median_salary", "unique_jobs",
-                    premium.alias("salary_premium"),
-                    F.bround(premium / F.col("_global") * 100, 1).alias("premium_pct"))
-            .orderBy(F.col("avg_salary").desc(), F.col(SKILL).asc())
-            .limit(top))
+    return (st.select(SKILL, "job_count", "avg_salary", "median_salary", "unique_jobs",
+                      premium.alias("salary_premium"),
+                      F.bround(premium / F.col("_global") * 100, 1).alias("premium_pct"))
+              .orderBy(F.col("avg_salary").desc(), F.col(SKILL).asc())
+              .limit(top))
 
 
 def global_stats(df: DataFrame, salary: str = SALARY_MID, date_col: str | None = None) -> DataFrame:
