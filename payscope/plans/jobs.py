@@ -39,8 +39,18 @@ def clean(df: DataFrame, cols: PostingColumns = RAW, tiebreak: Sequence[str] = (
     raise ValueError("category_rule must be 'first' or 'clean'")
 
 
-def enrich(df: DataFrame, cols: PostingColumns = RAW, accuracy: int = 10000) -> DataFrame:
-    """M2: qualification class -> pay band against its median -> combined text."""
+def enrich(df: DataFrame, cols: PostingColumns = RAW, accuracy: int = 10000,
+           checkpoint_input: bool = False) -> DataFrame:
+    """M2: qualification class -> pay band against its median -> combined text.
+
+    The pay bands need two passes over the input (the medians, then every
+    row against them).  With ``checkpoint_input`` the cleaned input is
+    first written under the shared checkpoint folder, so both passes read
+    those files instead of each re-running the upstream scan, joins and
+    dedup sort; use it for large runs (it needs ``spark.checkpoint.dir``).
+    """
+    if checkpoint_input:
+        df = materialize(df, "cleaned")
     df = T.categorize_qualification(df, cols.min_qual)
     df = T.flag_salary_vs_qualification(df, accuracy=accuracy)
     return T.combined_text(df, [cols.preferred_skills, cols.job_description, cols.min_qual])

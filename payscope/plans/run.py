@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     args = ap.parse_args(argv)
     spark = spark or SparkSession.builder.appName("payscope").getOrCreate()
     raw = read_postings_csv(spark, args.input)
-    enriched = jobs.enrich(jobs.clean(raw, RAW, tuple(args.tiebreak)), RAW)
+    enriched = jobs.enrich(jobs.clean(raw, RAW, tuple(args.tiebreak)), RAW, checkpoint_input=True)
     out = jobs.report(enriched, args.output, RAW, keywords=args.keywords, run_date=args.run_date)
     print(json.dumps(out))
     return out

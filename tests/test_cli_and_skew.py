@@ -43,3 +43,14 @@ def test_hot_key_dedup_and_aggregates(spark):
     med = {r.agency: r.median_salary for r in K.median_by_group(df, ["agency"], "s").collect()}
     big = sorted(float(i % 1000) for i in range(0, n, 3))
     assert med["BIG"] == (big[len(big) // 2 - 1] + big[len(big) // 2]) / 2
+
+
+def test_enrich_from_checkpointed_input_matches_lazy(spark):
+    from payscope.plans import jobs
+    cleaned = jobs.clean(c.raw(spark, SF001), SNAKE, c.TIEBREAK)
+    cols = [SNAKE.job_id, "Qualification_Category", "Salary_Qual_Flag", "combined_text"]
+    lazy = sorted(tuple(r) for r in jobs.enrich(cleaned, SNAKE).select(*cols).collect())
+    ckpt = jobs.enrich(cleaned, SNAKE, checkpoint_input=True)
+    plan = ckpt._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and "cleaned-" in plan
+    assert sorted(tuple(r) for r in ckpt.select(*cols).collect()) == lazy
