@@ -259,3 +259,24 @@ def test_exact_distribution_all_null_category(spark):
     df = spark.createDataFrame(rows, "c string, s double")
     got = {r.c: tuple(r)[1:] for r in K.salary_distribution_exact(df, "c", "s").collect()}
     assert got == {"A": (3, 1.0, 3.0, 3.0, 2.0), "Z": (0, None, None, None, None), None: (1, 7.0, 7.0, 7.0, 7.0)}
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]),
+                          st.one_of(st.none(), st.integers(-3, 3).map(lambda x: x * 1.5))),
+                min_size=1, max_size=40))
+def test_exact_distribution_matches_pandas(spark, rows):
+    import pandas as pd
+    df = spark.createDataFrame(rows, "c string, s double")
+    got = {r.c: (r["count"], r["min"], r["max"], r["median"], r["mean"])
+           for r in K.salary_distribution_exact(df, "c", "s").collect()}
+    pdf = pd.DataFrame(rows, columns=["c", "s"])
+    exp = {}
+    for key in {k for k, _ in rows}:
+        vals = pdf.loc[pdf["c"].isna() if key is None else pdf["c"] == key, "s"].dropna()
+        if len(vals) == 0:
+            exp[key] = (0, None, None, None, None)
+        else:
+            r = lambda x: float(np.round(x))  # numpy rounds half to even, like bround
+            exp[key] = (len(vals), r(vals.min()), r(vals.max()), r(vals.median()), r(vals.mean()))
+    assert got == exp
