@@ -207,3 +207,50 @@ def test_phrases_and_cascade_on_postings_match_python(spark):
         all_text = " ".join(x for x in (r[S.job_description], r[S.min_qual], r[S.preferred_skills]) if x is not None)
         assert r.ph == py_phrases(all_text)
         assert r.skills_list == py_cascade(r[S.preferred_skills], r[S.job_description], r[S.min_qual])
+
+
+@pytest.mark.parametrize("tax_name", ["plain", "taxonomy"])
+def test_generalized_kpi_matches_pandas_on_documents(spark, tax_name):
+    import numpy as np
+    import pandas as pd
+    from payscope.operators import kpis as K
+    from payscope.plans.catalog import PLAIN_TAXONOMY
+    tax = PLAIN_TAXONOMY if tax_name == "plain" else TAXONOMY
+    df = postings_from_documents(spark, SF001)
+    got = K.highest_paid_skills_generalized(df, "combined_text", "minimum_qual_requirements", "job_id",
+                                            taxonomy=tax, min_jobs=3).collect()
+    pdf = df.select("job_id", "combined_text", "minimum_qual_requirements", "Annual_Salary_Mid").toPandas()
+    pdf["skills"] = [py_generalized(t, q, tax) for t, q in zip(pdf.combined_text, pdf.minimum_qual_requirements)]
+    ex = pdf.explode("skills").dropna(subset=["skills", "Annual_Salary_Mid"])
+    st_ = ex.groupby("skills").agg(job_count=("Annual_Salary_Mid", "count"), avg=("Annual_Salary_Mid", "mean"),
+                                   med=("Annual_Salary_Mid", "median"), uniq=("job_id", "nunique"))
+    st_ = st_[st_.job_count >= 3]
+    overall = pdf["Annual_Salary_Mid"].mean()
+    st_["avg_r"] = np.round(st_["avg"])
+    st_ = st_.reset_index().sort_values(["avg_r", "skills"], ascending=[False, True]).head(20)
+    assert [r.skill for r in got] == list(st_["skills"])
+    for r, (_, e) in zip(got, st_.iterrows()):
+        assert (r.job_count, r.avg_salary, r.median_salary, r.unique_jobs) == (
+            e.job_count, e.avg_r, float(np.round(e.med)), e.uniq)
+        assert r.salary_premium == pytest.approx(e.avg_r - overall, rel=1e-9)
+        assert r.premium_pct == float(np.round((e.avg_r - overall) / overall * 100, 1))
+
+
+def test_mentions_kpi_matches_pandas_on_documents(spark):
+    import pandas as pd
+    from payscope.operators import kpis as K
+    df = postings_from_documents(spark, SF001)
+    got = K.highest_paid_skills(df, "combined_text", "job_id", keywords=PLAIN_WORDS).collect()
+    pdf = df.select("job_id", "combined_text", "Annual_Salary_Mid").toPandas()
+    ready = pdf.dropna(subset=["Annual_Salary_Mid"]).copy()
+    ready["skill"] = [py_mentions(t, PLAIN_WORDS) for t in ready.combined_text]
+    ex = ready.explode("skill").dropna(subset=["skill"])
+    st_ = ex.groupby("skill").agg(job_count=("Annual_Salary_Mid", "count"), avg=("Annual_Salary_Mid", "mean"),
+                                  uniq=("job_id", "nunique")).reset_index()
+    st_ = st_[st_.job_count >= 3].sort_values(["avg", "skill"], ascending=[False, True]).head(20)
+    g = ready["Annual_Salary_Mid"].mean()
+    assert [r.skill for r in got] == list(st_["skill"])
+    for r, (_, e) in zip(got, st_.iterrows()):
+        assert (r.job_count, r.unique_jobs) == (e.job_count, e.uniq)
+        assert r.avg_salary == pytest.approx(e.avg, rel=1e-12)
+        assert r.salary_premium == pytest.approx(e.avg - g, rel=1e-9)
