@@ -7,8 +7,9 @@ orders); long-text queries (suffix ``_docs``) run on adapter B
 Where a result column is a mean of doubles, the query rounds it to cents
 (2 decimals) so that engines that add in a different order agree (the last
 bits of a double sum depend on the order); the operators themselves return
-unrounded values.  Arrays are shown joined with
-``|`` so they compare as plain text.
+unrounded values.  K7 runs its operator with ``exact=True`` (decimal pay
+sums), because its half-cent averages can sit exactly on a rounding tie.
+Arrays are shown joined with ``|`` so they compare as plain text.
 """
 
 from __future__ import annotations
