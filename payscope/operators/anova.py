@@ -7,9 +7,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+import sys
+
+from pyspark import cloudpickle
+
+from payscope.functions import fdist
 from payscope.functions.fdist import f_survival
 from payscope.operators.clean import attach_scalars
 
+# The p-value UDF and its helper travel to the Python workers by value, so
+# the workers need no installed copy of this package.
+cloudpickle.register_pickle_by_value(fdist)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ALPHA = 0.05
 METHOD = "ANOVA F-statistic"
 INSUFFICIENT = "Insufficient qualification groups for analysis"
