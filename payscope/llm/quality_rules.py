@@ -17,7 +17,7 @@ whole.  Only the id and text columns are read, so others cannot clash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,10 +40,10 @@ class Rule:
     fails: Column
 
 
-def rules() -> list[Rule]:
+def rules(c: Callable[[str], Column] = F.col) -> list[Rule]:
     """Every rule, evaluated on the measurements.  A bit's meaning never
     changes; new rules take new bits."""
-    words, c = F.col("n_words"), F.col
+    words = c("n_words")
     return [
         Rule("min_words", 0, words < 50),
         Rule("repeated_windows", 1, 100 * c("n_repeat_words") > 50 * words),
@@ -100,24 +100,34 @@ def measure_text(text: str) -> tuple[int, ...]:
             _repeat_words(ids, len(number)), len(lines), len(number), text.count("!!"))
 
 
+def measures(text: Column) -> Column:
+    """Struct of the measurements of a text column."""
+
+    @F.pandas_udf(", ".join(f"{k} {v}" for k, v in MEASURES.items()))
+    def measured(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([measure_text(t or "") for t in texts], columns=list(MEASURES), dtype="int64")
+
+    return measured(text)
+
+
+def fail_bits(measured: Callable[[str], Column] = F.col) -> Column:
+    """One bit per failed rule; ``measured`` gives a measurement's column."""
+    bits = F.lit(0).cast("long")
+    for r in rules(measured):
+        bits = bits.bitwiseOR(F.when(r.fails, F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("long"))
+    return bits
+
+
 def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The ledger: doc_id, measurements, ``fail_bits`` (one bit per rule)."""
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    id_type = narrow.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [measure_text(t) for t in batch["text"]]
-            out = pd.DataFrame(rows, columns=list(MEASURES), dtype="int64")
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
-
-    schema = f"doc_id {id_type}, " + ", ".join(f"{k} {v}" for k, v in MEASURES.items())
-    ledger = narrow.mapInPandas(run, schema)
-    bits = F.lit(0).cast("long")
-    for r in rules():
-        bits = bits + F.when(r.fails, F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("long")
-    return ledger.withColumn("fail_bits", bits)
+    ledger = docs.select(F.col(doc_id).alias("doc_id"), measures(F.col(text)).alias("m")).select("doc_id", "m.*")
+    return ledger.withColumn("fail_bits", fail_bits())
+
+
+def passes(text: Column, policy: str = "web-2") -> Column:
+    """Whether a policy keeps a text, as a filter condition."""
+    m = measures(text)
+    return fail_bits(lambda name: m[name]).bitwiseAND(F.lit(mask(POLICIES[policy]))) == 0
 
 
 def apply_policy(ledger: DataFrame, policy: str = "web-2", column: str = "kept") -> DataFrame:

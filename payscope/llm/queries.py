@@ -6,10 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payscope.llm import exact_dedup, packing, quality_rules, url_filter
+from payscope.llm import (
+    chat_format,
+    exact_dedup,
+    language_id,
+    license_scan,
+    near_dedup,
+    packing,
+    quality_rules,
+    token_counts,
+    url_filter,
+)
 from payscope.llm.common import table
 
 BYTE_BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +36,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE_RANKS)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -37,11 +52,41 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~F.col("base_kept")).alias("base_failed"), "kept", "fail_bits")
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = f"{chat_format.END}{chat_format.START}assistant ok"
+    control = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(control)
+    back = chat_format.read_back(chat_format.windows(turns, budget=2048, history=256, system=256))
+    hexed = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return back.select("conv_id", F.col("n_turns").cast("long").alias("n_turns"), hexed("turns").alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), hexed("loss").alias("loss_sha256"), "formatted_chars")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train_on_documents(docs)
+    found = docs.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), language_id.predictor(model)(F.col("text")).alias("p"))
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.known_licences(spark))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
+    "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op7_chat_format": op7_chat_format,
+    "op8_language_id": op8_language_id,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_license_scan": op10_license_scan,
 }
 
 SQL: dict[str, str] = {}
