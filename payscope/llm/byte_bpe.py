@@ -29,19 +29,19 @@ are read.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 import zlib
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from payscope.llm.common import shuffle_partitions
 from payscope.llm.tokens import load_ranks
 
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 40 << 20
 BUCKETS = 1 << 16
 
 # Unicode's White_Space characters, for both regular expression dialects.
@@ -131,3 +131,70 @@ def word_ids(word: Column, v: Vocabulary) -> Column:
     start = F.struct(raw.alias("pieces"), F.lit(True).alias("more"))
     folded = F.aggregate(F.sequence(F.lit(1), F.length(raw)), start, lambda s, _: F.when(s["more"], step(s)).otherwise(s), lambda s: s["pieces"])
     return F.transform(F.split(folded, ""), lambda p: F.get(v.ids, F.ascii(p)))
+
+
+def cut_units(text: str) -> list[str]:
+    """The units of a text, as the SQL side cuts them."""
+    return re.split(CUT, text) if text else []
+
+
+# Some blank is not a single space or newline between other characters.
+_UNEVEN = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
+
+
+class UnitTable:
+    """Ids (decimal, joined by blanks) and decoded bytes of a group's units."""
+
+    def __init__(self, units: list[str], ids: list[str], decoded: list[bytes]) -> None:
+        self.ids, self.decoded = ids, decoded
+        # a unit that follows a space goes by the rest of it
+        self.after = {u[1:] if u[0] == " " else u: k for k, u in enumerate(units) if u[0] in " \n"}
+        self.first = {u: k for k, u in enumerate(units)}
+
+    def places(self, text: str) -> list[int]:
+        if not text:
+            return []
+        if _UNEVEN.search(text):
+            return [self.first[u] for u in cut_units(text)]
+        head, *rest = text.replace("\n", " \n").split(" ")
+        return [self.first[head], *map(self.after.__getitem__, rest)]
+
+
+def encode(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_id", text: str = "text", group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """One row per row of ``docs``: doc_id, ids (decimal, joined by one blank),
+    n_tokens, and decoded, the bytes that the ids stand for.  ``ids_array`` gives
+    the ids as numbers."""
+    import public_tokenizers
+
+    v = vocabulary(vocabulary_path)
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    total = narrow.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    groups = total // group_bytes + 1
+    dealt = narrow.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(groups))).repartition(shuffle_partitions(docs.sparkSession), "part")
+    # counting ids keeps both sides' exchange one and the same, so Spark shuffles the text once
+    units = (dealt.select("part", "doc_id", F.explode(F.split("text", CUT)).alias("unit")).where("unit != ''")
+             .groupBy("part", "unit").agg(F.count("doc_id").alias("uses")))
+    words = F.regexp_extract_all("unit", F.lit(java_pattern(public_tokenizers.PATTERN)), F.lit(0))
+    units = units.withColumn("n", F.flatten(F.transform(words, lambda w: word_ids(w, v))))
+    pieces = F.array_join(F.transform("n", lambda i: F.get(v.pieces, i)), "")
+    units = units.select("part", "unit", "uses", F.array_join("n", " ").alias("ids"), F.unhex(pieces).alias("decoded"))
+
+    def put_together(texts: pa.Table, known: pa.Table) -> pa.Table:
+        table = UnitTable(*(known.column(c).to_pylist() for c in ("unit", "ids", "decoded")))
+        out = []
+        for batch in texts.to_batches(max_chunksize=256):
+            places = [table.places(t) for t in batch.column("text").to_pylist()]
+            ids = [" ".join(map(table.ids.__getitem__, p)) for p in places]
+            out.append(pa.record_batch({
+                "doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.string()),
+                "n_tokens": pa.array([x.count(" ") + 1 if x else 0 for x in ids], pa.int64()),
+                "decoded": pa.array([b"".join(map(table.decoded.__getitem__, p)) for p in places], pa.binary())}))
+        return pa.Table.from_batches(out)
+
+    id_type = narrow.schema["doc_id"].dataType.simpleString()
+    return dealt.groupBy("part").cogroup(units.groupBy("part")).applyInArrow(
+        put_together, f"doc_id {id_type}, ids string, n_tokens long, decoded binary")
+
+
+def ids_array(ids: Column) -> Column:
+    return F.transform(F.filter(F.split(ids, " "), lambda x: x != ""), lambda x: x.cast("int"))

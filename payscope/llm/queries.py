@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.llm import (
+    byte_bpe,
     chat_format,
     exact_dedup,
     language_id,
@@ -52,6 +53,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~F.col("base_kept")).alias("base_failed"), "kept", "fail_bits")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE_RANKS)
+    return encoded.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = f"{chat_format.END}{chat_format.START}assistant ok"
     control = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -83,6 +90,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_byte_bpe": op6_byte_bpe,
     "op7_chat_format": op7_chat_format,
     "op8_language_id": op8_language_id,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
