@@ -36,7 +36,7 @@ BLOCK = 256
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\\\|")
+    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
 
 
 def unescape(text: Column) -> Column:
