@@ -1,4 +1,10 @@
-"""Corpus pipeline: documents in, packed training sequences out."""
+"""Corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes what its predecessor kept and returns the columns of
+documents (the last one: packed pieces).  ``run`` stores every stage's result
+in the shared checkpoint folder and reads it again, so a lost executor repeats
+part of one stage.
+"""
 
 from __future__ import annotations
 
@@ -7,38 +13,58 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payscope.llm import exact_dedup, packing, quality_rules
+from payscope.llm import exact_dedup, language_id, near_dedup, packing, quality_rules
 from payscope.llm.common import table
 from payscope.llm.queries import BYTE_BPE_JSON
 from payscope.session import checkpoint_dir
 
+MIN_LANGUAGE_SCORE = 0.2
+POLICY = "web-2"
+
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents of no recognised language."""
+    found = language_id.predictor(language_id.train_on_documents(docs))(F.col("text"))
+    return docs.where((found["lang_pred"] != language_id.UNKNOWN) & (found["score"] >= MIN_LANGUAGE_SCORE))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ledger = quality_rules.apply_policy(quality_rules.measure(docs))
-    return _kept(docs, ledger.where("kept"))
+    """Drop documents that fail a rule of the policy."""
+    return docs.where(quality_rules.passes(F.col("text"), POLICY))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _kept(docs, exact_dedup.dedup(docs).where("kept"))
+    """Of equal texts, keep the row with the largest doc_id; of equal rows one."""
+    found = exact_dedup.classes(docs).select(F.col("digest").alias("_class"), F.col("keep_id").alias("_keep"))
+    mine = docs.withColumn("_digest", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+    # keep_id is the largest id, so >= is equality; the join key stays the digest
+    stays = F.col("_keep").isNull() | (F.col("doc_id") >= F.col("_keep"))
+    kept = mine.join(found, (F.col("_digest") == F.col("_class")) & stays)
+    return kept.dropDuplicates(["_digest"]).select(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates, keep the document with the smallest doc_id."""
+    kept = near_dedup.classes(docs).where("kept").select(F.col("doc_id").alias("_kept"))
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their place in training sequences."""
     return packing.pack(packing.tokenize(docs, BYTE_BPE_JSON))
 
 
-STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("packing", pack)]
+STAGES = [("language_id", language), ("quality_rules", quality), ("exact_dedup", exact), ("near_dedup", near), ("packing", pack)]
+
+# Learned language filters and order MinHash have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply STAGES to documents, each result stored and read again."""
+    """Apply STAGES to documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = f"{checkpoint_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        path = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -29,27 +29,31 @@ from payscope.llm.licence_texts import LICENCE_TEXTS
 MAX_BROADCAST = 100_000
 
 # Fixed values: (pattern, replacement), applied in order to lower-cased text.
-# Only what Java and RE2 read alike.
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|<|\[|by )|\(c\)[ \t]*[0-9]{4}|©)[^\n]*$"
-SPELLINGS = [
+# Written so that Java's and RE2's regular expressions read them alike.
+CANONICAL = [
+    # copyright lines
+    (r"(^|\n)[^\p{L}\p{N}\n]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|<|\[|by )|\(c\)[ \t]*[0-9]{4}|©)[^\n]*", "$1"),
+    # equivalent spellings
     (r"licence", "license"),
     (r"sub[- ]license", "sublicense"),
     (r"non[- ]commercial", "noncommercial"),
     (r"non[- ]infringement", "noninfringement"),
-    (r"([a-z]{3})is(e|ed|es|ing|ation|ations)\b", r"${1}iz${2}"),
+    (r"([a-z]{3})is(e|ed|es|ing|ation|ations)([^\p{L}\p{N}]|$)", "$1iz$2$3"),
     (r"copyright owner", "copyright holder"),
     (r"https://", "http://"),
     (r"all rights reserved", ""),
+    # punctuation
+    (r"[^\p{L}\p{N}\n]+", " "),
+    (r" ?\n ?", "\n"),
 ]
-NOT_WORDS = r"[^\p{L}\p{N}\n]+"
 
 
 def canonical(text: Column) -> Column:
-    """Canonical lines of a text, each trimmed."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    for pattern, put in SPELLINGS:
-        out = F.regexp_replace(out, pattern, put.replace("${1}", "$1").replace("${2}", "$2"))
-    return F.regexp_replace(F.regexp_replace(out, NOT_WORDS, " "), r" ?\n ?", "\n")
+    """Canonical lines of a text."""
+    out = F.lower(text)
+    for pattern, put in CANONICAL:
+        out = F.regexp_replace(out, pattern, put)
+    return out
 
 
 def _joined(lines: Column) -> Column:

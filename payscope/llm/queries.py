@@ -19,6 +19,9 @@ from payscope.llm import (
     url_filter,
 )
 from payscope.llm.common import table
+from payscope.llm.oracle import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 BYTE_BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -96,5 +99,3 @@ QUERIES = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_license_scan": op10_license_scan,
 }
-
-SQL: dict[str, str] = {}
