@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 WORD = r"[\p{L}\p{Nd}_]"
 _META = set("\\.^$|?*+()[]{}")
 
-# Characters Python's str.strip() removes that matter for ASCII text.
-WHITESPACE = " \t\n\r\f\u000b"
+# Blanks as Unicode has them; the last is U+3000.
+WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def regex_escape(s: str) -> str:

@@ -18,11 +18,12 @@ def with_value_bucket(df: DataFrame, value: str, out: str) -> DataFrame:
 
     Pure arithmetic: scaling by a power of two is exact, and the exponent
     from ``log2`` is corrected by one step either way, so no value lands in
-    a wrong bucket.  Built in small steps (one column each) so that every
+    a wrong bucket; the infinities have the outermost buckets.  Built in small steps (one column each) so that every
     expression is evaluated once and stays inside generated code.
     """
     v = F.col(value)
-    a = F.abs(v)
+    infinite = F.lit(float("inf"))
+    a = F.when(F.abs(v) < infinite, F.abs(v))  # no exponent for an infinity
     df = df.withColumn("_e0", F.floor(F.log2(a)))
     df = df.withColumn("_p0", F.pow(F.lit(2.0), F.col("_e0")))
     df = df.withColumn("_e", F.when(F.col("_p0") > a, F.col("_e0") - 1)
@@ -36,13 +37,16 @@ def with_value_bucket(df: DataFrame, value: str, out: str) -> DataFrame:
     # coalesce: the bucket is declared non-null, so a join on it infers no
     # ``isnotnull(bucket)`` filter (which would be pushed, with the whole
     # expression inlined, below the aggregation onto every input row)
-    bucket = F.when(v > 0, pos).when(v < 0, neg).otherwise(top * 2).cast("long")
+    bucket = (F.when(v == infinite, top * 4).when(v == -infinite, F.lit(0))
+              .when(v > 0, pos).when(v < 0, neg).otherwise(top * 2).cast("long"))
     df = df.withColumn(out, F.coalesce(bucket, F.lit(0).cast("long")))
     return df.drop("_e0", "_p0", "_e", "_d")
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
-    """Exact median per group (mean of the two middle values for even n).
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
+                 lower: bool = False) -> DataFrame:
+    """Exact median per group (mean of the two middle values for even n;
+    with ``lower`` the lower one of them).
 
     Distributed two-level selection, with no group gathered in one task:
 
@@ -50,8 +54,8 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
        multiplicity (map-side partial aggregation);
     2. each pair gets an order-preserving value bucket (sign, exponent, top
        16 mantissa bits); a histogram per ``(keys, bucket)`` and a running
-       sum over a group's buckets (at most a few thousand rows per group
-       for any data size) locate the one or two buckets holding the middle
+       sum over a group's buckets (at most 65,536 rows per group and binary
+       octave of its values, for any data size) locate the one or two buckets holding the middle
        ranks;
     3. only pairs in those buckets are ranked exactly, partitioned by
        ``(keys, bucket)``, so a hot group is spread over its buckets and a
@@ -62,11 +66,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
     """
     v = F.col(value)
     pairs = df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    return median_from_pairs(pairs, keys, value, "_c", out)
+    return median_from_pairs(pairs, keys, value, "_c", out, lower)
 
 
 def median_from_pairs(pairs: DataFrame, keys: Sequence[str], value: str, count: str,
-                      out: str = "median") -> DataFrame:
+                      out: str = "median", lower: bool = False) -> DataFrame:
     """Steps 2-3 of :func:`exact_median` on already collapsed
     ``(keys, value, count)`` rows, so a caller that needs other statistics
     from the same pairs shares one aggregation.  Values to ignore (null,
@@ -88,7 +92,7 @@ def median_from_pairs(pairs: DataFrame, keys: Sequence[str], value: str, count:
         F.sum("_bc").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
          .alias("_n"))
     r1 = F.floor((F.col("_n") + 1) / 2)
-    r2 = F.floor(F.col("_n") / 2) + 1
+    r2 = r1 if lower else F.floor(F.col("_n") / 2) + 1
     first = F.col("_cum") - F.col("_bc") + 1
 
     def covers(lo: Column, hi: Column, a: Column, b: Column) -> Column:

@@ -3,31 +3,35 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-import sys
-
-from pyspark import cloudpickle
-
-from payscope.functions import fdist
 from payscope.functions.fdist import f_survival
+from payscope.operators.aggregates import exact_median
 from payscope.operators.clean import attach_scalars
 
-# The p-value UDF and its helper travel to the Python workers by value, so
-# the workers need no installed copy of this package.
-cloudpickle.register_pickle_by_value(fdist)
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 ALPHA = 0.05
+# Texts of the result.
 METHOD = "ANOVA F-statistic"
 INSUFFICIENT = "Insufficient qualification groups for analysis"
 
 
-@F.pandas_udf(DoubleType())
-def _f_pvalue(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return pd.Series([f_survival(a, b, c) for a, b, c in zip(f, d1, d2)], dtype="float64")
+def _f_pvalue(f: Column, df1: Column, df2: Column) -> Column:
+    """P(F > f), on the one row of the result."""
+
+    @F.pandas_udf(DoubleType())
+    def tail(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
+        return pd.Series([f_survival(a, b, c) for a, b, c in zip(f, df1, df2, strict=True)], dtype="float64")
+
+    return tail(*[c.cast("double") for c in (f, df1, df2)])
+
+
+def salary_stats(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
+    """K5: count, mean and exact median of each group's known values."""
+    data = df.where(F.col(group_col).isNotNull() & F.col(value_col).isNotNull())
+    base = data.groupBy(group_col).agg(F.count(value_col).alias("n"), F.avg(value_col).alias("mean"))
+    return base.join(exact_median(data, [group_col], value_col), group_col, "left")
 
 
 def anova_stats(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
@@ -64,8 +68,7 @@ def anova_oneway(df: DataFrame, group_col: str, value_col: str, alpha: float = A
     With fewer than two groups the statistics are null and ``error`` says why.
     """
     st = anova_stats(df, group_col, value_col)
-    p = _f_pvalue(F.col("F_statistic").cast("double"), F.col("df_between").cast("double"),
-                  F.col("df_within").cast("double"))
+    p = _f_pvalue(F.col("F_statistic"), F.col("df_between"), F.col("df_within"))
     ok = F.col("groups") > 1
     out = st.withColumn("p_value", F.when(ok, p))
     return out.select(

@@ -24,8 +24,12 @@ def _require(df: DataFrame, *names: str) -> None:
         raise ValueError(f"columns not found: {missing}")
 
 
-def dedup_keep_latest(df: DataFrame, key: str, date: str, tiebreak: Sequence[str]) -> DataFrame:
-    """One row per ``key``, the one with the latest ``date`` (nulls last).
+def dedup_keep_latest(df: DataFrame, key: str, date: str, tiebreak: Sequence[str],
+                      fmt: str = ISO_FORMAT) -> DataFrame:
+    """One row per ``key``, the one with the latest ``date``.
+
+    Text dates are compared as parsed with ``fmt``; unusable and null dates
+    come last, so any valid date beats them.
 
     ``tiebreak`` columns (descending) make the choice deterministic when one
     key has several rows with the same date; pass ``()`` to accept an
@@ -35,7 +39,8 @@ def dedup_keep_latest(df: DataFrame, key: str, date: str, tiebreak: Sequence[str
     shuffle than any other.
     """
     _require(df, key, date, *tiebreak)
-    order = [F.col(date).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in tiebreak]
+    when = parse_timestamp(date, fmt) if df.schema[date].dataType.simpleString() == "string" else F.col(date)
+    order = [when.desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in tiebreak]
     w = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from payscope.columns import COMBINED_TEXT, QUAL_MEDIAN, QUALIFICATION, SALARY_FLAG, SALARY_MID
 from payscope.functions.text import lower_concat
+from payscope.operators.aggregates import exact_median
 
 # ---------------------------------------------------------------------------
 # Qualification rules, first hit wins on the lower-cased text.
@@ -42,34 +43,32 @@ def categorize_qualification(df: DataFrame, req_col: str, out: str = QUALIFICATI
     return df.withColumn(out, expr.otherwise(QUALIFICATION_DEFAULT))
 
 
-def qualification_medians(df: DataFrame, qual_col: str = QUALIFICATION, salary: str = SALARY_MID,
-                          accuracy: int = 10000) -> DataFrame:
-    """Median pay per qualification with ``percentile_approx`` (bounded sketch)."""
-    return df.groupBy(qual_col).agg(
-        F.percentile_approx(salary, 0.5, accuracy).alias(QUAL_MEDIAN))
+def qualification_medians(df: DataFrame, qual_col: str = QUALIFICATION, salary: str = SALARY_MID) -> DataFrame:
+    """Median pay per qualification: a value of the group, the lower middle one
+    for even counts, exact at any size."""
+    return exact_median(df, [qual_col], salary, QUAL_MEDIAN, lower=True)
 
 
 def attach_qualification_median(df: DataFrame, qual_col: str = QUALIFICATION,
-                                salary: str = SALARY_MID, accuracy: int = 10000) -> DataFrame:
+                                salary: str = SALARY_MID) -> DataFrame:
     """Rows left-joined to their qualification median.
 
-    The right side has one row per qualification class -- at most the five
-    classes T1 can produce -- so it is broadcast at any input size.
+    No hint: ``qual_col`` may have any number of groups, so the planner
+    broadcasts the medians only while they are small.
     """
-    med = qualification_medians(df, qual_col, salary, accuracy)
-    return df.join(F.broadcast(med), qual_col, "left")
+    return df.join(qualification_medians(df, qual_col, salary), qual_col, "left")
 
 
 def flag_salary_vs_qualification(df: DataFrame, qual_col: str = QUALIFICATION,
                                  salary: str = SALARY_MID, out: str = SALARY_FLAG,
-                                 accuracy: int = 10000, null_label: str | None = None,
+                                 null_label: str | None = None,
                                  keep_median: bool = False) -> DataFrame:
     """Pay band of each posting against its qualification median.
 
     As in the original rules a null salary falls through every comparison
     and ends in "highly paid"; pass ``null_label`` to label it otherwise.
     """
-    j = attach_qualification_median(df, qual_col, salary, accuracy)
+    j = attach_qualification_median(df, qual_col, salary)
     s, m = F.col(salary), F.col(QUAL_MEDIAN)
     expr = None if null_label is None else F.when(s.isNull(), null_label)
     for factor, op, label in PAY_BANDS:

@@ -26,12 +26,13 @@ def require_present(df: DataFrame, not_null: Iterable[str] = (), non_empty: Iter
     return df.where(cond)
 
 
-def _with_max(df: DataFrame, date_col: str, name: str) -> DataFrame:
-    return attach_scalars(df, df.agg(F.max(date_col).alias(name)))
+def _with_max(df: DataFrame, date_col: str, name: str, dates: DataFrame | None) -> DataFrame:
+    return attach_scalars(df, (df if dates is None else dates).agg(F.max(date_col).alias(name)))
 
 
 def recent_days(df: DataFrame, date_col: str, days: int = 730,
-                bounds: tuple[str, str] | None = None, partition_year: str | None = None) -> DataFrame:
+                bounds: tuple[str, str] | None = None, partition_year: str | None = None,
+                dates: DataFrame | None = None) -> DataFrame:
     """rows on or after (latest date in the data - ``days``).
 
     Null dates fall out; if no date is valid at all, every row is kept.
@@ -39,9 +40,11 @@ def recent_days(df: DataFrame, date_col: str, days: int = 730,
     round trip.  ``bounds`` names columns to keep the window (from, to).
     ``partition_year`` names a partition column holding the year of
     ``date_col``: an implied condition on it alone lets the scan skip whole
-    year partitions once the subquery has run.
+    year partitions once the subquery has run.  ``dates`` is a cheaper table
+    with the same latest ``date_col``, such as the postings before C1: a
+    latest posting is never dropped there, so the subquery needs no dedup.
     """
-    j = _with_max(df, date_col, "_max_date")
+    j = _with_max(df, date_col, "_max_date", dates)
     cut = F.date_sub(F.col("_max_date"), days)
     no_max = F.col("_max_date").isNull()
     cond = no_max | (F.col(date_col) >= cut)
@@ -54,14 +57,15 @@ def recent_days(df: DataFrame, date_col: str, days: int = 730,
 
 
 def recent_years(df: DataFrame, date_col: str, years: int = 2,
-                 bounds: tuple[str, str] | None = None, partition_year: str | None = None) -> DataFrame:
+                 bounds: tuple[str, str] | None = None, partition_year: str | None = None,
+                 dates: DataFrame | None = None) -> DataFrame:
     """rows on or after (latest date - ``years`` calendar years).
 
     Month arithmetic clamps Feb 29 to Feb 28, so this differs from F3 across
     leap days.  Null dates fall out; with no valid date no row passes.
-    ``partition_year`` as in F3.
+    ``partition_year`` and ``dates`` as in F3.
     """
-    j = _with_max(df, date_col, "_max_date")
+    j = _with_max(df, date_col, "_max_date", dates)
     cut = F.add_months(F.col("_max_date"), -12 * years)
     cond = F.col(date_col) >= cut
     if partition_year:

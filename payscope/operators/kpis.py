@@ -19,46 +19,54 @@ EXACT_PAY = "decimal(30,4)"
 
 
 def salary_distribution(df: DataFrame, category: str, salary: str = SALARY_MID,
-                        min_count: int = 1, accuracy: int = 10000) -> DataFrame:
-    """K1: per category count, rounded mean, approximate median, min, max.
+                        min_count: int = 1) -> DataFrame:
+    """K1: per category count, rounded mean, median, min, max.
 
-    HAVING count > ``min_count``.  The median is ``percentile_approx`` (a
-    value of the group, lower middle for even counts), whose sketch keeps the
-    per-group state bounded however large a group is.
+    HAVING count > ``min_count``.  The median is a value of the group, the
+    lower middle one for even counts, exact at any size.  As in K2 every
+    statistic comes from one collapse to distinct ``(category, salary)``.
     """
-    return (df.groupBy(category).agg(
-                F.count(F.lit(1)).alias("job_count"),
-                F.round(F.avg(salary), 0).alias("avg_salary"),
-                F.percentile_approx(salary, 0.5, accuracy).alias("median_salary"),
-                F.min(salary).alias("min_salary"),
-                F.max(salary).alias("max_salary"))
-              .where(F.col("job_count") > min_count))
+    base, med = _from_pairs(df, category, salary, lower=True)
+    out = base.join(med, base[category].eqNullSafe(med["_mk"]), "left")
+    return (out.select(category, F.col("rows").alias("job_count"), F.round("mean", 0).alias("avg_salary"),
+                       F.col("median").alias("median_salary"), F.col("min").alias("min_salary"),
+                       F.col("max").alias("max_salary"))
+               .where(F.col("job_count") > min_count))
 
 
-def salary_distribution_exact(df: DataFrame, category: str, salary: str = SALARY_MID) -> DataFrame:
-    """K2: per category count of known salaries, min, max, exact median, mean.
+def _from_pairs(df: DataFrame, category: str, salary: str, lower: bool) -> tuple[DataFrame, DataFrame]:
+    """Statistics and median per category, from distinct (category, salary) pairs.
 
-    All values rounded half-even to whole units.  Every statistic comes from
-    one collapse of the rows to distinct ``(category, salary)`` pairs with
-    their multiplicity, so the input is read and aggregated once (a second
-    aggregation branch would recompute everything upstream of it).
-    Categories whose salaries are all unknown keep a row with count 0.
+    Unknown salaries get multiplicity 0 instead of a filter: a filter on
+    the grouping column would be pushed below the shared aggregation and
+    turn it into a second one that recomputes everything upstream.
     """
     s = F.col(salary)
     known = s.isNotNull() & ~F.isnan(s)
     pairs = df.groupBy(category, salary).agg(F.count(F.lit(1)).alias("_c"))
     c = F.when(known, F.col("_c"))
     base = pairs.groupBy(category).agg(
+        F.sum("_c").alias("rows"),
         F.coalesce(F.sum(c), F.lit(0)).alias("count"),
         F.min(F.when(known, s)).alias("min"),
         F.max(F.when(known, s)).alias("max"),
         (F.sum(F.when(known, s * F.col("_c"))) / F.sum(c)).alias("mean"))
-    # unknown salaries get multiplicity 0 instead of a filter: a filter on
-    # the grouping column would be pushed below the shared aggregation and
-    # turn it into a second one that recomputes everything upstream
     weighted = pairs.withColumn("_kc", F.when(known, F.col("_c")).otherwise(F.lit(0).cast("long")))
-    med = (median_from_pairs(weighted, [category], salary, "_kc", "median")
+    med = (median_from_pairs(weighted, [category], salary, "_kc", "median", lower)
            .withColumnRenamed(category, "_mk"))
+    return base, med
+
+
+def salary_distribution_exact(df: DataFrame, category: str, salary: str = SALARY_MID) -> DataFrame:
+    """K2: per category count of known salaries, min, max, exact median, mean.
+
+    All values rounded half-even to whole units.  Every statistic comes from
+    one collapse of the rows to distinct ``(category, salary)`` pairs with
+    their multiplicity, so the input is read and aggregated once (a second
+    aggregation branch would recompute everything upstream of it).
+    Categories whose salaries are all unknown keep a row with count 0.
+    """
+    base, med = _from_pairs(df, category, salary, lower=False)
     j = base.join(med, base[category].eqNullSafe(med["_mk"]), "left").drop("_mk")
     return j.select(category, "count",
                     *[F.bround(col, 0).alias(col) for col in ("min", "max", "median", "mean")])
@@ -89,8 +97,8 @@ def median_by_group(df: DataFrame, keys: Sequence[str], salary: str = SALARY_MID
 
 
 def agency_insights(df: DataFrame, agency: str, date_col: str, salary: str = SALARY_MID,
-                    days: int = 730, min_jobs: int = 3, exact: bool = False,
-                    partition_year: str | None = None) -> DataFrame:
+                    days: int = 730, min_jobs: int = 3, partition_year: str | None = None,
+                    dates: DataFrame | None = None) -> DataFrame:
     """K7: per agency over the last ``days`` days of data.
 
     One aggregate gives count, mean, max and min; the premium of the best
@@ -98,14 +106,14 @@ def agency_insights(df: DataFrame, agency: str, date_col: str, salary: str = SAL
     than ``min_jobs`` postings are dropped, as is a null agency.  Ordered by
     mean pay descending.
 
-    ``exact=True`` sums pay as ``decimal(30,4)`` and derives mean, premium
-    and percentage in decimal arithmetic: the result no longer depends on
-    the order in which partitions are added (a double sum does), at the
-    price of slower 128-bit arithmetic in the aggregate.  ``partition_year``
-    lets a year-partitioned input skip old partitions (see F3).
+    Pay is summed as ``decimal(30,4)`` (four decimals hold every half-cent
+    amount), and mean, premium and percentage follow in decimal arithmetic:
+    the result does not depend on the order in which partitions are added.
+    ``partition_year`` lets a year-partitioned input skip old partitions, and
+    ``dates`` names a cheaper table for the latest date (see F3).
     """
-    recent = recent_days(df, date_col, days, partition_year=partition_year)
-    pay = F.col(salary).cast(EXACT_PAY) if exact else F.col(salary)
+    recent = recent_days(df, date_col, days, partition_year=partition_year, dates=dates)
+    pay = F.col(salary).cast(EXACT_PAY)
     stats = (recent.where(F.col(agency).isNotNull()).groupBy(agency).agg(
                 F.count(F.lit(1)).alias("job_count_2yr"),
                 F.avg(pay).alias("avg_salary_2yr"),
@@ -114,7 +122,7 @@ def agency_insights(df: DataFrame, agency: str, date_col: str, salary: str = SAL
                .where(F.col("job_count_2yr") >= min_jobs))
     high = F.col("High_salary_per_agency")
     avg = F.col("avg_salary_2yr")
-    premium = (high.cast(EXACT_PAY) if exact else high) - avg
+    premium = high.cast(EXACT_PAY) - avg
     pct = F.round(premium / avg * 100, 1)
     return (stats.select(
                 agency, "job_count_2yr", avg.cast("double").alias("avg_salary_2yr"),
@@ -146,11 +154,13 @@ def top_paid_per_group(df: DataFrame, keys: Sequence[str], salary: str, carry: S
 
 
 def recent_avg_by_group(df: DataFrame, keys: Sequence[str], date_col: str, salary: str = SALARY_MID,
-                        years: int = 2, min_count: int = 2, partition_year: str | None = None) -> DataFrame:
+                        years: int = 2, min_count: int = 2, partition_year: str | None = None,
+                        dates: DataFrame | None = None) -> DataFrame:
     """K9: count of known salaries and mean (half-even, whole units) per group
     over the last ``years`` calendar years, with the window bounds stamped."""
     keys = list(keys)
-    recent = recent_years(df, date_col, years, bounds=("from_date", "to_date"), partition_year=partition_year)
+    recent = recent_years(df, date_col, years, bounds=("from_date", "to_date"), partition_year=partition_year,
+                          dates=dates)
     for k in keys:
         recent = recent.where(F.col(k).isNotNull())
     return (recent.groupBy(*keys).agg(
@@ -205,7 +215,13 @@ def highest_paid_skills(df: DataFrame, text_col: str, job_id: str, salary: str =
     aggregations.
     """
     with_sk = extract_mentions(df, text_col, keywords, EXTRACTED_SKILLS)
-    rows = _mentions_with_markers(with_sk, EXTRACTED_SKILLS, job_id, salary)
+    return highest_paid_mentions(with_sk, EXTRACTED_SKILLS, job_id, salary, min_jobs, top)
+
+
+def highest_paid_mentions(df: DataFrame, mentions: str, job_id: str, salary: str = SALARY_MID,
+                          min_jobs: int = 3, top: int = 20) -> DataFrame:
+    """K10 on a table that already has the array of ``mentions``."""
+    rows = _mentions_with_markers(df, mentions, job_id, salary)
     per_job = rows.groupBy(SKILL, job_id).agg(F.count(salary).alias("_n"), F.sum(salary).alias("_s"))
     st = _per_skill(per_job)
     premium = F.col("avg_salary") - F.col("_global")
@@ -219,7 +235,7 @@ def highest_paid_skills(df: DataFrame, text_col: str, job_id: str, salary: str =
 
 
 def highest_paid_skills_generalized(df: DataFrame, text_col: str, qual_col: str, job_id: str,
-                                    salary: str = SALARY_MID, taxonomy=TAXONOMY, cap: int = 8,
+                                    salary: str = SALARY_MID, taxonomy=TAXONOMY, cap: int | None = None,
                                     min_jobs: int = 3, top: int = 20) -> DataFrame:
     """Presence-based skills (T5-T7) with count, mean, exact median and
     distinct postings, all rounded half-even; premium taken from the rounded
@@ -234,12 +250,15 @@ def highest_paid_skills_generalized(df: DataFrame, text_col: str, qual_col: str,
     lvl0 = rows.groupBy(SKILL, job_id, salary).agg(F.count(F.lit(1)).alias("_c"))
     per_job = lvl0.groupBy(SKILL, job_id).agg(
         F.sum("_c").alias("_n"), F.sum(F.col(salary) * F.col("_c")).alias("_s"))
-    pairs = lvl0.groupBy(SKILL, salary).agg(F.sum("_c").alias("_c"))
-    med = median_from_pairs(pairs, [SKILL], salary, "_c", "median_salary")
+    # the marker rows cover no rank; the null-safe join infers no filter on the
+    # skill, which would make the two branches over lvl0 different plans
+    weight = F.when(F.col(SKILL).isNull(), F.lit(0)).otherwise(F.col("_c")).cast("long")
+    pairs = lvl0.groupBy(SKILL, salary).agg(F.sum(weight).alias("_c"))
+    med = median_from_pairs(pairs, [SKILL], salary, "_c", "median_salary").withColumnRenamed(SKILL, "_mk")
     st = (_per_skill(per_job)
           .where(F.col(SKILL).isNotNull() & (F.col("job_count") >= min_jobs))
           .withColumn("avg_salary", F.bround("_mean", 0))
-          .join(med, SKILL, "left")
+          .join(med, F.col(SKILL).eqNullSafe(F.col("_mk")), "left")
           .withColumn("median_salary", F.bround("median_salary", 0)))
     premium = F.col("avg_salary") - F.col("_global")
     return (st.select(SKILL, "job_count", "avg_salary", "median_salary", "unique_jobs",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,12 @@ from payscope.operators.clean import attach_scalars
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row per column: (column, data_type, rows, non_null).
+    """One row per column: (column, data_type, rows, non_null, distinct).
 
-    A single aggregate pass computes every count; the one-row result is
-    turned long with ``inline``.
+    Counts come from one aggregate whose one-row result is turned long with
+    ``inline``.  Distinct values are counted on the long form (column number,
+    value as text): partial distinct in each task, then one count per column,
+    so no column's values meet in one task.
     """
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.count(F.col(f"`{c}`")).alias(f"_nn{i}") for i, c in enumerate(df.columns)]
@@ -21,12 +25,17 @@ def profile(df: DataFrame) -> DataFrame:
                      F.lit(f.dataType.simpleString()).alias("data_type"),
                      F.col("_rows").alias("rows"), F.col(f"_nn{i}").alias("non_null"))
             for i, f in enumerate(df.schema.fields)]
-    return wide.select(F.inline(F.array(*rows)))
+    cells = F.array(*[F.struct(F.lit(i).alias("_at"), F.col(f"`{c}`").cast("string").alias("_v")) for i, c in enumerate(df.columns)])
+    distinct = (df.select(F.inline(cells)).where(F.col("_v").isNotNull()).distinct()
+                  .groupBy("_at").agg(F.count(F.lit(1)).alias("_d")))
+    long = wide.select(F.inline(F.array(*rows)))
+    return (long.join(distinct, long["position"] == distinct["_at"], "left")
+                .select(*long.columns, F.coalesce("_d", F.lit(0)).alias("distinct")))
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """First ``n`` rows."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
+    """First ``n`` rows, by ``order_by`` if given (a top-n, no full sort)."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
 def value_counts(df: DataFrame, column: str, count_name: str = "count") -> DataFrame:

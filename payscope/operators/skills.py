@@ -1,20 +1,22 @@
 """Skill extraction from free text.
 
 All extractors are native expressions over the text column: one regex pass
-(T4), one guarded test per keyword (T5, T8), splits and higher-order
-functions (T7, T9, T10).  Text is never shuffled: callers explode only
-``(skill, salary, id)`` out of it.
+(T4), one token pass plus a guarded test per phrase (T5, T8), splits and
+higher-order functions (T7, T9, T10).  No operator here shuffles text: callers
+explode only ``(skill, salary, id)`` out of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscope.columns import EXTRACTED_SKILLS, SKILL, SKILLS_COUNT, SKILLS_LIST
-from payscope.functions.text import WHITESPACE, bounded, keyword_alternation
+from payscope.functions.text import WHITESPACE, WORD, bounded, keyword_alternation
 from payscope.sources.taxonomy import TAXONOMY, TECH_SKILLS, flat_keywords, taxonomy_entries
 
 # ---------------------------------------------------------------------------
@@ -37,15 +39,6 @@ PHRASE_PATTERNS = [
     r"([a-zA-Z0-9\s&/]+?)(?:programming|development|analysis|expertise)",
     r"\b([a-z]{3,})[\s]+(?:skills?|experience?|proficiency?)\b",
 ]
-# Literal words at least one of which any match of the pattern above (same
-# position in the list) contains; a text without them cannot match, so the
-# regex is skipped for it.
-PHRASE_TRIGGERS = [
-    ("proficienc", "experience", "knowledge", "skilled"),
-    ("require", "need", "must have"),
-    ("programming", "development", "analysis", "expertise"),
-    ("skill", "experienc", "proficienc"),
-]
 PREFERRED_SPLIT = r"[;,|]"
 
 # The third pattern has no anchor: a regex engine retries it at every
@@ -58,10 +51,29 @@ _SUFFIXES = "programming|development|analysis|expertise"
 _START_GUARD = rf"(?:(?<![a-zA-Z0-9\s&/])|(?<={_SUFFIXES}))"
 
 
-def _scan_pattern(p: str) -> str:
-    return _START_GUARD + p if p.startswith("([a-zA-Z0-9") else p
+@dataclass(frozen=True)
+class Phrase:
+    """How a phrase pattern is run: ``triggers`` are literal words at least one
+    of which any match contains (a text without them is skipped), ``guard`` a
+    look-behind put before the pattern."""
+
+    pattern: str
+    triggers: tuple[str, ...]
+    guard: str = ""
 
 
+PHRASES = [
+    Phrase(PHRASE_PATTERNS[0], ("proficienc", "experience", "knowledge", "skilled")),
+    Phrase(PHRASE_PATTERNS[1], ("require", "need", "must have")),
+    Phrase(PHRASE_PATTERNS[2], ("programming", "development", "analysis", "expertise"), _START_GUARD),
+    Phrase(PHRASE_PATTERNS[3], ("skill", "experienc", "proficienc")),
+]
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -100,14 +112,26 @@ def explode_skills(df: DataFrame, array_col: str, keep: Sequence[str], out: str
 def keyword_presence(text: Column, entries: Sequence[tuple[str, str]]) -> Column:
     """Array of labels whose keyword occurs at least once as a word.
 
-    Each keyword is tested on its own (a cheap substring test guards the
-    regex), so overlapping keywords are all found.
+    Keywords of word characters alone are looked up among the text's words,
+    found in one pass (whole words cannot hide each other).  Each other
+    keyword (phrases, ``c++``) is tested on its own, a cheap substring test
+    guarding the regex, so overlapping keywords are all found.
     """
-    tests = [F.when(text.contains(kw) & text.rlike(bounded(kw)), F.lit(label))
-             for label, kw in entries]
-    if not tests:
+    if not entries:
         return _empty()
-    return F.array_compact(F.array(*tests))
+    single = sorted({kw for _, kw in entries if re.fullmatch(r"\w+", kw)})
+
+    def labels(text: Column) -> Column:
+        words = F.array_intersect(F.regexp_extract_all(text, F.lit(f"{WORD}+"), F.lit(0)), F.array(*[F.lit(k) for k in single]).cast("array<string>"))
+
+        def found(words: Column) -> Column:
+            return F.array_compact(F.array(*[
+                F.when(F.array_contains(words, kw) if kw in single else text.contains(kw) & text.rlike(bounded(kw)), F.lit(label))
+                for label, kw in entries]))
+
+        return _let(words, found)
+
+    return F.when(text.isNotNull(), _let(text, labels))
 
 
 def namespaced_presence(text: Column, taxonomy=TAXONOMY) -> Column:
@@ -128,15 +152,20 @@ def contextual_skills(qual_text: Column) -> Column:
     return expr.otherwise(_empty())
 
 
-def trim_labels(labels: Column, cap: int = 8) -> Column:
-    """Drop the text before the first ``_``, distinct, sorted, first ``cap``."""
+def trim_labels(labels: Column, cap: int | None = None) -> Column:
+    """Drop the text before the first ``_``, distinct, sorted; with ``cap``
+    only the first so many (labels late in the alphabet are then lost)."""
     cut = F.transform(labels, lambda x: F.substring(x, F.instr(x, "_") + 1, 1 << 30))
-    return F.slice(F.array_sort(F.array_distinct(cut)), 1, cap)
+    return _capped(F.array_sort(F.array_distinct(cut)), cap)
+
+
+def _capped(items: Column, cap: int | None) -> Column:
+    return items if cap is None else F.slice(items, 1, cap)
 
 
 def generalized_skills(df: DataFrame, text_col: str, qual_col: str, taxonomy=TAXONOMY,
-                       cap: int = 8, out: str = SKILLS_LIST) -> DataFrame:
-    """T5+T6+T7: name-spaced presence plus contextual labels, trimmed and capped."""
+                       cap: int | None = None, out: str = SKILLS_LIST) -> DataFrame:
+    """T5+T6+T7: name-spaced presence plus contextual labels, trimmed."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     labels = F.concat(namespaced_presence(text, taxonomy), contextual_skills(F.col(qual_col)))
     return df.withColumn(out, trim_labels(labels, cap))
@@ -163,26 +192,28 @@ def parse_preferred(pref: Column, desc: Column, vocab: dict[str, list[str]] = TE
 
 def skill_phrases(text: Column) -> Column:
     """Group 1 of every hit of the phrase patterns; trimmed, 3-20 chars, distinct, sorted."""
-    t = F.lower(text)
+    return _let(F.lower(text), _phrases_of)
+
 
-    def hits_of(p: str, words) -> Column:
-        present = None
-        for wd in words:
-            present = t.contains(wd) if present is None else (present | t.contains(wd))
-        found = F.regexp_extract_all(t, F.lit("(?i)" + _scan_pattern(p)), F.lit(1))
+def _phrases_of(t: Column) -> Column:
+    def hits_of(p: Phrase) -> Column:
+        present = F.lit(False)
+        for word in p.triggers:
+            present = present | t.contains(word)
+        found = F.regexp_extract_all(t, F.lit("(?i)" + p.guard + p.pattern), F.lit(1))
         return F.when(present, found).otherwise(_empty())
 
-    hits = F.flatten(F.array(*[hits_of(p, w) for p, w in zip(PHRASE_PATTERNS, PHRASE_TRIGGERS)]))
+    hits = F.flatten(F.array(*[hits_of(p) for p in PHRASES]))
     trimmed = F.transform(hits, _strip)
     kept = F.filter(trimmed, lambda x: (F.length(x) > 2) & (F.length(x) <= 20))
-    return F.when(text.isNull(), _empty()).otherwise(F.array_sort(F.array_distinct(kept)))
+    return F.when(t.isNull(), _empty()).otherwise(F.array_sort(F.array_distinct(kept)))
 
 
-def skills_cascade(df: DataFrame, pref_col: str, desc_col: str, qual_col: str, cap: int = 10,
+def skills_cascade(df: DataFrame, pref_col: str, desc_col: str, qual_col: str, cap: int | None = None,
                    vocab: dict[str, list[str]] = TECH_SKILLS, out: str = SKILLS_LIST,
                    count_out: str | None = SKILLS_COUNT) -> DataFrame:
-    """T11 (+T12): preferred-skill split if it yields any (uncapped), else
-    keywords over all text, else phrases over all text (both capped)."""
+    """T11 (+T12): preferred-skill split if it yields any, else keywords over all
+    text, else phrases over all text (the latter two cut to ``cap`` if given)."""
     pref = F.col(pref_col)
     all_text = F.concat_ws(" ", F.col(desc_col), F.col(qual_col), pref)
     split = F.when(pref.isNotNull(), _null_if_empty(parse_preferred(pref, F.col(desc_col), vocab)))
@@ -190,7 +221,7 @@ def skills_cascade(df: DataFrame, pref_col: str, desc_col: str, qual_col: str, c
     phr = skill_phrases(all_text)
     # coalesce evaluates left to right and stops at the first non-null, so
     # each (regex-heavy) level runs at most once and only when needed
-    res = F.coalesce(split, F.slice(kw, 1, cap), F.slice(phr, 1, cap))
+    res = F.coalesce(split, _capped(kw, cap), _capped(phr, cap))
     df = df.withColumn(out, res)
     return df.withColumn(count_out, F.size(F.col(out))) if count_out else df
 

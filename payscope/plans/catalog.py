@@ -7,8 +7,7 @@ orders); long-text queries (suffix ``_docs``) run on adapter B
 Where a result column is a mean of doubles, the query rounds it to cents
 (2 decimals) so that engines that add in a different order agree (the last
 bits of a double sum depend on the order); the operators themselves return
-unrounded values.  K7 runs its operator with ``exact=True`` (decimal pay
-sums), because its half-cent averages can sit exactly on a rounding tie.
+unrounded values.
 Arrays are shown joined with ``|`` so they compare as plain text.
 """
 
@@ -32,6 +31,7 @@ from payscope.operators import profile as P
 from payscope.operators import skills as SK
 from payscope.plans import jobs
 from payscope.sources.adapters import TIEBREAK, postings_from_documents, postings_from_tpch
+from payscope.sources.taxonomy import TAXONOMY, TECH_SKILLS
 
 # ---------------------------------------------------------------------------
 # Test vocabularies.  The part-name words are the 16 words the
@@ -43,6 +43,11 @@ PART_WORDS = ["anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large",
 PLAIN_WORDS = ["the", "of", "and", "to", "in", "that", "for", "with", "this", "from"]
 PLAIN_TAXONOMY = {"plain": {"words": PLAIN_WORDS}}
 
+# The vocabularies with the plain words added: documents have hits, and the
+# whole vocabulary is still looked for.
+DOCS_TAXONOMY = {**TAXONOMY, **PLAIN_TAXONOMY}
+DOCS_VOCABULARY = {**TECH_SKILLS, "plain": PLAIN_WORDS}
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -71,6 +76,11 @@ def m2(spark: SparkSession, d: str) -> DataFrame:
     return jobs.enrich(m1(spark, d), S)
 
 
+def dates(spark: SparkSession, d: str) -> DataFrame:
+    """Posting dates before dedup, whose latest is that of the kept postings."""
+    return C.posting_date_to_date(raw(spark, d).select(S.posting_date), S.posting_date)
+
+
 def docs(spark: SparkSession, d: str) -> DataFrame:
     return postings_from_documents(spark, d)
 
@@ -89,6 +99,11 @@ def p1(spark, d):
     return P.profile(raw(spark, d))
 
 
+@query("P2")
+def p2(spark, d):
+    return P.preview(raw(spark, d), 5, [S.job_id, "line_number", "part_key", "supp_key", S.salary_to])
+
+
 @query("P3")
 def p3(spark, d):
     return P.value_counts(raw(spark, d), S.salary_frequency)
@@ -188,13 +203,13 @@ def f2(spark, d):
 
 @query("F3")
 def f3(spark, d):
-    df = FL.recent_days(m1(spark, d), POSTING_DATE, 730, bounds=("from_date", "to_date"))
+    df = FL.recent_days(m1(spark, d), POSTING_DATE, 730, bounds=("from_date", "to_date"), dates=dates(spark, d))
     return df.select(S.job_id, POSTING_DATE, "from_date", "to_date")
 
 
 @query("F4")
 def f4(spark, d):
-    df = FL.recent_years(m1(spark, d), POSTING_DATE, 2, bounds=("from_date", "to_date"))
+    df = FL.recent_years(m1(spark, d), POSTING_DATE, 2, bounds=("from_date", "to_date"), dates=dates(spark, d))
     return df.select(S.job_id, POSTING_DATE, "from_date", "to_date")
 
 
@@ -238,7 +253,7 @@ def t4_docs(spark, d):
 
 @query("T5_docs")
 def t5_docs(spark, d):
-    return docs(spark, d).select(S.job_id, _joined(SK.namespaced_presence(F.col(COMBINED_TEXT)), "labels"))
+    return docs(spark, d).select(S.job_id, _joined(SK.namespaced_presence(F.col(COMBINED_TEXT), DOCS_TAXONOMY), "labels"))
 
 
 @query("T6_docs")
@@ -248,13 +263,13 @@ def t6_docs(spark, d):
 
 @query("T7_docs")
 def t7_docs(spark, d):
-    df = SK.generalized_skills(docs(spark, d), COMBINED_TEXT, S.min_qual)
+    df = SK.generalized_skills(docs(spark, d), COMBINED_TEXT, S.min_qual, DOCS_TAXONOMY)
     return df.select(S.job_id, _joined(F.col(SKILLS_LIST), "skills"))
 
 
 @query("T8_docs")
 def t8_docs(spark, d):
-    return docs(spark, d).select(S.job_id, _joined(SK.tech_skills(F.col(COMBINED_TEXT)), "skills"))
+    return docs(spark, d).select(S.job_id, _joined(SK.tech_skills(F.col(COMBINED_TEXT), DOCS_VOCABULARY), "skills"))
 
 
 @query("T5")
@@ -307,7 +322,7 @@ def _docs_as_postings(spark, d):
 
 @query("T11_docs")
 def t11_docs(spark, d):
-    df = SK.skills_cascade(_docs_as_postings(spark, d), S.preferred_skills, S.min_qual, "no_qual")
+    df = SK.skills_cascade(_docs_as_postings(spark, d), S.preferred_skills, S.min_qual, "no_qual", vocab=DOCS_VOCABULARY)
     return df.select(S.job_id, _joined(F.col(SKILLS_LIST), "skills"), "skills_count")
 
 
@@ -319,7 +334,7 @@ def t11(spark, d):
 
 @query("T12_docs")
 def t12_docs(spark, d):
-    df = docs(spark, d).withColumn(SKILLS_LIST, SK.tech_skills(F.col(COMBINED_TEXT)))
+    df = docs(spark, d).withColumn(SKILLS_LIST, SK.tech_skills(F.col(COMBINED_TEXT), DOCS_VOCABULARY))
     return SK.with_skills_count(df).select(S.job_id, "skills_count")
 
 
@@ -380,7 +395,12 @@ def k5_docs(spark, d):
 @query("K5_test")
 def k5_test(spark, d):
     return _round(A.anova_oneway(m2(spark, d), QUALIFICATION, SALARY_MID),
-                  {"F_statistic": 6, "eta_squared": 9})
+                  {"F_statistic": 6, "p_value": 9, "eta_squared": 9})
+
+
+@query("K5_groups")
+def k5_groups(spark, d):
+    return _round(A.salary_stats(m2(spark, d), QUALIFICATION, SALARY_MID), {"mean": 2})
 
 
 @query("K6")
@@ -390,7 +410,7 @@ def k6(spark, d):
 
 @query("K7")
 def k7(spark, d):
-    return _round(K.agency_insights(m1(spark, d), S.agency, POSTING_DATE, exact=True),
+    return _round(K.agency_insights(m1(spark, d), S.agency, POSTING_DATE, dates=dates(spark, d)),
                   {"avg_salary_2yr": 2, "salary_premium": 2})
 
 
@@ -405,7 +425,7 @@ def k8(spark, d):
 @query("K9")
 def k9(spark, d):
     return K.recent_avg_by_group(m1(spark, d, category_rule="clean"), [S.agency, PRIMARY_CATEGORY],
-                                 POSTING_DATE)
+                                 POSTING_DATE, dates=dates(spark, d))
 
 
 _K10_ROUND = {"avg_salary": 2, "salary_premium": 2}
@@ -437,7 +457,7 @@ def k11(spark, d):
 @query("K11_docs")
 def k11_docs(spark, d):
     return _round(K.highest_paid_skills_generalized(docs(spark, d), COMBINED_TEXT, S.min_qual, S.job_id,
-                                                    taxonomy=PLAIN_TAXONOMY), {"salary_premium": 2})
+                                                    taxonomy=DOCS_TAXONOMY), {"salary_premium": 2})
 
 
 @query("K12")
@@ -474,7 +494,15 @@ def q_m2(spark, d):
     return m2(spark, d)
 
 
-# Queries whose semantics (look-ahead phrase patterns, the F-distribution
-# tail) have no SQL equivalent; they are checked against brute force in tests.
-NO_ORACLE = {"T10", "T10_docs", "T11_docs", "T11", "T12", "K5_test"}
+def _m3(name: str, digits: dict[str, int]) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        base = jobs.kpi_base(m2(spark, d), S)
+        return _round(jobs.kpi_tables(base, S)[name][0], digits)
+    return run
+
 
+# M3 on the path that the job ships: stored narrow table, then the KPI
+QUERIES["M3_skills"] = _m3("Highest_Paid_Skills", _K10_ROUND)
+QUERIES["M3_distribution"] = _m3("Skill_Salary_Distribution", {})
+QUERIES["M3_degrees"] = _m3("Degree_Salary_Correlation", {})
+QUERIES["M3_agencies"] = _m3("Agency_insights", {"avg_salary_2yr": 2, "salary_premium": 2})

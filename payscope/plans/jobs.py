@@ -12,12 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.columns import (COMBINED_TEXT, POSTING_DATE, PRIMARY_CATEGORY, QUALIFICATION, RAW,
-                              SALARY_FLAG, SALARY_MID, PostingColumns)
+from payscope.columns import (COMBINED_TEXT, EXTRACTED_SKILLS, POSTING_DATE, PRIMARY_CATEGORY, QUALIFICATION,
+                              RAW, SALARY_FLAG, SALARY_MID, SKILL, PostingColumns)
 from payscope.operators import clean as C
 from payscope.operators import features as T
 from payscope.operators import kpis as K
-from payscope.session import materialize
+from payscope.operators.skills import extract_mentions
+from payscope.session import delete_folder, materialize
 from payscope.sources.sink import write_kpi_csv
 
 
@@ -39,8 +40,8 @@ def clean(df: DataFrame, cols: PostingColumns = RAW, tiebreak: Sequence[str] = (
     raise ValueError("category_rule must be 'first' or 'clean'")
 
 
-def enrich(df: DataFrame, cols: PostingColumns = RAW, accuracy: int = 10000,
-           checkpoint_input: bool = False) -> DataFrame:
+def enrich(df: DataFrame, cols: PostingColumns = RAW, checkpoint_input: bool = False,
+           made: list[str] | None = None) -> DataFrame:
     """M2: qualification class -> pay band against its median -> combined text.
 
     The pay bands need two passes over the input (the medians, then every
@@ -48,34 +49,58 @@ def enrich(df: DataFrame, cols: PostingColumns = RAW, accuracy: int = 10000,
     first written under the shared checkpoint folder, so both passes read
     those files instead of each re-running the upstream scan, joins and
     dedup sort; use it for large runs (it needs ``spark.checkpoint.dir``).
+    ``made`` collects the folder, for deletion after the run.
     """
     if checkpoint_input:
-        df = materialize(df, "cleaned")
+        df = materialize(df, "cleaned", made=made)
     df = T.categorize_qualification(df, cols.min_qual)
-    df = T.flag_salary_vs_qualification(df, accuracy=accuracy)
+    df = T.flag_salary_vs_qualification(df)
     return T.combined_text(df, [cols.preferred_skills, cols.job_description, cols.min_qual])
 
 
 POSTING_YEAR = "posting_year"
+FILES_PER_YEAR = 8
 
 
-def report(enriched: DataFrame, output_dir: str, cols: PostingColumns = RAW,
-           keywords: Sequence[str] | None = None, run_date: str | None = None) -> dict[str, str]:
-    """M3: the four KPI files from one materialised narrow table.
+def kpi_base(enriched: DataFrame, cols: PostingColumns = RAW, keywords: Sequence[str] | None = None,
+             made: list[str] | None = None) -> DataFrame:
+    """The one narrow table that the four KPIs read, stored by posting year.
 
-    Only the columns the KPIs read are written (under the shared checkpoint
-    folder, partitioned by posting year); the four KPI plans then scan that
-    table instead of re-running dedup and the median join four times, and
-    the two-year agency window skips older year folders.
+    Skill mentions are found before writing, so no free text is stored.  Rows
+    are dealt by year and a salt of the job id: each year gets at most
+    ``FILES_PER_YEAR`` files, and a year with most postings several tasks.
     """
-    narrow = enriched.select(cols.job_id, cols.agency, POSTING_DATE, SALARY_MID, PRIMARY_CATEGORY,
-                             QUALIFICATION, SALARY_FLAG, COMBINED_TEXT,
-                             F.year(POSTING_DATE).alias(POSTING_YEAR))
-    base = materialize(narrow, "enriched", partition_by=[POSTING_YEAR])
-    outputs = {
-        "Highest_Paid_Skills": K.highest_paid_skills(base, COMBINED_TEXT, cols.job_id, keywords=keywords),
-        "Skill_Salary_Distribution": K.salary_distribution(base, PRIMARY_CATEGORY),
-        "Degree_Salary_Correlation": K.degree_salary_correlation(base),
-        "Agency_insights": K.agency_insights(base, cols.agency, POSTING_DATE, partition_year=POSTING_YEAR),
+    narrow = extract_mentions(enriched, COMBINED_TEXT, keywords, EXTRACTED_SKILLS).select(
+        cols.job_id, cols.agency, POSTING_DATE, SALARY_MID, PRIMARY_CATEGORY, QUALIFICATION, SALARY_FLAG,
+        EXTRACTED_SKILLS, F.year(POSTING_DATE).alias(POSTING_YEAR))
+    salt = F.pmod(F.xxhash64(cols.job_id), F.lit(FILES_PER_YEAR))
+    return materialize(narrow.repartition(POSTING_YEAR, salt), "enriched", [POSTING_YEAR], made)
+
+
+def kpi_tables(base: DataFrame, cols: PostingColumns = RAW) -> dict[str, tuple[DataFrame, list]]:
+    """M3: KPI name -> (rows, order) over ``kpi_base``.  The two-year agency
+    window skips older year folders."""
+    return {
+        "Highest_Paid_Skills": (K.highest_paid_mentions(base, EXTRACTED_SKILLS, cols.job_id),
+                                [F.col("avg_salary").desc(), F.col(SKILL)]),
+        "Skill_Salary_Distribution": (K.salary_distribution(base, PRIMARY_CATEGORY), [F.col(PRIMARY_CATEGORY)]),
+        "Degree_Salary_Correlation": (K.degree_salary_correlation(base),
+                                      [F.col(QUALIFICATION), F.col("job_count").desc(), F.col(SALARY_FLAG)]),
+        "Agency_insights": (K.agency_insights(base, cols.agency, POSTING_DATE, partition_year=POSTING_YEAR),
+                            [F.col("avg_salary_2yr").desc(), F.col(cols.agency)]),
     }
-    return {name: write_kpi_csv(df, name, output_dir, run_date) for name, df in outputs.items()}
+
+
+def report(enriched: DataFrame, output_dir: str, cols: PostingColumns = RAW,
+           keywords: Sequence[str] | None = None, run_date: str | None = None,
+           made: list[str] | None = None) -> dict[str, str]:
+    """M3: the four KPI files.  Stored tables, those of ``made`` included, are
+    deleted at the end."""
+    made = [] if made is None else made
+    spark = enriched.sparkSession
+    try:
+        tables = kpi_tables(kpi_base(enriched, cols, keywords, made), cols)
+        return {name: write_kpi_csv(df, name, output_dir, run_date, order) for name, (df, order) in tables.items()}
+    finally:
+        for path in made:
+            delete_folder(spark, path)

@@ -13,17 +13,22 @@ Regex notes: DuckDB's RE2 has no look-around.  A whole-word *presence* test
 is written with consuming boundary groups, which is exact for a yes/no
 test.  *Mention lists* of single-word keywords are taken as the maximal
 word-character runs that equal a keyword, which is what the look-around
-pattern finds for such keywords.
+pattern finds for such keywords.  For phrases and ``c++`` every separator
+is doubled first, so that neighbouring hits do not share one and boundaries
+can be consumed.  In the phrase patterns the look-ahead for ``. , ;`` is
+consumed too: no hit starts with one of these.
 """
 
 from __future__ import annotations
 
-from payscope.plans.catalog import NO_ORACLE, PART_WORDS, PLAIN_TAXONOMY, PLAIN_WORDS
+from payscope.plans.catalog import DOCS_TAXONOMY, DOCS_VOCABULARY, PART_WORDS, PLAIN_WORDS
+from payscope.sources.adapters import DESCRIPTION_TEXTS, PREFERRED_TEXTS, QUAL_TEXTS
 from payscope.sources.taxonomy import TAXONOMY, TECH_SKILLS, flat_keywords, taxonomy_entries
 
 WORDCH = r"[\p{L}\p{Nd}_]"
 NONWORD = r"[^\p{L}\p{Nd}_]"
-WS = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+# Unicode blanks by code point
+WS = " || ".join(f"chr({c})" for c in [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
 META = set("\\.^$|?*+()[]{}")
 
 
@@ -48,6 +53,16 @@ def num(c: str) -> str:
     return f"TRY_CAST(regexp_replace({c}, '[^\\d.]', '', 'g') AS DOUBLE)"
 
 
+def pick(texts, key: str) -> str:
+    """The text at ``key`` modulo the list's length."""
+    whens = " ".join(f"WHEN {i} THEN {'NULL' if t is None else lit(t)}" for i, t in enumerate(texts))
+    return f"CASE {key} % {len(texts)} {whens} END"
+
+
+def money(v: str) -> str:
+    return f"(CASE WHEN l.l_quantity >= 20 THEN '' ELSE '$' END) || CAST(CAST({v} AS DECIMAL(12,2)) AS VARCHAR)"
+
+
 ISO = "'%Y-%m-%dT%H:%M:%S.%g'"
 
 POSTINGS = f"""postings AS (
@@ -59,14 +74,13 @@ POSTINGS = f"""postings AS (
               ELSE p.p_type || (CASE p.p_partkey % 3 WHEN 0 THEN ' & ' WHEN 1 THEN ', ' ELSE '/' END) || p.p_brand
          END AS job_category,
          CASE WHEN l.l_quantity = 13 THEN 'N/A'
-              ELSE '$' || CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) END AS salary_range_from,
-         '$' || CAST(CAST(l.l_extendedprice + 100 * l.l_quantity AS DECIMAL(12,2)) AS VARCHAR) AS salary_range_to,
-         CASE l.l_returnflag WHEN 'A' THEN 'Annual' WHEN 'N' THEN 'Daily' ELSE 'Hourly' END AS salary_frequency,
-         CASE p.p_size % 6 WHEN 0 THEN 'A Masters degree' WHEN 1 THEN 'A baccalaureate degree'
-              WHEN 2 THEN 'High school diploma' WHEN 3 THEN 'Matriculation'
-              WHEN 4 THEN 'Five years of experience' ELSE NULL END AS minimum_qual_requirements,
-         p.p_type || ' ' || p.p_brand AS job_description,
-         p.p_name AS preferred_skills,
+              ELSE {money('l.l_extendedprice')} END AS salary_range_from,
+         {money('l.l_extendedprice + 100 * l.l_quantity')} AS salary_range_to,
+         CASE WHEN l.l_quantity = 7 THEN 'Weekly' WHEN l.l_returnflag = 'A' THEN 'Annual'
+              WHEN l.l_returnflag = 'N' THEN 'Daily' ELSE 'Hourly' END AS salary_frequency,
+         {pick(QUAL_TEXTS, 'p.p_size')} AS minimum_qual_requirements,
+         p.p_type || ' ' || p.p_brand || {pick(DESCRIPTION_TEXTS, 'p.p_partkey')} AS job_description,
+         replace({pick(PREFERRED_TEXTS, 'p.p_partkey')}, '{{name}}', p.p_name) AS preferred_skills,
          strftime(l.l_shipdate, '%Y-%m-%d') || 'T00:00:00.000' AS posting_date,
          strftime(o.o_orderdate, {ISO}) AS posting_updated,
          strftime(o.o_orderdate, {ISO}) AS process_date,
@@ -79,10 +93,10 @@ POSTINGS = f"""postings AS (
   JOIN nation n ON s.s_nationkey = n.n_nationkey
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
-DEDUP = """dedup AS (
+DEDUP = f"""dedup AS (
   SELECT * EXCLUDE (_rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY
-        posting_date DESC NULLS LAST, line_number DESC NULLS LAST, part_key DESC NULLS LAST,
+        try_strptime(posting_date, {ISO}) DESC NULLS LAST, line_number DESC NULLS LAST, part_key DESC NULLS LAST,
         supp_key DESC NULLS LAST, salary_range_to DESC NULLS LAST,
         salary_frequency DESC NULLS LAST) AS _rn
     FROM postings) WHERE _rn = 1)"""
@@ -168,10 +182,24 @@ def word_mentions(text: str, words) -> str:
 
 
 def alternation_mentions(text: str, keywords) -> str:
-    """Mentions via one RE2 alternation with ASCII \\b (ASCII text only)."""
+    """Mentions via one RE2 alternation over the text with doubled separators."""
     uniq = sorted(set(k.lower() for k in keywords), key=lambda k: (-len(k), k))
-    body = "|".join(esc(k) for k in uniq)
-    return f"regexp_extract_all({text}, '\\b({body})\\b', 1)"
+    body = "|".join(esc("".join(c if c.isalnum() or c == "_" else c + c for c in k)) for k in uniq)
+    doubled = f"regexp_replace({text}, '({NONWORD})', '\\1\\1', 'g')"
+    found = f"regexp_extract_all({doubled}, '(?:^|{NONWORD})({body})(?:{NONWORD}|$)', 1)"
+    return f"list_transform({found}, lambda x: replace(replace(x, '  ', ' '), '++++', '++'))"
+
+
+def phrases(text: str) -> str:
+    t = f"lower({text})"
+    patterns = [r"(?:proficiency?|experience|knowledge|skilled)[\s:]*in[\s]*([a-zA-Z0-9\s&/]+?)[.,;]",
+                r"(?:requires?|need|must have)[\s]*([a-zA-Z0-9\s&/]+?)[.,;]",
+                r"([a-zA-Z0-9\s&/]+?)(?:programming|development|analysis|expertise)",
+                r"\b([a-z]{3,})[\s]+(?:skills?|experience?|proficiency?)\b"]
+    hits = "list_concat(" + ", ".join(f"regexp_extract_all({t}, '{p}', 1)" for p in patterns) + ")"
+    trimmed = f"list_transform({hits}, lambda x: trim(x, {WS}))"
+    kept = f"list_filter({trimmed}, lambda x: length(x) > 2 AND length(x) <= 20)"
+    return f"CASE WHEN {text} IS NULL THEN []::VARCHAR[] ELSE list_sort(list_distinct({kept})) END"
 
 
 def contextual(qual: str) -> str:
@@ -188,15 +216,15 @@ def namespaced(text: str, tax) -> str:
     return presence_list(text, [(f"{d}_{s}_{k}", k) for d, s, k in taxonomy_entries(tax)])
 
 
-def generalized(text: str, qual: str, tax, cap: int = 8) -> str:
+def generalized(text: str, qual: str, tax) -> str:
     labels = f"list_concat({namespaced(text, tax)}, {contextual(qual)})"
     cut = f"list_transform({labels}, lambda x: substr(x, strpos(x, '_') + 1))"
-    return f"list_slice(list_sort(list_distinct({cut})), 1, {cap})"
+    return f"list_sort(list_distinct({cut}))"
 
 
-def tech(text: str) -> str:
+def tech(text: str, vocab=TECH_SKILLS) -> str:
     t = f"lower(coalesce({text}, ''))"
-    return f"list_sort(list_distinct({presence_list(t, [(k, k) for ks in TECH_SKILLS.values() for k in ks])}))"
+    return f"list_sort(list_distinct({presence_list(t, [(k, k) for ks in vocab.values() for k in ks])}))"
 
 
 def joined(expr: str, name: str) -> str:
@@ -215,7 +243,7 @@ P1_FIELDS = [("job_id", "bigint"), ("agency", "string"), ("business_title", "str
              ("line_number", "int"), ("part_key", "bigint"), ("supp_key", "bigint")]
 SQL["P1"] = w(POSTINGS) + "\nUNION ALL\n".join(
     f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS data_type, count(*) AS \"rows\", "
-    f"count({c}) AS non_null FROM postings" for i, (c, t) in enumerate(P1_FIELDS))
+    f"count({c}) AS non_null, count(DISTINCT {c}) AS \"distinct\" FROM postings" for i, (c, t) in enumerate(P1_FIELDS))
 
 _SHARE = "round_even(CAST(\"count\" AS DOUBLE) / CAST(_total AS DOUBLE) * 100.0, 1)"
 SQL["P3"] = w(POSTINGS, """c AS (SELECT salary_frequency, count(*) AS "count" FROM postings
@@ -277,11 +305,11 @@ _T4 = word_mentions("combined_text", PART_WORDS)
 SQL["T4"] = w(*BASE_M2) + f"SELECT job_id, {joined(_T4, 'skills')}, CAST(len({_T4}) AS INTEGER) AS n_mentions FROM m2"
 _T4D = word_mentions("combined_text", PLAIN_WORDS)
 SQL["T4_docs"] = w(DOCS) + f"SELECT job_id, {joined(_T4D, 'skills')}, CAST(len({_T4D}) AS INTEGER) AS n_mentions FROM docs"
-SQL["T5_docs"] = w(DOCS) + f"SELECT job_id, {joined(namespaced('combined_text', TAXONOMY), 'labels')} FROM docs"
+SQL["T5_docs"] = w(DOCS) + f"SELECT job_id, {joined(namespaced('combined_text', DOCS_TAXONOMY), 'labels')} FROM docs"
 SQL["T6_docs"] = w(DOCS) + f"SELECT job_id, {joined(contextual('minimum_qual_requirements'), 'labels')} FROM docs"
 SQL["T7_docs"] = w(DOCS) + f"""SELECT job_id,
-  {joined(generalized('combined_text', 'minimum_qual_requirements', TAXONOMY), 'skills')} FROM docs"""
-SQL["T8_docs"] = w(DOCS) + f"SELECT job_id, {joined(tech('combined_text'), 'skills')} FROM docs"
+  {joined(generalized('combined_text', 'minimum_qual_requirements', DOCS_TAXONOMY), 'skills')} FROM docs"""
+SQL["T8_docs"] = w(DOCS) + f"SELECT job_id, {joined(tech('combined_text', DOCS_VOCABULARY), 'skills')} FROM docs"
 _T9_SPLIT = (f"list_transform(list_filter(string_split_regex(lower(preferred_skills), '[;,|]'), "
              f"lambda x: length(trim(x, {WS})) > 2 AND NOT starts_with(x, 'http')), lambda x: trim(x, {WS}))")
 SQL["T5"] = w(*BASE_M2) + f"SELECT job_id, {joined(namespaced('combined_text', TAXONOMY), 'labels')} FROM m2"
@@ -296,7 +324,7 @@ SQL["T13"] = w(*BASE_M2) + f"""SELECT skill, job_id, Annual_Salary_Mid FROM (
   WHERE skill IS NOT NULL AND length(skill) > 0"""
 SQL["T9"] = w(*BASE_M2) + f"""SELECT job_id, array_to_string(CASE WHEN preferred_skills IS NULL
   THEN {tech('job_description')} ELSE {_T9_SPLIT} END, '|') AS skills FROM m2"""
-SQL["T12_docs"] = w(DOCS) + f"SELECT job_id, CAST(len({tech('combined_text')}) AS INTEGER) AS skills_count FROM docs"
+SQL["T12_docs"] = w(DOCS) + f"SELECT job_id, CAST(len({tech('combined_text', DOCS_VOCABULARY)}) AS INTEGER) AS skills_count FROM docs"
 SQL["T13_docs"] = w(DOCS) + f"""SELECT skill, job_id, Annual_Salary_Mid FROM (
   SELECT unnest({_T4D}) AS skill, job_id, Annual_Salary_Mid FROM docs)
   WHERE skill IS NOT NULL AND length(skill) > 0"""
@@ -408,7 +436,7 @@ def k11_sql(base: tuple, source: str, tax) -> str:
 
 
 SQL["K11"] = k11_sql(BASE_M2, "m2", TAXONOMY)
-SQL["K11_docs"] = k11_sql((DOCS,), "docs", PLAIN_TAXONOMY)
+SQL["K11_docs"] = k11_sql((DOCS,), "docs", DOCS_TAXONOMY)
 SQL["K12"] = w(*BASE_M1) + """SELECT count(Annual_Salary_Mid) AS salary_count,
   round(avg(Annual_Salary_Mid), 2) AS global_avg_salary, max(Annual_Salary_Mid) AS global_max_salary,
   max(Posting_Date) AS latest_date FROM m1"""
@@ -419,4 +447,32 @@ SQL["O3"] = w(*BASE_M1) + """SELECT job_id, agency, Annual_Salary_Mid FROM m1
 SQL["M1"] = w(*BASE_M1) + "SELECT * FROM m1"
 SQL["M2"] = w(*BASE_M2) + "SELECT * FROM m2"
 
-assert not (set(SQL) & NO_ORACLE)
+
+SQL["P2"] = w(POSTINGS) + """SELECT * FROM postings ORDER BY job_id, line_number, part_key, supp_key, salary_range_to LIMIT 5"""
+_ALL_TEXT = "concat_ws(' ', job_description, minimum_qual_requirements, preferred_skills)"
+SQL["T10"] = w(*BASE_M2) + f"SELECT job_id, {joined(phrases(_ALL_TEXT), 'skills')} FROM m2"
+SQL["T10_docs"] = w(DOCS) + f"SELECT job_id, {joined(phrases('combined_text'), 'skills')} FROM docs"
+_CASCADE = (f"(SELECT job_id, CASE WHEN preferred_skills IS NOT NULL AND len(_split) > 0 THEN _split WHEN len(_tech) > 0 THEN _tech "
+            f"ELSE _phrases END AS s FROM (SELECT job_id, preferred_skills, {_T9_SPLIT} AS _split, {tech(_ALL_TEXT)} AS _tech, "
+            f"{phrases(_ALL_TEXT)} AS _phrases FROM m2))")
+SQL["T11"] = w(*BASE_M2) + f"SELECT job_id, {joined('s', 'skills')}, CAST(len(s) AS INTEGER) AS skills_count FROM {_CASCADE}"
+SQL["T12"] = w(*BASE_M2) + f"SELECT job_id, CAST(len(s) AS INTEGER) AS skills_count FROM {_CASCADE}"
+_CASCADE_DOCS = (f"(SELECT job_id, CASE WHEN len(_tech) > 0 THEN _tech ELSE _phrases END AS s FROM (SELECT job_id, "
+                 f"{tech('minimum_qual_requirements', DOCS_VOCABULARY)} AS _tech, {phrases('minimum_qual_requirements')} AS _phrases FROM docs))")
+SQL["T11_docs"] = w(DOCS) + f"SELECT job_id, {joined('s', 'skills')}, CAST(len(s) AS INTEGER) AS skills_count FROM {_CASCADE_DOCS}"
+
+# five groups, so df1 = 4 and the tail has a closed form: x^a (1 + a (1 - x))
+SQL["K5_test"] = w(*BASE_M2, anova_groups("m2", "Qualification_Category"),
+                   f"st AS ({anova_sql('m2', 'Qualification_Category')})",
+                   """raw AS (SELECT st.*, (SELECT sum(n * (mean - gm) * (mean - gm)) FROM g, (SELECT sum(n * mean) / sum(n) AS gm FROM g)) AS ssb,
+      (SELECT sum((n - 1) * var) FROM g) AS ssw FROM st)""",
+                   "x AS (SELECT *, df_within / (df_within + 4 * (ssb / 4) / (ssw / df_within)) AS x, df_within / 2.0 AS a FROM raw)") + \
+    """SELECT 'ANOVA F-statistic' AS method, F_statistic, round(pow(x, a) * (1 + a * (1 - x)), 9) AS p_value, eta_squared,
+  CASE WHEN pow(x, a) * (1 + a * (1 - x)) < 0.05 THEN 'significant' ELSE 'not significant' END AS interpretation,
+  groups AS qual_groups, df_between, df_within, CAST(NULL AS VARCHAR) AS error FROM x WHERE groups = 5"""
+SQL["K5_groups"] = w(*BASE_M2) + """SELECT Qualification_Category, count(*) AS n, round(avg(Annual_Salary_Mid), 2) AS mean,
+  median(Annual_Salary_Mid) AS median FROM m2 WHERE Annual_Salary_Mid IS NOT NULL GROUP BY Qualification_Category"""
+SQL["M3_skills"] = SQL["K10"]
+SQL["M3_distribution"] = SQL["K1"]
+SQL["M3_degrees"] = SQL["K4"]
+SQL["M3_agencies"] = SQL["K7"]

@@ -27,11 +27,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     ap.add_argument("--tiebreak", nargs="*", default=[], help="columns that order same-date duplicates")
     ap.add_argument("--keywords", nargs="*", default=None, help="skill vocabulary (default: taxonomy)")
     ap.add_argument("--run-date", default=None, help="yyyymmdd folder name (default: today)")
+    ap.add_argument("--single-line", action="store_true", help="no line breaks inside fields: large files are split")
     args = ap.parse_args(argv)
     spark = spark or SparkSession.builder.appName("payscope").getOrCreate()
-    raw = read_postings_csv(spark, args.input)
-    enriched = jobs.enrich(jobs.clean(raw, RAW, tuple(args.tiebreak)), RAW, checkpoint_input=True)
-    out = jobs.report(enriched, args.output, RAW, keywords=args.keywords, run_date=args.run_date)
+    raw = read_postings_csv(spark, args.input, multi_line=not args.single_line)
+    made: list[str] = []
+    enriched = jobs.enrich(jobs.clean(raw, RAW, tuple(args.tiebreak)), RAW, checkpoint_input=True, made=made)
+    out = jobs.report(enriched, args.output, RAW, keywords=args.keywords, run_date=args.run_date, made=made)
     print(json.dumps(out))
     return out
 

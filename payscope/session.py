@@ -62,13 +62,21 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return sc.getCheckpointDir() or fallback
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system, whichever it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                made: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts the lineage so later stages do not recompute the upstream shuffles,
     and, unlike caching, survives the loss of executors because the files
     live on shared storage.  ``partition_by`` lays the files out by those
-    columns so that filters on them skip whole folders.
+    columns so that filters on them skip whole folders.  The folder's path is
+    added to ``made``, for ``delete_folder`` once nothing reads it any more.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
@@ -77,4 +85,6 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.parquet(path)

@@ -20,13 +20,14 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.columns import COMBINED_TEXT, SALARY_MID, SNAKE
 from payscope.functions.dates import ISO_FORMAT
 
-# Fixed values of adapter A (see FIXTURES.md section 5).
+# Fixed values of adapter A (see FIXTURES.md section 5); each list is indexed
+# by a key of the row modulo its length.
 QUAL_TEXTS = [
     "A Masters degree",
     "A baccalaureate degree",
@@ -34,10 +35,34 @@ QUAL_TEXTS = [
     "Matriculation",
     "Five years of experience",
     None,
+    "A Masters degree in engineering; knowledge in data analysis.",
+    "A baccalaureate degree and legal experience in contract review.",
+    "Diploma in public health, must have team lead skills.",
+    "Experience in accounting and finance; skilled in financial modeling.",
+]
+PREFERRED_TEXTS = [
+    "{name}",
+    "Python; SQL, Java",
+    "AutoCAD|Revit | CAD ",
+    "https://skills.example/list, Excel; r",
+    None,
+    "Vendor Management; Six Sigma, MS Project",
+    " C++ , C#;Java/Scala",
+    "",
+    "sql server|MySQL;Oracle",
+]
+DESCRIPTION_TEXTS = [
+    "",
+    ". Requires data analysis, and experience in project planning; must have python skills.",
+    ". Proficienc in sap and oracle, knowledge: in aws; stakeholder management expertise",
+    ". The unit needs sql programming, web development; r & d analysis and strong writing skills",
+    ". Need first aid, cpr. Supervisory experience, excel proficienc wanted.",
 ]
 CATEGORY_SEPARATORS = [" & ", ", ", "/"]
 FREQUENCY_BY_FLAG = {"A": "Annual", "N": "Daily"}  # anything else: Hourly
 NA_QUANTITY = 13
+WEEKLY_QUANTITY = 7  # a frequency without a factor
+PLAIN_FROM_QUANTITY = 20  # salary bounds without the currency sign from here on
 
 # Columns that break ties between lines of one order (the key/line pair is
 # not unique in the generated tables).
@@ -48,34 +73,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def ensure_parallelism(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
+def fact_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
+    """Scan only ``columns`` of a fact table (the first is its key).
 
-    A fact table stored as one file with one row group is read by a single
-    task, which then runs every narrow operator (joins to broadcast tables,
-    regexes over text) on one core.  Hash-partitioning on ``key`` fixes
-    that without the per-partition sort a round-robin repartition needs for
-    deterministic retries, and when ``key`` is the posting key the dedup
-    window downstream reuses this partitioning instead of shuffling again.
-    On a real input of many files or row groups the scan already has at
-    least that many splits and nothing is added.
+    A table kept as one small file is one split.  A caller that wants such a
+    scan spread (tests, the bench) says so in ``payscope.scan.partitions``;
+    unset, as on a cluster, nothing is added to the scan.
     """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as is
-        return df
-    return df.repartition(target, key) if splits < target else df
+    df = table(spark, sf_dir, name).select(*columns)
+    parts = spark.conf.get("payscope.scan.partitions", None)
+    return df.repartition(int(parts), columns[0]) if parts else df
 
 
-def fact_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """Scan only ``columns`` of a fact table (the first is its key), then
-    apply the parallelism guard."""
-    return ensure_parallelism(table(spark, sf_dir, name).select(*columns), columns[0])
+def _pick(texts: list[str | None], key: Column) -> Column:
+    """The text at ``key`` modulo the list's length."""
+    return F.element_at(F.array(*[F.lit(t).cast("string") for t in texts]), (key % len(texts) + 1).cast("int"))
 
 
-def _money_text(x) -> F.Column:
-    return F.concat(F.lit("$"), x.cast("decimal(12,2)").cast("string"))
+def _money_text(x: Column) -> Column:
+    sign = F.when(F.col("l_quantity") >= PLAIN_FROM_QUANTITY, F.lit("")).otherwise(F.lit("$"))
+    return F.concat(sign, x.cast("decimal(12,2)").cast("string"))
 
 
 def postings_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,13 +115,12 @@ def postings_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(orders, li.l_orderkey == orders.o_orderkey, "left"))
 
     pk = F.col("p_partkey")
-    sep = F.element_at(F.array(*[F.lit(s) for s in CATEGORY_SEPARATORS]),
-                       (pk % len(CATEGORY_SEPARATORS) + 1).cast("int"))
+    sep = _pick(CATEGORY_SEPARATORS, pk)
     category = F.when(pk % 17 == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.col("p_type"), sep, F.col("p_brand")))
-    qual = F.element_at(F.array(*[F.lit(q).cast("string") for q in QUAL_TEXTS]),
-                        (F.col("p_size") % len(QUAL_TEXTS) + 1).cast("int"))
+    preferred = F.replace(_pick(PREFERRED_TEXTS, pk), F.lit("{name}"), F.col("p_name"))
     freq = F.coalesce(
+        F.when(F.col("l_quantity") == WEEKLY_QUANTITY, F.lit("Weekly")),
         *[F.when(F.col("l_returnflag") == k, F.lit(v)) for k, v in FREQUENCY_BY_FLAG.items()],
         F.lit("Hourly"))
     order_ts = F.date_format("o_orderdate", ISO_FORMAT)
@@ -119,9 +135,9 @@ def postings_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(_money_text(F.col("l_extendedprice"))).alias(SNAKE.salary_from),
         _money_text(F.col("l_extendedprice") + F.lit(100) * F.col("l_quantity")).alias(SNAKE.salary_to),
         freq.alias(SNAKE.salary_frequency),
-        qual.alias(SNAKE.min_qual),
-        F.concat_ws(" ", "p_type", "p_brand").alias(SNAKE.job_description),
-        F.col("p_name").alias(SNAKE.preferred_skills),
+        _pick(QUAL_TEXTS, F.col("p_size")).alias(SNAKE.min_qual),
+        F.concat(F.col("p_type"), F.lit(" "), F.col("p_brand"), _pick(DESCRIPTION_TEXTS, pk)).alias(SNAKE.job_description),
+        preferred.alias(SNAKE.preferred_skills),
         F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T00:00:00.000")).alias(SNAKE.posting_date),
         order_ts.alias(SNAKE.posting_updated),
         order_ts.alias(SNAKE.process_date),

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 
-def write_kpi_csv(df: DataFrame, name: str, output_dir: str, run_date: str | None = None) -> str:
+def write_kpi_csv(df: DataFrame, name: str, output_dir: str, run_date: str | None = None,
+                  order_by: Sequence[Column | str] = ()) -> str:
     """Write a KPI result as a single header CSV part in ``output_dir/yyyymmdd/name``.
 
-    KPI results are small (one row per group), so they are coalesced to one
-    partition; the rows were already reduced by the aggregation upstream.
-    Returns the folder written.
+    Only the finished rows (one per group) go to the one writing task, and are
+    put in order there: ``repartition(1)`` leaves the aggregation upstream
+    its own parallelism, which ``coalesce(1)`` would take away.  Returns the
+    folder written.
     """
     run_date = run_date or _dt.date.today().strftime("%Y%m%d")
     path = os.path.join(output_dir, run_date, name)
-    (df.coalesce(1).write.mode("overwrite")
-       .option("header", True).option("escape", '"').csv(path))
+    one = df.repartition(1)
+    one = one.sortWithinPartitions(*order_by) if order_by else one
+    one.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path

@@ -67,11 +67,6 @@ def flat_keywords(tax: dict[str, dict[str, list[str]]] = TAXONOMY) -> list[str]:
     return [k for _, _, k in taxonomy_entries(tax)]
 
 
-def one_level(name: str, vocab: dict[str, list[str]]) -> dict[str, dict[str, list[str]]]:
-    """Lift a group -> keywords vocabulary to the three-level shape."""
-    return {name: dict(vocab)}
-
-
 def taxonomy_df(spark: SparkSession, tax: dict[str, dict[str, list[str]]] = TAXONOMY) -> DataFrame:
     rows = taxonomy_entries(tax)
     return spark.createDataFrame(rows, "domain string, subdomain string, skill string")

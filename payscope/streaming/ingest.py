@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from payscope.columns import POSTING_DATE, RAW, PostingColumns, raw_schema
+from payscope.columns import POSTING_DATE, RAW, PostingColumns
 from payscope.operators import clean as C
 from payscope.operators import features as T
 from payscope.session import checkpoint_dir
+from payscope.sources import csv
 
 YEAR = "posting_year"
 
@@ -37,19 +38,22 @@ def clean_stream(df: DataFrame, cols: PostingColumns = RAW) -> DataFrame:
 
 
 def ingest(spark: SparkSession, source_dir: str, table_dir: str, cols: PostingColumns = RAW,
-           checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+           checkpoint: str | None = None, max_files_per_trigger: int | None = None,
+           multi_line: bool = True) -> StreamingQuery:
     """Clean every new CSV file under ``source_dir`` into ``table_dir``.
 
+    Columns are read by name; the header of the files present at the start
+    is declared for all, and a file with another header fails the batch.
+
     Runs with ``availableNow``: processes what has arrived, then stops, so it
     can be scheduled like a batch job while keeping streaming bookkeeping
     (each file is read once).  The checkpoint goes under the shared
     ``spark.checkpoint.dir`` unless given.
     """
-    reader = (spark.readStream.schema(raw_schema(cols)).option("header", True)
-              .option("multiLine", True).option("escape", '"'))
+    reader = spark.readStream.schema(csv.header_schema(spark, source_dir)).options(**csv.options(multi_line))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    cleaned = clean_stream(reader.csv(source_dir), cols)
+    cleaned = clean_stream(csv.by_name(reader.csv(source_dir), cols), cols)
     if checkpoint is None:
         checkpoint = os.path.join(checkpoint_dir(spark), "ingest-" + os.path.basename(table_dir.rstrip("/")))
     return (cleaned.writeStream.format("parquet")

@@ -3,9 +3,12 @@ import glob
 import json
 import os
 
+import pytest
+
 from payscope.columns import RAW
 from payscope.plans import catalog as c
 from payscope.plans import jobs
+from payscope.session import checkpoint_dir
 from payscope.sources.csv import read_postings_csv
 from payscope.sources.sink import write_kpi_csv
 from payscope.sources.taxonomy import TAXONOMY, read_taxonomy_json, taxonomy_df
@@ -40,6 +43,58 @@ def test_csv_roundtrip_quotes_and_newlines(spark, tmp_out):
     assert all(f.dataType.simpleString() == "string" for f in df.schema.fields)
 
 
+def _write_table(path, header, rows):
+    with open(path, "w", newline="", encoding="utf-8") as fh:
+        w = csv.writer(fh)
+        w.writerow(header)
+        w.writerows(rows)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_is_read_by_name(spark, tmp_out, multi_line):
+    path = os.path.join(tmp_out, "other.csv")
+    header = ["Extra", *reversed(RAW.names())]
+    _write_table(path, header, [["x", *reversed(_row("7", **{"Job Category": "IT, Data"}))], ["y", *reversed(_row("8"))]])
+    df = read_postings_csv(spark, path, multi_line=multi_line)
+    rows = {r["Job ID"]: r for r in df.collect()}
+    assert df.columns == RAW.names() and set(rows) == {"7", "8"}
+    assert (rows["7"]["Job Category"], rows["7"]["Salary Range From"], rows["7"]["Salary Frequency"]) == ("IT, Data", "50000", "Annual")
+    assert "Extra" in read_postings_csv(spark, path, extra=("Extra",)).columns
+
+
+def test_csv_with_a_missing_column_raises(spark, tmp_out):
+    path = os.path.join(tmp_out, "short.csv")
+    _write_table(path, RAW.names()[:-1], [_row("1")[:-1]])
+    with pytest.raises(ValueError, match="Process Date"):
+        read_postings_csv(spark, path)
+
+
+def test_csv_files_of_other_headers_fail(spark, tmp_out):
+    folder = os.path.join(tmp_out, "mixed")
+    os.makedirs(folder)
+    _write_table(os.path.join(folder, "a.csv"), RAW.names(), [_row("1")])
+    _write_table(os.path.join(folder, "b.csv"), list(reversed(RAW.names())), [list(reversed(_row("2")))])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_postings_csv(spark, folder).collect()
+
+
+def test_stream_reads_by_name(spark, tmp_out):
+    from payscope.streaming import ingest, read_ingested
+    src, out = os.path.join(tmp_out, "in"), os.path.join(tmp_out, "table")
+    os.makedirs(src)
+    _write_table(os.path.join(src, "a.csv"), ["Extra", *reversed(RAW.names())], [["x", *reversed(_row("7"))]])
+    ingest(spark, src, out, checkpoint=os.path.join(tmp_out, "ckpt")).awaitTermination(120)
+    row = read_ingested(spark, out).collect()[0]
+    assert (row["Job ID"], row["Agency"], row["Annual_Salary_Mid"]) == ("7", "DOH", 60000.0)
+
+
+def test_kpi_sink_keeps_order(spark, tmp_out):
+    df = spark.range(50).selectExpr("id AS n", "id % 7 AS g").repartition(5)
+    path = write_kpi_csv(df, "Ordered", tmp_out, "20260101", ["g", "n"])
+    rows = [(int(r.g), int(r.n)) for r in spark.read.option("header", True).csv(path).collect()]
+    assert rows == sorted(rows) and len(rows) == 50
+
+
 def test_kpi_sink_single_file(spark, tmp_out):
     df = spark.createDataFrame([("a,b", 1), ('q"x', 2)], "k string, n int").repartition(3)
     path = write_kpi_csv(df, "Demo", tmp_out, run_date="20260101")
@@ -67,6 +122,8 @@ def test_report_job_end_to_end(spark, tmp_out):
     k4 = spark.read.option("header", True).csv(out["Degree_Salary_Correlation"])
     # invariant: K4 counts add up to the postings left after dedup
     assert sum(int(r.job_count) for r in k4.collect()) == c.dedup(spark, SF001).count()
+    # nothing stored is left behind
+    assert not glob.glob(os.path.join(checkpoint_dir(spark).removeprefix("file:"), "enriched-*"))
     # K7 on the year-partitioned table equals K7 on the enriched plan itself
     from payscope.columns import POSTING_DATE
     from payscope.operators import kpis as K
@@ -129,3 +186,39 @@ def test_scalar_attach_is_a_subquery_not_a_join(spark):
 def test_skill_kpis_have_no_expand(spark):
     for name in ("K10_parts", "K10_docs", "K11_docs"):
         assert "Expand" not in _plan(c.QUERIES[name](spark, SF001)), name
+
+
+def _planned(spark, name):
+    """Static plan without AQE and broadcast joins."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return _plan(c.QUERIES[name](spark, SF001))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_latest_date_needs_no_dedup(spark):
+    for name in ("K7", "K9", "F3", "F4"):
+        assert _planned(spark, name).count("Window [row_number(") == 1, name
+
+
+def test_text_is_expanded_once(spark):
+    df = c.QUERIES["K11_docs"](spark, SF001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Generate explode") == 1
+
+
+def test_medians_are_exact(spark):
+    for name in ("K1", "T2", "J1", "K4", "M2"):
+        assert "percentile" not in _plan(c.QUERIES[name](spark, SF001)), name
+
+
+def test_stored_kpi_table_has_no_text(spark):
+    from payscope.columns import SNAKE
+    base = jobs.kpi_base(c.m2(spark, SF001), SNAKE)
+    assert "combined_text" not in base.columns and SNAKE.job_description not in base.columns

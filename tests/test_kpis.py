@@ -83,13 +83,12 @@ def test_agency_insights(spark):
             ("A", d(2017, 1, 1), 1e6), ("B", d(2020, 1, 1), 50.0), (None, d(2020, 1, 1), 10.0),
             (None, d(2020, 1, 2), 10.0), (None, d(2020, 1, 3), 10.0)]
     df = spark.createDataFrame(rows, "a string, d date, s double")
-    for exact in (False, True):
-        out = K.agency_insights(df, "a", "d", "s", exact=exact).collect()
-        assert [r.a for r in out] == ["A"]
-        r = out[0]
-        assert (r.job_count_2yr, r.avg_salary_2yr, r.High_salary_per_agency) == (3, 200.0, 300.0)
-        assert r.salary_premium == r.High_salary_per_agency - r.avg_salary_2yr == 100.0
-        assert r.premium_pct_per_agency == 50.0
+    out = K.agency_insights(df, "a", "d", "s").collect()
+    assert [r.a for r in out] == ["A"]
+    r = out[0]
+    assert (r.job_count_2yr, r.avg_salary_2yr, r.High_salary_per_agency) == (3, 200.0, 300.0)
+    assert r.salary_premium == r.High_salary_per_agency - r.avg_salary_2yr == 100.0
+    assert r.premium_pct_per_agency == 50.0
 
 
 def test_top_paid_per_group(spark):
@@ -243,15 +242,33 @@ def test_preview(spark):
 
 @pytest.mark.parametrize("f,d2", [(3.0, 1e6), (0.7, 4e6), (5.0, 5e7), (3.0, 1e9), (0.4, 1e12), (9.0, 1e12)])
 def test_f_survival_huge_denominator_df(f, d2):
-    # d1 = 2 has a closed form at any d2; the chi-square limit is exp(-f)
+    # d1 = 2 has a closed form at any d2
     exact = math.exp(-(d2 / 2) * math.log1p(2 * f / d2))
     assert f_survival(f, 2, d2) == pytest.approx(exact, rel=1e-6)
 
 
-@pytest.mark.parametrize("f,d1", [(2.0, 4), (0.5, 6), (12.0, 3)])
-def test_f_survival_chi2_limit_consistent(f, d1):
-    # just below and above the switch the two methods agree
-    assert f_survival(f, d1, 9.9e7) == pytest.approx(f_survival(f, d1, 1.01e8), rel=1e-5)
+@pytest.mark.parametrize("f,d2", [(2.0, 50.0), (0.5, 1e4), (12.0, 300.0), (1.7, 1e10), (2.5, 14738.0)])
+def test_f_survival_of_five_groups(f, d2):
+    x, a = d2 / (d2 + 4 * f), d2 / 2
+    closed = math.exp(a * -math.log1p(4 * f / d2)) * (1 + a * (1 - x))
+    assert f_survival(f, 4, d2) == pytest.approx(closed, rel=1e-6)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.one_of(st.floats(allow_nan=False), st.sampled_from([float("inf"), float("-inf")]))),
+                min_size=1, max_size=25))
+def test_lower_median_with_infinities(spark, rows):
+    from payscope.operators.aggregates import exact_median
+    got = {r.k: r.median for r in exact_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", lower=True).collect()}
+    for k in {k for k, _ in rows}:
+        own = sorted(v for g, v in rows if g == k)
+        assert got[k] == own[(len(own) - 1) // 2]
+
+
+def test_infinite_value_in_a_group(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("inf")), ("a", 2.0), ("b", float("-inf"))], "c string, s double")
+    assert {r.c: r.median for r in K.median_by_group(df, ["c"], "s", "median").collect()} == {"a": 2.0, "b": float("-inf")}
+    assert {r.c: r.median_salary for r in K.salary_distribution(df, "c", "s", min_count=0).collect()} == {"a": 2.0, "b": float("-inf")}
 
 
 def test_exact_distribution_all_null_category(spark):

@@ -53,7 +53,7 @@ def py_context(q):
 def py_generalized(text, qual, tax=TAXONOMY):
     found = py_presence(text, [(f"{d}_{s}_{k}", k) for d, s, k in taxonomy_entries(tax)])
     found += py_context(qual)
-    return sorted(set(s.split("_", 1)[1] for s in found))[:8]
+    return sorted(set(s.split("_", 1)[1] for s in found))
 
 
 def py_cascade(pref, desc, qual):
@@ -64,7 +64,7 @@ def py_cascade(pref, desc, qual):
             return got
     all_text = " ".join(x for x in (desc, qual, pref) if x is not None)
     kw = py_tech(all_text)
-    return kw[:10] if kw else py_phrases(all_text)[:10]
+    return kw or py_phrases(all_text)
 
 
 def _rows(spark, col_expr):
