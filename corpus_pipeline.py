@@ -35,18 +35,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, keep the row with the largest doc_id; of equal rows one."""
-    found = exact_dedup.classes(docs).select(F.col("digest").alias("_class"), F.col("keep_id").alias("_keep"))
-    mine = docs.withColumn("_digest", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+    found = exact_dedup.classes(docs)
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    mine = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), digest.alias("own"))
     # keep_id is the largest id, so >= is equality; the join key stays the digest
-    stays = F.col("_keep").isNull() | (F.col("doc_id") >= F.col("_keep"))
-    kept = mine.join(found, (F.col("_digest") == F.col("_class")) & stays)
-    return kept.dropDuplicates(["_digest"]).select(*docs.columns)
+    stays = F.col("keep_id").isNull() | (F.col("id") >= F.col("keep_id"))
+    kept = mine.join(found, (F.col("own") == F.col("digest")) & stays)
+    return kept.dropDuplicates(["own"]).select("row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates, keep the document with the smallest doc_id."""
-    kept = near_dedup.classes(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = near_dedup.classes(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
