@@ -129,7 +129,7 @@ def host_word_label(host: Column, words: tuple[str, ...] = BAD_HOST_WORDS) -> Co
 def suffix_statistics(featured: DataFrame, label: str) -> DataFrame:
     """(bucket, n, bad) over every labelled URL; at most SUFFIX_BUCKETS rows."""
     buckets = F.explode(F.array(*[f"bucket_{k}" for k in SUFFIX_LABELS]))
-    return (featured.where(F.col(label).isNotNull()).select(buckets.alias("bucket"), F.col(label).alias("y"))
+    return (featured.select(buckets.alias("bucket"), F.col(label).alias("y"))
             .groupBy("bucket").agg(F.count("*").cast("double").alias("n"), F.sum("y").alias("bad")))
 
 
@@ -176,9 +176,8 @@ def train(labelled: DataFrame, url: str = "url", label: str = "label",
     a sample by hash of the URL whose expected size is ``max_train_rows``
     per class, so that a rare class is not lost.
     """
-    featured = with_features(require(labelled, [url, label]), url)
-    per_class = {r["y"]: r["n"] for r in featured.where(F.col(label).isNotNull())
-                 .groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
+    featured = with_features(require(labelled, [url, label]).where(F.col(label).isin(0.0, 1.0)), url)
+    per_class = {r["y"]: r["n"] for r in featured.groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
     total = sum(per_class.values())
     prior = per_class.get(1.0, 0) / total if total else 0.0
     stats = suffix_statistics(featured, label)
@@ -186,7 +185,7 @@ def train(labelled: DataFrame, url: str = "url", label: str = "label",
         return UrlModel(None, stats, prior)
     stats = stored(stats, "url-suffixes")
     share = lambda y: min(1.0, max_train_rows / per_class[y])
-    unit = F.pmod(F.xxhash64(F.lit(17), F.col(url)), F.lit(1 << 30)) / float(1 << 30)
+    unit = F.pmod(F.xxhash64(F.lit(17), F.coalesce(F.col(url), F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
     sample = featured.where(unit < F.when(F.col(label) == 1.0, share(1.0)).otherwise(share(0.0)))
     rich = _with_suffix_features(sample, stats, prior).withColumn(
         "_weight", F.when(F.col(label) == 1.0, 1.0 / per_class[1.0] / share(1.0)).otherwise(1.0 / per_class[0.0] / share(0.0)) * float(max_train_rows))

@@ -361,8 +361,9 @@ def test_chat_windows(spark):
         assert len(x.is_new) == x.formatted.count(chat_format.START) == x.formatted.count(chat_format.END + "\n")
         assert any(x.is_new) and x.n_tokens <= 600 + max(0, longest[x.conv_id] - 240)
         turns = sorted(conversations[x.conv_id])
-        if turns[0][2] == "system" and not turns[0][3].startswith("<"):
-            assert x.formatted.startswith("<|im_start|>system\nbe kind<|im_end|>\n")
+        if turns[0][2] == "system":
+            told = re.sub(r"<(\\*)\|", r"<\1\\|", turns[0][3])
+            assert x.formatted.startswith(f"<|im_start|>system\n{told}<|im_end|>\n")
 
 
 def test_chat_of_nothing_and_small_budget(spark):

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import zlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from payscope.llm import byte_bpe, language_id, license_scan, quality_rules, token_counts
 from payscope.llm.licence_texts import LICENCE_TEXTS
@@ -107,7 +109,7 @@ def test_quality_ledger_and_policies(spark):
     n = len(texts)
     assert rows[n - 4].fail_bits & bits["repeated_windows"] and rows[n - 3].fail_bits & bits["symbols"]
     assert rows[n - 2].fail_bits & bits["shouting"] and rows[n - 1].fail_bits & bits["duplicate_lines"]
-    kept = documents(spark, texts).where(quality_rules.passes(documents(spark, texts)["text"], "web-2"))
+    kept = documents(spark, texts).where(quality_rules.passes(F.col("text"), "web-2"))
     assert {x.doc_id for x in kept.collect()} == {k for k, x in rows.items() if x.kept}
     found = {x.rule: x for x in quality_rules.ablations(ledger, "web-2").collect()}
     for name in quality_rules.POLICIES["web-2"]:
@@ -122,7 +124,6 @@ def test_language_on_held_out_documents(spark):
     lang = {x.doc_id: x.lang for x in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = QUERIES["op8_language_id"](spark, sf).collect()
     assert len(rows) == len(lang)
-    import zlib
     assert all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 4 == 2) for x in rows)
     held = [x for x in rows if x.held_out and lang[x.doc_id]]
     assert sum(x.lang_pred == lang[x.doc_id] for x in held) >= 0.97 * len(held)
