@@ -3,10 +3,14 @@
 A document is the sequence of its words (letters and digits, lower case).  Its
 symbols are windows of five words labelled with their occurrence number, so
 that a window found twice counts twice.  One order MinHash takes, under one
-random order, the ``TUPLE`` smallest symbols and joins them *in text order*: equal sketches need the same symbols in the same order, which follows edit
-similarity rather than mere overlap.  ``PER_BAND`` sketches make a band key;
-documents that share one of ``BANDS`` keys are candidates (a pair of similarity 0.8
-is missed with a chance of about 3 in 100,000).
+random order, the ``TUPLE`` smallest symbols and joins them *in text order*:
+equal sketches need the same symbols in the same order, which follows edit
+similarity rather than mere overlap.  Three sketches make a band key; documents
+that share one of the keys of ``BANDS`` are candidates.  Four bits of each
+sketch make a signature: candidates that agree in fewer than ``AGREEING`` of the
+48 are skipped.  A pair of similarity 0.8 agrees in about 32, with a
+standard deviation of 3.3; either step misses it with a chance of about 1 in
+10,000.
 
 Candidates are verified by banded alignment: the longest common subsequence of
 the two symbol sequences within a diagonal band, found as the longest
@@ -17,21 +21,24 @@ as a pair of that similarity can need.  1 - similarity is a metric, used below.
 No bucket is expanded into all pairs of a group:
 
 1. documents of one word sequence are one node (pre-aggregated by digest);
-2. in each bucket every node is compared with one leader: linear in its size;
+2. in each bucket every node is compared with one leader, the node that
+   meets most others in its buckets: linear in its size;
 3. links are turned into components.  Nodes of a bucket left outside their
    leader's component are compared with the bucket's other components; a pair
    whose distances to the leader differ by more than 0.2 cannot be linked
    (triangle inequality), nor can one of too different lengths; those are
-   skipped, all others are aligned.  Nothing is capped.
+   skipped, and so are pairs whose 256 one-byte bin minima (one permutation
+   hashing) agree three standard deviations less than at similarity 0.8.  A pair
+   is looked at in one of its buckets only.  All others are aligned; nothing is
+   capped.
 
 Results: one row per document: class_id is the smallest doc_id of its class,
 class_size its number of documents, kept whether it stays (one per class).
 
 Defined results: null and empty texts, and texts without a word, are one class.
 Texts of fewer than five words are one symbol, alike only if equal.  Repeated
-rows fall in one class; of rows with the class's smallest doc_id each is kept
-by ``classes`` and one by ``deduplicate``.  Very long texts are sketched
-in blocks, whole.  Null doc_ids are never a class id unless a class has no
+rows fall in one class, and each row of the class's smallest doc_id is marked
+kept.  Very long texts are sketched in blocks, whole.  Null doc_ids are never a class id unless a class has no
 other.  Only the id and text columns are read.
 """
 
@@ -45,7 +52,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscope.llm.common import stored
@@ -54,13 +61,15 @@ from payscope.llm.components import components
 WINDOW = 5
 THRESHOLD = 0.8
 TUPLE = 2
-PER_BAND = 2
-BANDS = 20
+SKETCHES = 48
+# which sketches make each band; each sketch serves two
+BANDS = [(b, 16 + b, 32 + b) for b in range(16)] + [(b, 16 + (b + 5) % 16, 32 + (b + 11) % 16) for b in range(16)]
+AGREEING = 18
 BLOCK = 16384
 WORD = re.compile(r"[^\W_]+")
 
 _P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-_SEEDS = np.random.default_rng(20240229).integers(1, 2**63, size=BANDS * PER_BAND, dtype=np.uint64)
+_SEEDS = np.random.default_rng(20240229).integers(1, 2**63, size=SKETCHES, dtype=np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -112,15 +121,57 @@ def order_minhash(labelled: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(labelled: np.ndarray) -> np.ndarray:
-    if not len(labelled):
-        return np.empty(0, np.int64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in order_minhash(labelled).reshape(BANDS, PER_BAND).T:
+def band_keys(sketch: np.ndarray) -> np.ndarray:
+    key = np.arange(1, len(BANDS) + 1, dtype=np.uint64)
+    for column in sketch[np.array(BANDS)].T:
         key = _mix(key * _P1 + column)
     return key.view(np.int64)
 
 
+def signature(sketch: np.ndarray) -> np.ndarray:
+    """Four bits of each sketch, sixteen sketches to a number."""
+    places = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return ((sketch & np.uint64(15)).reshape(-1, 16) << places).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def bins(labelled: np.ndarray) -> np.ndarray:
+    """One byte for each of 256 bins: of its smallest symbol, 0 if empty."""
+    out = np.zeros(256, np.uint8)
+    falling = np.sort(labelled >> np.uint64(8) | (labelled << np.uint64(56)))[::-1]  # the bin is on top
+    out[(falling >> np.uint64(56)).astype(np.int64)] = 1 + _mix(falling) % np.uint64(255)  # the last, smallest, stays
+    return out.view("<i8")
+
+
+def may_be_similar(x: str, y: str, threshold: float) -> Column:
+    """False if the share of equal bins lies three standard deviations below
+    what a pair at the threshold has."""
+    ones = lambda d: d.bitwiseAND(F.lit(0x0101010101010101))
+
+    def set_bytes(d: Column) -> Column:
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 4))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
+        return ones(d.bitwiseOR(F.shiftrightunsigned(d, 1)))
+
+    def counted(a: Column, b: Column) -> Column:
+        used = F.bit_count(set_bytes(a.bitwiseOR(b)))
+        return used * 1000 + used - F.bit_count(set_bytes(a.bitwiseXOR(b)))
+
+    total = F.aggregate(F.zip_with(x, y, counted), F.lit(0), lambda s, c: s + c)
+    used, equal = F.floor(total / 1000), total % 1000
+    return equal / used >= threshold - 3 * (threshold * (1 - threshold)) ** 0.5 / F.sqrt(used)
+
+
+def agreeing(x: str, y: str) -> Column:
+    """In how many sketches two signature columns agree, by their four bits."""
+    total = F.lit(0)
+    for k in range(SKETCHES // 16):
+        d = F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        total = total + (16 - F.bit_count(d))
+    return total
+
+
 def similarity(x: np.ndarray, y: np.ndarray, threshold: float = THRESHOLD) -> float:
     """Banded alignment of two symbol sequences."""
     n, m = len(x), len(y)
@@ -147,8 +198,8 @@ def _digest(words: list[str]) -> str:
 
 
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, digest, n, bands) per row: digest of the word sequence, number
-    of symbols, band keys."""
+    """(doc_id, digest, n, bands, signature, bins) per row: digest of the word
+    sequence, number of symbols, band keys."""
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,12 +207,14 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             rows = []
             for words in map(words_of, batch["text"]):
                 labelled = symbols(words)
-                rows.append((_digest(words), len(labelled), band_keys(labelled)))
-            out = pd.DataFrame(rows, columns=["digest", "n", "bands"])
+                sketch = order_minhash(labelled) if len(labelled) else None
+                rows.append((_digest(words), len(labelled), [] if sketch is None else band_keys(sketch),
+                             [0] * (SKETCHES // 16) if sketch is None else signature(sketch), bins(labelled)))
+            out = pd.DataFrame(rows, columns=["digest", "n", "bands", "signature", "bins"])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy() if batch["doc_id"].isna().any() else batch["doc_id"].to_numpy())
             yield out
 
-    return narrow.mapInPandas(run, "doc_id long, digest string, n long, bands array<long>")
+    return narrow.mapInPandas(run, "doc_id long, digest string, n long, bands array<long>, signature array<long>, bins array<long>")
 
 
 def _symbols_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -197,18 +250,27 @@ def _similar(pairs: DataFrame, content: DataFrame, threshold: float) -> DataFram
 
 
 def links(nodes: DataFrame, symbols_of: Callable[[DataFrame], DataFrame], threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(links (a, b), components) among ``nodes`` (node, n, bands);
+    """(links (a, b), components) among ``nodes`` (node, n, bands, signature, bins);
     ``symbols_of(nodes)`` gives (node, symbols) for some of them."""
     rows = nodes.select(F.explode("bands").alias("key"), "node", "n")
-    heads = rows.groupBy("key").agg(F.count("*").alias("k"), F.min_by(F.struct("node", "n"), F.xxhash64("key", "node")).alias("lead")).where("k > 1")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
+    shared = stored(rows.join(sizes, "key"), "shared")
+    # the leader is the node that meets most others in its buckets: of copies
+    # of one text that is the text itself, to which each copy is nearest
+    met = shared.groupBy("node").agg(F.sum("k").alias("met"))
+    rank = F.col("met") * 65536 + F.pmod(F.xxhash64("key", "node"), F.lit(65536))
+    heads = shared.join(met, "node").groupBy("key").agg(F.max_by(F.struct("node", "n"), rank).alias("lead"))
     alike = lambda n, m: F.least(n, m) >= threshold * F.greatest(n, m)
-    held = stored(rows.join(heads.select("key", F.col("lead.node").alias("leader"), F.col("lead.n").alias("leader_n")), "key"), "buckets")
+    held = stored(shared.drop("k").join(heads.select("key", F.col("lead.node").alias("leader")), "key"), "buckets")
 
     # 1: each node with its bucket's leader, whatever the lengths: the
-    # distance also serves to skip pairs in 2
-    first = stored(held.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
-    wanted = first.select(F.col("a").alias("node")).union(first.select(F.col("b").alias("node"))).distinct()
-    content = stored(symbols_of(wanted), "symbols")
+    # distance, where it is known, also serves to skip pairs in 2
+    signed = lambda to: nodes.select(F.col("node").alias(to), F.col("signature").alias(f"signature_{to}"))
+    first = held.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    first = first.join(signed("a"), "a").join(signed("b"), "b").where(agreeing("signature_a", "signature_b") >= AGREEING)
+    first = stored(first.select("a", "b"), "pairs")
+    ends = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    content = stored(symbols_of(ends(first)), "symbols")
     seen = stored(_similar(first, content, threshold), "similar")
     linked = seen.where(F.col("similarity") >= threshold).select("a", "b")
     roots = components(linked)
@@ -218,12 +280,18 @@ def links(nodes: DataFrame, symbols_of: Callable[[DataFrame], DataFrame], thresh
     known = (known.withColumn("distance", F.when(F.col("node") == F.col("leader"), 0.0).otherwise(F.least(1 - F.col("similarity"), F.lit(2 * (1 - threshold))))).drop("similarity")
              .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     split = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max(F.when(F.col("node") == F.col("leader"), F.col("root"))).alias("lead_root")).where("lo != hi")
-    known = stored(known.where("node != leader").join(split.select("key", "lead_root"), "key"), "unsettled")
-    outside = known.where("root != lead_root").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "distance", "root")])
+    known = known.where("node != leader").join(split.select("key", "lead_root"), "key").join(nodes.select("node", "signature", "bins", "bands"), "node")
+    known = stored(known, "unsettled")
+    outside = known.where("root != lead_root").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "distance", "root", "signature", "bins", "bands")])
     may = ((F.col("x_root") != F.col("root")) & alike(F.col("x_n"), F.col("n"))
-           & (F.abs(F.col("x_distance") - F.col("distance")) <= 1 - threshold + 1e-9)
+           & (agreeing("x_signature", "signature") >= AGREEING)
+           & F.coalesce(F.abs(F.col("x_distance") - F.col("distance")) <= 1 - threshold + 1e-9, F.lit(True))
+           & (F.array_min(F.array_intersect("x_bands", "bands")) == F.col("key"))
+           & may_be_similar("x_bins", "bins", threshold)
            & ((F.col("root") == F.col("lead_root")) | (F.col("x_node") < F.col("node"))))
     rest = outside.join(known, "key").where(may).select(F.col("x_node").alias("a"), F.col("node").alias("b")).distinct()
+    rest = stored(rest, "pairs")
+    content = content.union(symbols_of(ends(rest).join(content.select("node"), "node", "left_anti")))
     more = stored(_similar(rest, content, threshold).where(F.col("similarity") >= threshold).select("a", "b"), "links")
     if more.isEmpty():
         return linked, roots
@@ -235,13 +303,13 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     """One row per row of ``docs``: doc_id, class_id, class_size, kept, text_digest
     (of the word sequence) and n_copies (rows of that sequence)."""
     rows = stored(sketches(docs, doc_id, text), "sketches")
-    nodes = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("copies"))
+    nodes = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature"), F.first("bins").alias("bins"), F.count("*").alias("copies"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     def symbols_of(wanted: DataFrame) -> DataFrame:
         return _symbols_of(docs, nodes.join(wanted, "node", "left_semi").select("node", "first_id", "digest"), doc_id, text)
 
-    _, roots = links(nodes.select("node", "n", "bands"), symbols_of, threshold)
+    _, roots = links(nodes.select("node", "n", "bands", "signature", "bins"), symbols_of, threshold)
     placed = nodes.select("node", "digest", "first_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     totals = placed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
     placed = placed.join(totals, "root").select("digest", "class_id", "class_size", "copies")
