@@ -83,7 +83,8 @@ class ContentTable:
 
 
 def _rows_of(batch: pd.DataFrame) -> Iterator[tuple]:
-    ids = (None if pd.isna(x) else int(x) for x in batch["largest"])
+    # ids come as text: pandas would turn a column with nulls into floats
+    ids = (None if x is None else int(x) for x in batch["largest"])
     return zip(batch["digest"], batch["content"], ids, batch["rows"], strict=True)
 
 
@@ -110,7 +111,7 @@ def fold_locally(records: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFram
         if digests:
             yield emptied(t, digests)
 
-    return records.mapInPandas(run, RECORD)
+    return records.withColumn("largest", F.col("largest").cast("string")).mapInPandas(run, RECORD)
 
 
 def plan_depth(total: int, bucket_bytes: int) -> int:
@@ -177,7 +178,7 @@ def resolve_buckets(bucketed: DataFrame) -> DataFrame:
             yield emptied(t, digests)
 
     dealt = bucketed.repartition(shuffle_partitions(bucketed.sparkSession), "bucket").sortWithinPartitions("bucket")
-    return dealt.select("bucket", "digest", "content", "largest", "rows").mapInPandas(
+    return dealt.select("bucket", "digest", "content", F.col("largest").cast("string").alias("largest"), "rows").mapInPandas(
         run, "digest string, content_no long, largest long, rows long")
 
 

@@ -38,8 +38,8 @@ class_size its number of documents, kept whether it stays (one per class).
 Defined results: null and empty texts, and texts without a word, are one class.
 Texts of fewer than five words are one symbol, alike only if equal.  Repeated
 rows fall in one class, and each row of the class's smallest doc_id is marked
-kept.  Very long texts are sketched in blocks, whole.  Null doc_ids are never a class id unless a class has no
-other.  Only the id and text columns are read.
+kept.  Very long texts are sketched in blocks, whole.  A null doc_id is never a
+class id unless a class has no other.  Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -200,21 +200,18 @@ def _digest(words: list[str]) -> str:
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, digest, n, bands, signature, bins) per row: digest of the word
     sequence, number of symbols, band keys."""
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for words in map(words_of, batch["text"]):
-                labelled = symbols(words)
-                sketch = order_minhash(labelled) if len(labelled) else None
-                rows.append((_digest(words), len(labelled), [] if sketch is None else band_keys(sketch),
-                             [0] * (SKETCHES // 16) if sketch is None else signature(sketch), bins(labelled)))
-            out = pd.DataFrame(rows, columns=["digest", "n", "bands", "signature", "bins"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy() if batch["doc_id"].isna().any() else batch["doc_id"].to_numpy())
-            yield out
-
-    return narrow.mapInPandas(run, "doc_id long, digest string, n long, bands array<long>, signature array<long>, bins array<long>")
+    @F.pandas_udf("digest string, n long, bands array<long>, signature array<long>, bins array<long>")
+    def sketched(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for words in map(words_of, texts):
+            labelled = symbols(words)
+            sketch = order_minhash(labelled) if len(labelled) else None
+            rows.append((_digest(words), len(labelled), [] if sketch is None else band_keys(sketch),
+                         [0] * (SKETCHES // 16) if sketch is None else signature(sketch), bins(labelled)))
+        return pd.DataFrame(rows, columns=["digest", "n", "bands", "signature", "bins"])
+
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), sketched(F.col(text)).alias("s")).select("doc_id", "s.*")
 
 
 def _symbols_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:

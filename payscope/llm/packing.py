@@ -40,8 +40,6 @@ from pyspark.sql import functions as F
 from payscope.llm.common import shuffle_partitions, stored
 from payscope.llm.tokens import TextEncoder
 
-PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
-
 
 def piece_bounds(n: int, capacity: int) -> Iterator[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` ids; only the first may be shorter."""
@@ -55,23 +53,27 @@ def tokenize(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str
              end_id: int = 0, keep_ids: bool = False) -> DataFrame:
     """Pieces of each document: doc_id, piece, start, length, ids_crc32, and
     ``ids`` (array<int>) with ``keep_ids``."""
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    id_type = narrow.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, {PIECE_SCHEMA}" + ", ids array<int>" * keep_ids
+    kinds = ["starts array<long>", "lengths array<long>", "crcs array<long>", *["ids array<array<int>>"] * keep_ids]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(", ".join(kinds))
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encode = TextEncoder(vocabulary).encode_bytes
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for texts in batches:
             rows = []
-            for doc, one in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = memoryview(encode(one) + end)
-                for k, (start, length) in enumerate(piece_bounds(len(ids) // 4, capacity)):
-                    piece = ids[4 * start:4 * (start + length)]
-                    rows.append((doc, k, start, length, zlib.crc32(piece), *[np.frombuffer(piece, "<u4").astype("int32")] * keep_ids))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
-
-    return narrow.mapInPandas(run, schema)
+            for text in texts:
+                ids = memoryview(encode(text) + end)
+                bounds = list(piece_bounds(len(ids) // 4, capacity))
+                pieces = [ids[4 * start:4 * (start + length)] for start, length in bounds]
+                rows.append(([x for x, _ in bounds], [n for _, n in bounds], [zlib.crc32(p) for p in pieces],
+                             *[[np.frombuffer(p, "<u4").astype("int32").tolist() for p in pieces]] * keep_ids))
+            yield pd.DataFrame(rows, columns=[k.split()[0] for k in kinds])
+
+    whole = docs.select(F.col(doc_id).alias("doc_id"), cut(F.coalesce(F.col(text), F.lit(""))).alias("c"))
+    zipped = F.arrays_zip("c.starts", "c.lengths", "c.crcs", *["c.ids"] * keep_ids)
+    return whole.select("doc_id", F.posexplode(zipped).alias("piece", "p")).select(
+        "doc_id", "piece", F.col("p.starts").alias("start"), F.col("p.lengths").alias("length"), F.col("p.crcs").alias("ids_crc32"),
+        *[F.col("p.ids").alias("ids")] * keep_ids)
 
 
 PLAN_SCHEMA = "length long, first long, last long, per_run long, sequence long, offset long"

@@ -411,3 +411,22 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+# null and very large ids
+
+BIG = 2**62 + 1
+
+
+def test_null_and_large_ids(spark):
+    a, b = prose(53, 2)
+    rows = [(None, a), (BIG, a), (BIG + 2, b), (None, b), (None, None), (7, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((x.doc_id, x.keep_id, x.group_size, x.kept) for x in exact_dedup.dedup(docs).collect()), key=str)
+    assert got == sorted([(None, BIG, 2, False), (BIG, BIG, 2, True), (BIG + 2, BIG + 2, 2, True), (None, BIG + 2, 2, False),
+                          (None, 7, 2, False), (7, 7, 2, True)], key=str)
+    near = sorted(((x.doc_id, x.class_id, x.kept) for x in near_dedup.classes(docs).collect()), key=str)
+    assert near == sorted([(None, BIG, False), (BIG, BIG, True), (BIG + 2, BIG + 2, True), (None, BIG + 2, False), (None, 7, False), (7, 7, True)], key=str)
+    packed = packing.pack(packing.tokenize(docs, BYTE_BPE_JSON)).collect()
+    assert sorted((x.doc_id for x in packed), key=str) == sorted((k for k, _ in rows), key=str)
+    assert all(x.length == 1 for x in packed if x.doc_id == 7)
