@@ -31,17 +31,17 @@ from __future__ import annotations
 
 import json
 import re
-import zlib
 from dataclasses import dataclass
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscope.llm.common import shuffle_partitions
 from payscope.llm.tokens import load_ranks
 
-GROUP_BYTES = 40 << 20
+GROUP_BYTES = 24 << 20
 BUCKETS = 1 << 16
 
 # Unicode's White_Space characters, for both regular expression dialects.
@@ -63,8 +63,8 @@ def code_point(rank: int) -> int:
 class Vocabulary:
     """A rank file as literals (constant columns).
 
-    ``merges``: array<map<string, int>>, two characters -> code point of the
-    merged piece, by crc32; ``ids`` and ``characters`` by code point, ``pieces``
+    ``merges``: array<map<string, long>>, two characters -> code point of the
+    merged piece, times 2^32, by the pair's hash; ``ids`` and ``characters`` by code point, ``pieces``
     (hex) by id."""
 
     merges: Column
@@ -88,48 +88,42 @@ def vocabulary(path: str) -> Vocabulary:
             left, right = point.get(piece[:cut]), point.get(piece[cut:])
             if left is not None and right is not None:
                 pair = chr(left) + chr(right)
-                buckets[zlib.crc32(pair.encode()) % BUCKETS][pair] = merged
+                buckets[xxhash.xxh64_intdigest(pair.encode(), 42) % BUCKETS][pair] = merged << 32
     ids = [-1] * (max(point.values()) + 1)
     pieces = [""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
         ids[point[piece]], pieces[rank] = rank, piece.hex()
     characters = ["" if 0xD800 <= c < 0xE000 else chr(c) for c in range(len(ids))]
-    return Vocabulary(_literal(buckets, "array<map<string,int>>"), _literal(ids, "array<int>"),
+    return Vocabulary(_literal(buckets, "array<map<string,bigint>>"), _literal(ids, "array<int>"),
                       _literal(characters, "array<string>"), _literal(pieces, "array<string>"))
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)``, with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def word_ids(word: Column, v: Vocabulary) -> Column:
     """array<int>: ids of one word (a string), by folding its ranked merges."""
 
     def merged_point(pair: Column) -> Column:
-        bucket = F.get(v.merges, (F.crc32(pair.cast("binary")) % BUCKETS).cast("int"))
+        bucket = F.get(v.merges, F.xxhash64(pair).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
         return F.try_element_at(bucket, pair)
 
-    def step(s: Column) -> Column:
-        """The pieces with the pair of lowest rank merged, and whether any was."""
-
-        def merge(pieces: Column) -> Column:
-            # code point of the merged pair above its place: the least is the
-            # lowest rank, the leftmost of equals
-            places = F.transform(pieces, lambda p, i: F.shiftleft(merged_point(F.concat(p, F.get(pieces, i + 1))).cast("long"), 32) + i)
-            return _let(F.array_min(places), lambda low: replaced(pieces, low))
+    def lowest(pieces: Column) -> Column:
+        # code point of the merged pair above its place: the least is the
+        # lowest rank, the leftmost of equals; -1 if there is none
+        pairs = F.regexp_extract_all(pieces, F.lit("(?s)(?=(..))"), F.lit(1))
+        return F.coalesce(F.array_min(F.transform(pairs, lambda p, i: merged_point(p) + i)), F.lit(-1).cast("long"))
 
-        def replaced(pieces: Column, low: Column) -> Column:
-            at = low.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-            pair = F.concat(F.get(pieces, at), F.get(pieces, at + 1))
-            character = F.get(v.characters, F.shiftright(low, 32).cast("int"))
-            return F.struct(F.coalesce(F.replace(s["pieces"], pair, character), s["pieces"]).alias("pieces"), low.isNotNull().alias("more"))
+    def replaced(pieces: Column, low: Column) -> Column:
+        pair = F.substr(pieces, low.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int") + 1, F.lit(2))
+        return F.replace(pieces, pair, F.get(v.characters, F.shiftright(low, 32).cast("int")))
 
-        return _let(F.split(s["pieces"], ""), merge)
+    # steps look for the lowest pair and merge it in turn, until there is none
+    def step(s: Column) -> Column:
+        found = F.struct(s["pieces"].alias("pieces"), lowest(s["pieces"]).alias("low"))
+        merged = F.struct(replaced(s["pieces"], s["low"]).alias("pieces"), F.lit(None).cast("long").alias("low"))
+        return F.when(s["low"].isNull(), found).when(s["low"] >= 0, merged).otherwise(s)
 
     raw = F.decode(F.encode(word, "utf-8"), "iso-8859-1")
-    start = F.struct(raw.alias("pieces"), F.lit(True).alias("more"))
-    folded = F.aggregate(F.sequence(F.lit(1), F.length(raw)), start, lambda s, _: F.when(s["more"], step(s)).otherwise(s), lambda s: s["pieces"])
+    start = F.struct(raw.alias("pieces"), F.lit(None).cast("long").alias("low"))
+    folded = F.aggregate(F.sequence(F.lit(1), 2 * F.length(raw)), start, lambda s, _: step(s), lambda s: s["pieces"])
     return F.transform(F.split(folded, ""), lambda p: F.get(v.ids, F.ascii(p)))
 
 
@@ -142,22 +136,32 @@ def cut_units(text: str) -> list[str]:
 _UNEVEN = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
 
 
+# No text has a lone surrogate.
+_MARK = "\ud800"
+
+
 class UnitTable:
     """Ids (decimal, joined by blanks) and decoded bytes of a group's units."""
 
     def __init__(self, units: list[str], ids: list[str], decoded: list[bytes]) -> None:
         self.ids, self.decoded = ids, decoded
-        # a unit that follows a space goes by the rest of it
-        self.after = {u[1:] if u[0] == " " else u: k for k, u in enumerate(units) if u[0] in " \n"}
-        self.first = {u: k for k, u in enumerate(units)}
+        self.at = {self.key(u): k for k, u in enumerate(units)}
+
+    @staticmethod
+    def key(unit: str) -> str:
+        """A unit that a text was cut before goes by what follows its space, or
+        by itself after a newline; any other (the first of a text) is marked."""
+        if unit[0] in " \n" and len(unit) > 1 and not unit[1].isspace():
+            return unit[1:] if unit[0] == " " else unit
+        return _MARK + unit
 
     def places(self, text: str) -> list[int]:
         if not text:
             return []
         if _UNEVEN.search(text):
-            return [self.first[u] for u in cut_units(text)]
+            return [self.at[self.key(u)] for u in cut_units(text)]
         head, *rest = text.replace("\n", " \n").split(" ")
-        return [self.first[head], *map(self.after.__getitem__, rest)]
+        return [self.at[self.key(head)], *map(self.at.__getitem__, rest)]
 
 
 def encode(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_id", text: str = "text", group_bytes: int = GROUP_BYTES) -> DataFrame:
