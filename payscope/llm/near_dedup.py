@@ -273,8 +273,11 @@ def links(nodes: DataFrame, symbols_of: Callable[[DataFrame], DataFrame], thresh
     roots = components(linked)
 
     # 2: pairs of other components
+    # null where the signatures skipped the pair: least() alone would pass over it
+    near = F.when(F.col("similarity").isNotNull(), F.least(1 - F.col("similarity"), F.lit(2 * (1 - threshold))))
+    distance = F.when(F.col("node") == F.col("leader"), 0.0).otherwise(near)
     known = held.join(seen.select(F.col("a").alias("node"), F.col("b").alias("leader"), "similarity"), ["node", "leader"], "left")
-    known = (known.withColumn("distance", F.when(F.col("node") == F.col("leader"), 0.0).otherwise(F.least(1 - F.col("similarity"), F.lit(2 * (1 - threshold))))).drop("similarity")
+    known = (known.withColumn("distance", distance).drop("similarity")
              .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     split = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max(F.when(F.col("node") == F.col("leader"), F.col("root"))).alias("lead_root")).where("lo != hi")
     known = known.where("node != leader").join(split.select("key", "lead_root"), "key").join(nodes.select("node", "signature", "bins", "bands"), "node")

@@ -141,6 +141,25 @@ def test_near_dedup_by_brute_force(spark):
         assert (rows[k].class_id, rows[k].class_size, rows[k].kept) == (c, sizes[c], k == c), texts[k]
 
 
+def test_unknown_distances_to_the_leader_skip_no_pair(spark):
+    leader = np.arange(1, 1001, dtype="<u8")
+    x, y = leader.copy(), leader.copy()
+    x[:81] += 10_000  # 0.15 from the leader
+    y[:81] += 10_000
+    y[500:600] += 20_000  # 0.18 from x, 0.31 from the leader
+    content = {1: leader, 2: x, 3: y}
+    assert [round(near_dedup.similarity(content[a], content[b]), 2) for a, b in ((1, 2), (2, 3), (1, 3))] == [0.85, 0.82, 0.69]
+    ones = 0x1111111111111111
+    signatures = {1: [0, 0, 0], 2: [0, 0x11111111, ones], 3: [ones] * 3}  # 1 and 3 agree nowhere, the others in 24
+    bands = {1: [1, 2, 3], 2: [1, 2], 3: [1, 3]}
+    nodes = spark.createDataFrame([(k, 1000, bands[k], signatures[k], [ones] * 32) for k in content],
+                                  "node long, n long, bands array<long>, signature array<long>, bins array<long>")
+    symbols = spark.createDataFrame([(k, bytearray(v.tobytes())) for k, v in content.items()], "node long, symbols binary")
+    pairs, roots = near_dedup.links(nodes, lambda wanted: symbols.join(wanted, "node", "left_semi"))
+    assert {frozenset(p) for p in pairs.collect()} == {frozenset((1, 2)), frozenset((2, 3))}
+    assert {r.node: r.root for r in roots.collect()} == {2: 1, 3: 1}
+
+
 def test_near_dedup_of_nothing(spark):
     assert near_dedup.classes(empty_documents(spark)).count() == 0
     assert [x.class_id for x in near_dedup.classes(documents(spark, [None, "", "!"])).collect()] == [0, 0, 0]
