@@ -13,8 +13,10 @@ standard deviation of 3.3; either step misses it with a chance of about 1 in
 10,000.
 
 Candidates are verified by banded alignment: the longest common subsequence of
-the two symbol sequences within a diagonal band, found as the longest
-increasing run of positions since a labelled symbol occurs once.  Similarity is
+the two sequences of windows, without labels, which shift where an early
+occurrence is missing.  It is the longest increasing run of matching positions
+within a diagonal band or, where windows recur so often that matches are too
+many, comes from rows of bits over the whole width.  Similarity is
 common / (n + m - common); pairs of 0.8 or more are linked.  The band is as wide
 as a pair of that similarity can need.  1 - similarity is a metric, used below.
 
@@ -48,6 +50,7 @@ import bisect
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -66,6 +69,8 @@ SKETCHES = 48
 BANDS = [(b, 16 + b, 32 + b) for b in range(16)] + [(b, 16 + (b + 5) % 16, 32 + (b + 11) % 16) for b in range(16)]
 AGREEING = 18
 BLOCK = 16384
+MATCHES = 1 << 20  # matches of an alignment held at a time
+MATCH_COST, ROW_COST = 1000, 5000  # of a match, and of a row of bits besides its length
 WORD = re.compile(r"[^\W_]+")
 
 _P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -82,8 +87,8 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def symbols(words: list[str]) -> np.ndarray:
-    """Hashes of the occurrence-labelled windows, in text order."""
+def windows(words: list[str]) -> np.ndarray:
+    """Hashes of the windows, in text order."""
     if not words:
         return np.empty(0, np.uint64)
     numbers: dict[str, int] = {}
@@ -93,6 +98,15 @@ def symbols(words: list[str]) -> np.ndarray:
     h = np.full(n, len(words) if len(words) < WINDOW else 0, np.uint64)
     for k in range(min(WINDOW, len(words))):
         h = _mix(h * _P1 + hashed[k:k + n])
+    return h
+
+
+def symbols(words: list[str]) -> np.ndarray:
+    """Hashes of the occurrence-labelled windows, in text order."""
+    h = windows(words)
+    n = len(h)
+    if not n:
+        return h
     order = np.argsort(h, kind="stable")
     first = np.r_[True, h[order][1:] != h[order][:-1]]
     start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
@@ -172,25 +186,70 @@ def agreeing(x: str, y: str) -> Column:
     return total
 
 
+def _by_matches(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Longest common subsequence within the band: longest increasing run over
+    the matches, those of one position of ``a`` from the last to the first."""
+    in_b = np.bincount(b, minlength=a.max() + 1)
+    places = len(b) - 1 - np.argsort(b[::-1], kind="stable")  # by number, descending
+    starts, matches = (np.cumsum(in_b) - in_b)[a], in_b[a]
+    upto = np.cumsum(matches)
+    tails: list[int] = []
+    at = 0
+    while at < len(a):
+        end = max(at + 1, int(np.searchsorted(upto, MATCHES + upto[at] - matches[at], side="right")))
+        count = matches[at:end]
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        i, j = np.repeat(np.arange(at, end), count), places[np.repeat(starts[at:end], count) + within]
+        for p in j[np.abs(i - j) <= band].tolist():
+            k = bisect.bisect_left(tails, p)
+            if k == len(tails):
+                tails.append(p)
+            else:
+                tails[k] = p
+        at = end
+    return len(tails)
+
+
+def _by_bits(a: np.ndarray, b: np.ndarray) -> int:
+    """Longest common subsequence, a row of bits for each position of ``b``."""
+    in_a = np.bincount(a, minlength=b.max() + 1)
+    places, starts = np.argsort(a, kind="stable"), np.cumsum(in_a) - in_a
+
+    @lru_cache(maxsize=256)
+    def mask(number: int) -> int:
+        row = np.zeros(len(a), np.uint8)
+        row[places[starts[number]:starts[number] + in_a[number]]] = 1
+        return int.from_bytes(np.packbits(row, bitorder="little").tobytes(), "little")
+
+    every = row = (1 << len(a)) - 1
+    for number in b[in_a[b] > 0].tolist():
+        met = row & mask(number)
+        row = (row + met | row - met) & every
+    return len(a) - row.bit_count()
+
+
 def similarity(x: np.ndarray, y: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """Banded alignment of two symbol sequences."""
+    """Banded alignment of two sequences of windows."""
     n, m = len(x), len(y)
     if not n or not m:
         return float(n == m)
     # matches lie no further from the diagonal than symbols stay unmatched;
     # wide enough to be exact up to twice the threshold's distance
     band = int((1 - threshold) / threshold * (n + m)) + 1
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    near = np.abs(i - j) <= band
-    order = np.argsort(i[near])
-    tails: list[int] = []
-    for p in j[near][order].tolist():
-        k = bisect.bisect_left(tails, p)
-        if k == len(tails):
-            tails.append(p)
-        else:
-            tails[k] = p
-    return len(tails) / (n + m - len(tails))
+    common = 0
+    for _ in range(2):  # equal beginnings, then equal ends, are common
+        k = min(len(x), len(y))
+        differ = x[:k] != y[:k]
+        k = int(differ.argmax()) if differ.any() else k
+        common, x, y = common + k, x[k:][::-1], y[k:][::-1]
+    if len(x) and len(y):
+        ids = np.unique(np.concatenate([x, y]), return_inverse=True)[1]
+        a, b = ids[:len(x)], ids[len(x):]
+        matches = int(np.bincount(b, minlength=len(ids))[a].sum())
+        # whichever is less work; a text of few distinct windows has many matches
+        few = matches * MATCH_COST <= len(b) * (ROW_COST + len(a))
+        common += _by_matches(a, b, band) if few else _by_bits(a, b)
+    return common / (n + m - common)
 
 
 def _digest(words: list[str]) -> str:
@@ -215,8 +274,8 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def _symbols_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node, symbols) of ``wanted`` (node, first_id, digest); symbols as
-    little-endian bytes.  Rows of one id may differ in text: the digest tells."""
+    """(node, symbols) of ``wanted`` (node, first_id, digest); symbols are the
+    windows without labels, as little-endian bytes.  Rows of one id may differ in text: the digest tells."""
     source = docs.select(F.col(doc_id).cast("long").alias("first_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -225,7 +284,7 @@ def _symbols_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> D
             rows = []
             for node, digest, words in zip(batch["node"], batch["digest"], map(words_of, batch["text"]), strict=True):
                 if node != last and _digest(words) == digest:
-                    rows.append((node, symbols(words).astype("<u8").tobytes()))
+                    rows.append((node, windows(words).astype("<u8").tobytes()))
                     last = node
             yield pd.DataFrame(rows, columns=["node", "symbols"])
 

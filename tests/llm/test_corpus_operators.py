@@ -91,6 +91,45 @@ def test_similarity_is_longest_common_subsequence():
             assert got == pytest.approx(true)
 
 
+def recurring_line(width: int) -> list[str]:
+    """Twelve sections opened by one line of ``width`` words; a copy without the first line."""
+    r = random.Random(width)
+    line = [f"line{k}" for k in range(width)]
+    sections = [[f"w{r.randrange(5000)}" for _ in range(100)] for _ in range(12)]
+    words = [w for s in sections for w in line + s]
+    return [" ".join(words), " ".join(words[width:])]
+
+
+@pytest.mark.parametrize("width", [20, 25, 40])
+def test_recurring_line_missing_once(width):
+    x, y = (t.split() for t in recurring_line(width))
+    by_words = [[tuple(t[k:k + 5]) for k in range(len(t) - 4)] for t in (x, y)]
+    common = lcs(*by_words)
+    got = near_dedup.similarity(near_dedup.windows(x), near_dedup.windows(y))
+    assert got == common / (sum(map(len, by_words)) - common) > 0.95
+
+
+def test_recurring_line_copies_are_one_class(spark):
+    texts = [t for width in (20, 25, 40) for t in recurring_line(width)]
+    rows = {x.doc_id: x.class_id for x in near_dedup.classes(documents(spark, texts)).collect()}
+    assert rows == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4}
+
+
+def test_alignment_of_recurring_windows(monkeypatch):
+    r = random.Random(12)
+    for k in range(200):
+        x = np.array(r.choices(range(r.choice([1, 3, 30, 300])), k=r.randint(1, 70)), np.uint64)
+        y = np.array([v for v in x.tolist() if r.random() > 0.1] + r.choices(range(300), k=3), np.uint64)
+        common = lcs(x.tolist(), y.tolist())
+        true = common / (len(x) + len(y) - common)
+        assert near_dedup._by_bits(x.astype(int), y.astype(int)) == near_dedup._by_matches(x.astype(int), y.astype(int), 100) == common
+        monkeypatch.setattr(near_dedup, "MATCHES", r.choice([1, 10, 1000]))
+        for cost in (0, 10**9):  # by matches, by bits
+            monkeypatch.setattr(near_dedup, "MATCH_COST", cost)
+            got = near_dedup.similarity(x, y)
+            assert got == pytest.approx(true) if true >= 0.6 else got <= true + 1e-12
+
+
 def test_order_minhash_in_blocks_and_order(monkeypatch):
     words = " ".join(prose(2, 30)).lower().replace(".", "").split()
     x = near_dedup.symbols(words)
