@@ -27,18 +27,30 @@ def load_ranks(path: str) -> dict[bytes, int]:
     return {bytes(alphabet[c] for c in piece): rank for piece, rank in vocabulary["model"]["vocab"].items() if piece not in special}
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Added tokens of a JSON vocabulary, which stand for their literal text."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    if any(x[k] for x in added for k in ("single_word", "lstrip", "rstrip") if k in x):
+        raise ValueError("added tokens that depend on the text around them")
+    return {x["content"]: x["id"] for x in added}
+
+
 def encoding(path: str):
     import public_tokenizers
     import tiktoken
 
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens=added_tokens(path))
 
 
 class TextEncoder:
-    """Little-endian unsigned 32-bit ids of a text, as bytes."""
+    """Little-endian unsigned 32-bit ids of a text, as bytes; an added token in
+    the text is its id."""
 
     def __init__(self, vocabulary: str) -> None:
         self.encode = encoding(vocabulary).encode_to_numpy
 
     def encode_bytes(self, text: str) -> bytes:
-        return self.encode(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        return self.encode(text, allowed_special="all", disallowed_special=()).astype("<u4", copy=False).tobytes()

@@ -296,6 +296,19 @@ def packed_truth(texts):
     return want
 
 
+def test_added_tokens_in_texts(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(BYTE_BPE_JSON)
+    r = random.Random(45)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n\n", "a", "word", " word", "'s", "é😀", "12"]
+    texts = ["a<|endoftext|>b", *("".join(r.choices(parts, k=r.randint(1, 20))) for _ in range(300)), "<|endoftext|> ab" * 1500]
+    assert t.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 65]
+    got = {}
+    for x in packing.tokenize(documents(spark, texts), BYTE_BPE_JSON, keep_ids=True).orderBy("doc_id", "piece").collect():
+        got[x.doc_id] = got.get(x.doc_id, []) + x.ids
+    assert got == {k: t.encode(x, add_special_tokens=False).ids + [0] for k, x in enumerate(texts)}
+
+
 def check_packed(rows, want):
     assert {(x.doc_id, x.piece): (x.start, x.length, x.ids_crc32) for x in rows} == want and len(rows) == len(want)
     load = collections.defaultdict(list)
