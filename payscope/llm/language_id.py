@@ -18,9 +18,10 @@ has at most 1 / MIN_SHARE of them, which bounds the filters' fill and what is
 gathered, whatever the corpus) and its share is at least ``MIN_RATIO`` of its
 largest share in any language.
 
-Scale: the classifier is fitted on a sample, by hash of the text, of about
-``max_train_chars`` characters per language (a documented bound); the counts of
-characters per language that set the sampling rate cover all labelled
+Scale: the classifier is fitted on a sample, by hash of text and place, of
+blocks with about ``max_train_chars`` characters per language (a documented
+bound); a language with fewer is taken whole.  Copies of a text count once.  The
+counts of characters per language that set the sampling rate cover all labelled
 documents.  N-gram counts are pre-aggregated in each task.  Prediction is one
 Arrow pass with no shuffle; the filter is one megabyte for up to 8 languages
 and is sent to tasks with the function.
@@ -49,6 +50,7 @@ MIN_SHARE = 2e-6
 MIN_RATIO = 0.2
 MAX_LANGUAGES = 64
 BLOCK = 1 << 20
+SAMPLE_BLOCK = 2000  # characters taken or left together
 UNKNOWN = "und"
 
 _P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -132,10 +134,34 @@ def _count_ngrams(sample: DataFrame) -> DataFrame:
     return sample.mapInPandas(run, "lang string, gram long, n long")
 
 
+def _sampled(rows: DataFrame, rates: dict[str, float]) -> DataFrame:
+    """(lang, text) of sampled blocks, each distinct text once.  A language that
+    is taken whole keeps its texts whole."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for lang, text, key in zip(batch["lang"], batch["text"], batch["key"], strict=True):
+                if rates[lang] >= 1:
+                    out.append((lang, key, 0, text))
+                    continue
+                at = np.arange(0, len(text), SAMPLE_BLOCK)
+                unit = np.uint64(key & (1 << 64) - 1) + at.astype(np.uint64) * _P1
+                unit = (unit ^ (unit >> np.uint64(30))) * _P2
+                unit = ((unit ^ (unit >> np.uint64(27))) * _P3 >> np.uint64(11)) / float(1 << 53)
+                out += [(lang, key, k, text[k:k + SAMPLE_BLOCK]) for k in at[unit < rates[lang]].tolist()]
+            yield pd.DataFrame(out, columns=["lang", "key", "at", "text"])
+
+    blocks = rows.where(F.col("lang").isin(*rates)).select("lang", "text", "key").mapInPandas(run, "lang string, key long, at long, text string")
+    return blocks.distinct().select("lang", "text")
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", max_train_chars: float = 4e6) -> LanguageModel:
     """Learn from the rows of ``labelled`` with a text and a language."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    chars = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.length("text").cast("double")).alias("n")).collect() if r["n"]}
+    rows = rows.withColumn("key", F.xxhash64(F.lit(5), F.col("text")))
+    folded = rows.groupBy("lang", "key").agg(F.max(F.length("text").cast("double")).alias("n"))
+    chars = {r["lang"]: r["n"] for r in folded.groupBy("lang").agg(F.sum("n").alias("n")).collect() if r["n"]}
     languages = tuple(sorted(chars))
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"{len(languages)} languages; the bitmask holds {MAX_LANGUAGES}")
@@ -143,11 +169,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", max_train
     slots = np.zeros(SLOTS, kind)
     if not languages:
         return LanguageModel(languages, slots)
-    unit = F.pmod(F.xxhash64(F.lit(5), F.col("text")), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.lit(0.0)
-    for name, n in chars.items():
-        rate = F.when(F.col("lang") == name, min(1.0, max_train_chars / n)).otherwise(rate)
-    counts = _count_ngrams(rows.where(unit < rate)).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rates = {name: min(1.0, max_train_chars / n) for name, n in chars.items()}
+    counts = _count_ngrams(_sampled(rows, rates)).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     per_gram = counts.groupBy("gram").pivot("lang", [x for x in languages if x in totals]).agg(F.sum("n"))
     shares = {name: F.coalesce(F.col(f"`{name}`"), F.lit(0)) / float(totals[name]) for name in languages if name in totals}

@@ -141,6 +141,18 @@ def test_language_edges(spark):
     assert nothing.languages == () and nothing.predict("some text", nothing.false_positives()) == ("und", 0.0)
 
 
+def test_every_labelled_language_is_learnt(spark):
+    r = random.Random(21)
+    word = lambda letters: "".join(r.choices(letters, k=4))
+    said = {f"l{k}": "abcdefghijklmnopqrstuvwx"[3 * k:3 * k + 3] for k in range(8)}
+    long = [(name, " ".join(word(letters) for _ in range(40_000))) for name, letters in said.items()]
+    copied = [(name, t) for name, t in (("copied", " ".join(word("yzä") for _ in range(100))),) for _ in range(2000)]
+    model = language_id.train(spark.createDataFrame(long + copied, "lang string, text string"), max_train_chars=20_000)
+    fp = model.false_positives()
+    for name, letters in [*said.items(), ("copied", "yzä")]:
+        assert model.predict(" ".join(word(letters) for _ in range(50)), fp)[0] == name
+
+
 def test_bit_sliced_filters_find_every_learned_ngram(spark):
     docs = spark.createDataFrame([(k, t, "aa" if k % 2 else "bb") for k, t in enumerate(["abcd efgh", "ijkl mnop"] * 3)], "doc_id long, text string, lang string")
     model = language_id.train(docs)
