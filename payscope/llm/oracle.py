@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from payscope.llm.licence_texts import LICENCE_TEXTS
 from payscope.llm.license_scan import CANONICAL
+from payscope.llm.oracle_audits import OP11, OP13
 
 OP4 = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -80,4 +81,5 @@ f AS (SELECT doc_id, min(CASE WHEN sha256(unit) = sha256(whole) THEN licence END
 SELECT d.doc_id, f.text_licence, coalesce(array_to_string(f.found, ','), '') AS licences FROM d LEFT JOIN f USING (doc_id)
 """
 
-SQL = {"op4_exact_dedup": OP4, "op5_quality_rules": OP5, "op7_chat_format": OP7, "op10_license_scan": OP10}
+SQL = {"op4_exact_dedup": OP4, "op5_quality_rules": OP5, "op7_chat_format": OP7, "op10_license_scan": OP10,
+       "op11_filter_audit": OP11, "op13_source_divergence": OP13}

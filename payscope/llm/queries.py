@@ -10,11 +10,14 @@ from payscope.llm import (
     byte_bpe,
     chat_format,
     exact_dedup,
+    filter_audit,
     language_id,
     license_scan,
     near_dedup,
     packing,
     quality_rules,
+    simhash,
+    source_divergence,
     token_counts,
     url_filter,
 )
@@ -87,6 +90,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.known_licences(spark))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_packing": op2_packing,
@@ -98,4 +113,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_simhash_near_dedup": op12_simhash_near_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }
