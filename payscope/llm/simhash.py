@@ -285,11 +285,13 @@ def links(buckets: DataFrame, bucket: int = BUCKET) -> DataFrame:
 def near_links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(a, b) of distinct fingerprints (fp), stored: their components are those of all pairs at
     DISTANCE or less."""
-    parts = shuffle_partitions(prints.sparkSession)
-    spread = prints.select("fp").repartition(parts, "fp")
-    found = stored(links(dealt(spread, golay_keys), bucket), "simhash-links")
-    large = found.where(F.col("b").isNull()).select(F.col("a").alias("fp")).distinct().repartition(parts, "fp")
-    again = links(dealt(large, digit_keys), max(bucket, 16**DISTANCE))
+    def spread(prints: DataFrame) -> DataFrame:
+        # keys are many times what they are made from: tasks by number, not by the size of a fingerprint
+        return prints.select("fp").repartition(shuffle_partitions(prints.sparkSession), F.xxhash64("fp"))
+
+    found = stored(links(dealt(spread(prints), golay_keys), bucket), "simhash-links")
+    large = found.where(F.col("b").isNull()).select(F.col("a").alias("fp")).distinct()
+    again = links(dealt(spread(large), digit_keys), max(bucket, 16**DISTANCE))
     return stored(found.where(F.col("b").isNotNull()).union(again).distinct(), "simhash-links")
 
 
