@@ -2,44 +2,32 @@
 
 The statistic itself is computed by Spark aggregates; only the final
 one-row (F, df1, df2) goes through this helper inside a pandas UDF.
-P(F > f) = I_x(d2/2, d1/2) with x = d2 / (d2 + d1 f), where I is the
-regularised incomplete beta function, evaluated by its continued fraction
-(modified Lentz method).  One method serves all sizes: the fraction needs
-on the order of sqrt(df2) terms, 10^6 for 10^12 rows, on one row of input.  A
-fraction that does not converge raises an error.
+P(F > f) = I_x(a, b) with a = df2/2, b = df1/2, x = df2 / (df2 + df1 f) and
+y = 1 - x, where I is the regularised incomplete beta function.
+
+Every step adds positive terms, so no digits cancel, however far the tail and
+however many rows:
+
+- I_x(a, b + 1) = I_x(a, b) + x^a y^b G(a + b) / (G(a) G(b + 1)), G the gamma
+  function, starts from I_x(a, 1) = x^a where b is whole;
+- where b is a half more, it starts from I_x(a, 1/2), which is
+  2 G(a + 1/2) / (G(a) sqrt(pi)) times the integral of (1 - r^2)^(a - 1) over r
+  from sqrt(y) to 1.  That is smooth once a is not small; a small a is reached
+  from a larger one by I_x(a, b) = I_x(a + 1, b) + x^a y^b G(a + b) / (G(a + 1) G(b)).
+
+Powers of x are taken from y as exp(a log1p(-y)).
 """
 
 from __future__ import annotations
 
 import math
 
-_EPS = 1e-300
-_GIVE_UP = 10**9
-
-
-def _beta_cf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _EPS else _EPS)
-    h = d
-    for m in range(1, _GIVE_UP):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _EPS else _EPS)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _EPS else _EPS
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _EPS else _EPS)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _EPS else _EPS
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < 1e-15:
-            return h
-    raise ArithmeticError("the continued fraction does not converge")
+import numpy as np
+
+_LEAST_A = 24.0       # from here on the integrand is smooth up to its ends
+_PANELS, _NODES = 48, 16
+_END = 50.0           # the integral ends where its integrand has fallen by exp(-50)
+_LARGE = 1e250
 
 
 def _log_gamma_ratio(a: float, b: float) -> float:
@@ -57,21 +45,56 @@ def _log_gamma_ratio(a: float, b: float) -> float:
     return total
 
 
+def _half(a: float, y: float) -> tuple[float, float]:
+    """log and factor of I_x(a, 1/2): it is exp(log) * factor."""
+    log_x = math.log1p(-y)
+    steps = max(0, math.ceil(_LEAST_A - a))
+    high = a + steps
+    r0, x = math.sqrt(y), 1.0 - y
+    fallen = -math.expm1(-_END / (high - 1.0)) * x
+    width = fallen / (r0 + math.sqrt(r0 * r0 + fallen)) / _PANELS
+    node, weight = np.polynomial.legendre.leggauss(_NODES)
+    t = ((np.arange(_PANELS)[:, None] + (node + 1.0) / 2.0) * width).ravel()
+    falls = np.exp((high - 1.0) * np.log1p(-t * (2.0 * r0 + t) / x))
+    integral = float(np.sum(falls * np.tile(weight, _PANELS))) * width / 2.0
+    # both parts over x^a
+    front = math.exp(_log_gamma_ratio(high, 0.5)) / math.sqrt(math.pi)
+    total = 2.0 * front * integral * math.exp((steps - 1.0) * log_x)
+    for k in range(steps):
+        at = a + k
+        total += math.exp(k * log_x + 0.5 * math.log(y) + _log_gamma_ratio(at, 0.5) - math.log(at)) / math.sqrt(math.pi)
+    return a * log_x, total
+
+
 def reg_inc_beta(a: float, b: float, y: float) -> float:
     """I_x(a, b) at x = 1 - y, for a multiple b of 1/2."""
     if y >= 1.0:
         return 0.0
     if y <= 0.0:
         return 1.0
-    x = 1.0 - y
-    log_front = _log_gamma_ratio(a, b) - math.lgamma(b) + a * math.log1p(-y) + b * math.log(y)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(log_front) * _beta_cf(a, b, x) / a
-    return 1.0 - math.exp(log_front) * _beta_cf(b, a, y) / b
+    if 2 * b != int(2 * b):
+        raise ValueError("df1 must be a whole number")
+    whole = b == int(b)
+    if whole:
+        log_front, total, at = a * math.log1p(-y), 1.0, 1.0
+        term = 1.0  # over x^a, the term that made I_x(a, at)
+    else:
+        log_front, total = _half(a, y)
+        at = 0.5
+        term = math.exp(0.5 * math.log(y) + _log_gamma_ratio(a, 0.5)) / math.gamma(0.5)
+    while at < b:
+        # x^a y^at G(a + at) / (G(a) G(at + 1)) from its predecessor
+        term *= y * (a + at - 1.0) / at if whole or at > 0.5 else 1.0 / 0.5
+        total += term
+        at += 1.0
+        if total > _LARGE:
+            log_front += math.log(_LARGE)
+            term, total = term / _LARGE, total / _LARGE
+    return min(1.0, math.exp(log_front + math.log(total))) if total else 0.0
 
 
 def f_survival(f: float, df1: float, df2: float) -> float:
-    """P(X > f) for X ~ F(df1, df2); NaN when undefined."""
+    """P(X > f) for X ~ F(df1, df2), df1 whole; NaN when undefined."""
     if f is None or df1 is None or df2 is None:
         return float("nan")
     if any(map(math.isnan, (f, df1, df2))) or df1 <= 0 or df2 <= 0:
