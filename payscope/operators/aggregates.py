@@ -43,21 +43,43 @@ def with_value_bucket(df: DataFrame, value: str, out: str) -> DataFrame:
     return df.drop("_e0", "_p0", "_e", "_d")
 
 
+# Sums are exact at this scale: pay has at most a few decimals.
+EXACT_SUM = "decimal(38,12)"
+
+
+def reproducible_sum(value: Column) -> Column:
+    """Sum of doubles whose bits do not depend on how rows are partitioned: each is
+    taken to twelve decimals and added exactly.  If one is too large for that (10^26
+    or more, infinite) or NaN, the sum is that of doubles."""
+    value = value.cast("double")
+    fixed = value.try_cast(EXACT_SUM)
+    misfits = F.count(F.when(value.isNotNull() & fixed.isNull(), True))
+    return F.coalesce(F.when(misfits == 0, F.try_sum(fixed).cast("double")), F.sum(value))
+
+
+def reproducible_mean(value: Column, weight: Column | None = None) -> Column:
+    """Mean of the known values, each with an optional multiplicity."""
+    if weight is None:
+        return reproducible_sum(value) / F.count(value)
+    return reproducible_sum(value * weight) / F.sum(F.when(value.isNotNull(), weight))
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
                  lower: bool = False) -> DataFrame:
     """Exact median per group (mean of the two middle values for even n;
     with ``lower`` the lower one of them).
 
-    Distributed two-level selection, with no group gathered in one task:
+    Distributed selection on three levels, with no group gathered in one task:
 
     1. rows collapse to distinct ``(keys, value)`` pairs with their
-       multiplicity (map-side partial aggregation);
-    2. each pair gets an order-preserving value bucket (sign, exponent, top
-       16 mantissa bits); a histogram per ``(keys, bucket)`` and a running
-       sum over a group's buckets (at most 65,536 rows per group and binary
-       octave of its values, for any data size) locate the one or two buckets holding the middle
+       multiplicity (map-side partial aggregation), and each pair gets an
+       order-preserving value bucket (sign, exponent, top 16 mantissa bits);
+    2. totals per ``(keys, octave)`` (sign and exponent, at most some 4,200 a
+       group whatever the data) and a running sum locate the octaves of the middle
        ranks;
-    3. only pairs in those buckets are ranked exactly, partitioned by
+    3. inside those octaves alone, totals per bucket (at most 65,536 an
+       octave) and a running sum by ``(keys, octave)`` locate the buckets;
+    4. only pairs in those buckets are ranked exactly, partitioned by
        ``(keys, bucket)``, so a hot group is spread over its buckets and a
        task sees one bucket (a 1/65536 slice of a binary order of
        magnitude) of one group.
@@ -69,9 +91,15 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
     return median_from_pairs(pairs, keys, value, "_c", out, lower)
 
 
+def _covers(lo: Column, hi: Column) -> Column:
+    """Whether the ranks from ``lo`` to ``hi`` hold a middle one."""
+    r1, r2 = F.col("_r1"), F.col("_r2")
+    return ((lo <= r1) & (hi >= r1)) | ((lo <= r2) & (hi >= r2))
+
+
 def median_from_pairs(pairs: DataFrame, keys: Sequence[str], value: str, count: str,
                       out: str = "median", lower: bool = False) -> DataFrame:
-    """Steps 2-3 of :func:`exact_median` on already collapsed
+    """Steps 2-4 of :func:`exact_median` on already collapsed
     ``(keys, value, count)`` rows, so a caller that needs other statistics
     from the same pairs shares one aggregation.  Values to ignore (null,
     NaN) must carry count 0: they then cover no rank.
@@ -84,28 +112,26 @@ def median_from_pairs(pairs: DataFrame, keys: Sequence[str], value: str, count:
     pairs = with_value_bucket(
         pairs.select(F.struct(*[F.col(k) for k in keys]).alias("_k"), value, F.col(count).alias("_c")),
         value, "_b")
-    hist = pairs.groupBy("_k", "_b").agg(F.sum("_c").alias("_bc"))
-    by_bucket = Window.partitionBy("_k").orderBy("_b")
-    hist = hist.select(
-        "_k", "_b", "_bc",
-        F.sum("_bc").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
-        F.sum("_bc").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-         .alias("_n"))
+    pairs = pairs.withColumn("_o", F.shiftright("_b", _MANT_BITS))
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    octaves = pairs.groupBy("_k", "_o").agg(F.sum("_c").alias("_oc"))
+    group = Window.partitionBy("_k")
+    octaves = octaves.select("_k", "_o", "_oc", F.sum("_oc").over(group.orderBy("_o").rowsBetween(*upto)).alias("_cum"),
+                             F.sum("_oc").over(group).alias("_n"))
     r1 = F.floor((F.col("_n") + 1) / 2)
-    r2 = r1 if lower else F.floor(F.col("_n") / 2) + 1
-    first = F.col("_cum") - F.col("_bc") + 1
-
-    def covers(lo: Column, hi: Column, a: Column, b: Column) -> Column:
-        return ((lo <= a) & (hi >= a)) | ((lo <= b) & (hi >= b))
-
-    targets = (hist.where(covers(first, F.col("_cum"), r1, r2))
-                   .select("_k", "_b", (F.col("_cum") - F.col("_bc")).alias("_base"),
-                           r1.alias("_r1"), r2.alias("_r2")))
-    cand = pairs.join(targets, ["_k", "_b"])
-    within = Window.partitionBy("_k", "_b").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = cand.withColumn("_hi", F.col("_base") + F.sum("_c").over(within))
-    lo = F.col("_hi") - F.col("_c") + 1
-    picked = ranked.where(covers(lo, F.col("_hi"), F.col("_r1"), F.col("_r2")))
+    ranks = octaves.withColumns({"_r1": r1, "_r2": r1 if lower else F.floor(F.col("_n") / 2) + 1,
+                                 "_before": F.col("_cum") - F.col("_oc")})
+    in_octave = ranks.where(_covers(F.col("_before") + 1, F.col("_cum"))).select("_k", "_o", "_before", "_r1", "_r2")
+
+    buckets = pairs.join(in_octave, ["_k", "_o"]).groupBy("_k", "_o", "_b").agg(
+        F.sum("_c").alias("_bc"), *[F.max(c).alias(c) for c in ("_before", "_r1", "_r2")])
+    within = Window.partitionBy("_k", "_o").orderBy("_b").rowsBetween(*upto)
+    buckets = buckets.withColumn("_cum", F.col("_before") + F.sum("_bc").over(within))
+    in_bucket = buckets.where(_covers(F.col("_cum") - F.col("_bc") + 1, F.col("_cum"))).select(
+        "_k", "_b", (F.col("_cum") - F.col("_bc")).alias("_base"), "_r1", "_r2")
+
+    cand = pairs.join(in_bucket, ["_k", "_b"])
+    ranked = cand.withColumn("_hi", F.col("_base") + F.sum("_c").over(Window.partitionBy("_k", "_b").orderBy(value).rowsBetween(*upto)))
+    picked = ranked.where(_covers(F.col("_hi") - F.col("_c") + 1, F.col("_hi")))
     med = picked.groupBy("_k").agg(F.avg(value).alias(out))
     return med.select(*[F.col("_k")[k].alias(k) for k in keys], out)

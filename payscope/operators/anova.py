@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from payscope.functions.fdist import f_survival
-from payscope.operators.aggregates import exact_median
+from payscope.operators.aggregates import median_from_pairs, reproducible_mean, reproducible_sum
 from payscope.operators.clean import attach_scalars
 
 ALPHA = 0.05
@@ -27,31 +27,45 @@ def _f_pvalue(f: Column, df1: Column, df2: Column) -> Column:
     return tail(*[c.cast("double") for c in (f, df1, df2)])
 
 
+def _pairs(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
+    """Distinct (group, value) pairs of known values with their number, ``_c``.
+    Everything below follows from them, so the rows are read and collapsed once."""
+    data = df.where(F.col(group_col).isNotNull() & F.col(value_col).isNotNull())
+    return data.groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_c"))
+
+
 def salary_stats(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
     """K5: count, mean and exact median of each group's known values."""
-    data = df.where(F.col(group_col).isNotNull() & F.col(value_col).isNotNull())
-    base = data.groupBy(group_col).agg(F.count(value_col).alias("n"), F.avg(value_col).alias("mean"))
-    return base.join(exact_median(data, [group_col], value_col), group_col, "left")
+    pairs = _pairs(df, group_col, value_col)
+    base = pairs.groupBy(group_col).agg(F.sum("_c").alias("n"), reproducible_mean(F.col(value_col), F.col("_c")).alias("mean"))
+    # NaN covers no rank
+    weighted = pairs.withColumn("_kc", F.when(F.isnan(value_col), F.lit(0).cast("long")).otherwise(F.col("_c")))
+    med = median_from_pairs(weighted, [group_col], value_col, "_kc").withColumnRenamed(group_col, "_mk")
+    return base.join(med, base[group_col].eqNullSafe(med["_mk"]), "left").drop("_mk")
 
 
 def anova_stats(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
-    """Sums of squares, F and eta squared in one row (two small aggregates).
+    """Sums of squares, F and eta squared in one row.
 
-    Per-group count, mean and sample variance come from one partial+final
-    aggregate (k rows); the grand mean is a one-row aggregate of those and
-    is attached as a scalar subquery; SSB and SSW follow from the k rows.
+    Groups' counts and means come from the pairs; the grand mean is a one-row
+    aggregate of the groups, and the sum of squares within groups one of the
+    pairs' deviations from their group's mean.  Sums are exact (see
+    ``reproducible_sum``), so the same rows give the same bits however they are
+    partitioned.
     """
-    data = df.where(F.col(group_col).isNotNull() & F.col(value_col).isNotNull())
-    groups = data.groupBy(group_col).agg(
-        F.count(value_col).alias("n"), F.avg(value_col).alias("mean"),
-        F.coalesce(F.var_samp(value_col), F.lit(0.0)).alias("var"))
-    grand = groups.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand_mean"))
-    j = attach_scalars(groups, grand)
-    s = j.agg(
+    pairs = _pairs(df, group_col, value_col)
+    groups = pairs.groupBy(group_col).agg(
+        F.sum("_c").alias("n"), reproducible_sum(F.col(value_col) * F.col("_c")).alias("total"))
+    groups = groups.withColumn("mean", F.col("total") / F.col("n"))
+    grand = groups.agg((reproducible_sum(F.col("total")) / F.sum("n")).alias("grand_mean"))
+    means = groups.select(F.col(group_col).alias("_group"), "mean")
+    off = pairs.join(means, F.col(group_col) == F.col("_group")).select(
+        (F.col("_c") * (F.col(value_col) - F.col("mean")) ** 2).alias("_square"))
+    s = attach_scalars(groups, grand).agg(
         F.count(F.lit(1)).alias("groups"),
         F.sum("n").alias("n_obs"),
-        F.sum(F.col("n") * (F.col("mean") - F.col("grand_mean")) ** 2).alias("ss_between"),
-        F.sum((F.col("n") - 1) * F.col("var")).alias("ss_within"))
+        reproducible_sum(F.col("n") * (F.col("mean") - F.col("grand_mean")) ** 2).alias("ss_between"))
+    s = attach_scalars(s, off.agg(reproducible_sum(F.col("_square")).alias("ss_within")))
     k, n = F.col("groups"), F.col("n_obs")
     f_stat = (F.col("ss_between") / (k - 1)) / (F.col("ss_within") / (n - k))
     return s.select(

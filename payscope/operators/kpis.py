@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscope.columns import EXTRACTED_SKILLS, QUALIFICATION, SALARY_FLAG, SALARY_MID, SKILL, SKILLS_LIST
-from payscope.operators.aggregates import exact_median, median_from_pairs
+from payscope.operators.aggregates import exact_median, median_from_pairs, reproducible_mean, reproducible_sum
+from payscope.operators.features import pay_band
 from payscope.operators.filters import recent_days, recent_years
 from payscope.operators.profile import value_counts
 from payscope.operators.skills import extract_mentions, generalized_skills
@@ -50,7 +51,7 @@ def _from_pairs(df: DataFrame, category: str, salary: str, lower: bool) -> tuple
         F.coalesce(F.sum(c), F.lit(0)).alias("count"),
         F.min(F.when(known, s)).alias("min"),
         F.max(F.when(known, s)).alias("max"),
-        (F.sum(F.when(known, s * F.col("_c"))) / F.sum(c)).alias("mean"))
+        reproducible_mean(F.when(known, s), F.col("_c")).alias("mean"))
     weighted = pairs.withColumn("_kc", F.when(known, F.col("_c")).otherwise(F.lit(0).cast("long")))
     med = (median_from_pairs(weighted, [category], salary, "_kc", "median", lower)
            .withColumnRenamed(category, "_mk"))
@@ -86,10 +87,31 @@ def degree_salary_correlation(df: DataFrame, qual_col: str = QUALIFICATION,
     """
     return (df.groupBy(qual_col, flag_col).agg(
                 F.count(F.lit(1)).alias("job_count"),
-                F.round(F.avg(salary), 0).alias("avg_salary"))
+                F.round(reproducible_mean(F.col(salary)), 0).alias("avg_salary"))
               .orderBy(F.col(qual_col).asc(), F.col("job_count").desc(), F.col(flag_col).asc()))
 
 
+def degree_salary_from_pay(df: DataFrame, qual_col: str = QUALIFICATION, salary: str = SALARY_MID,
+                           out: str = SALARY_FLAG) -> DataFrame:
+    """K4 for postings without a band column.
+
+    A band depends on qualification and pay alone, so postings collapse to
+    distinct (qualification, pay) pairs with their number, once; medians, bands,
+    counts and means all follow from the pairs.  No posting is joined.  An unknown
+    pay covers no rank and is, as in T2, "highly paid".
+    """
+    s = F.col(salary)
+    known = s.isNotNull() & ~F.isnan(s)
+    pairs = df.groupBy(qual_col, salary).agg(F.count(F.lit(1)).alias("_c"))
+    weighted = pairs.withColumn("_kc", F.when(known, F.col("_c")).otherwise(F.lit(0).cast("long")))
+    med = median_from_pairs(weighted, [qual_col], salary, "_kc", "_median", lower=True).withColumnRenamed(qual_col, "_mk")
+    banded = pairs.join(med, pairs[qual_col].eqNullSafe(med["_mk"]), "left").select(
+        qual_col, pay_band(s, F.col("_median")).alias(out), s.alias("_s"), "_c")
+    return (banded.groupBy(qual_col, out).agg(
+                F.sum("_c").alias("job_count"), F.round(reproducible_mean(F.col("_s"), F.col("_c")), 0).alias("avg_salary"))
+              .orderBy(F.col(qual_col).asc(), F.col("job_count").desc(), F.col(out).asc()))
+
+
 def median_by_group(df: DataFrame, keys: Sequence[str], salary: str = SALARY_MID,
                     out: str = "median_salary") -> DataFrame:
     """K6: exact median per group."""
@@ -165,7 +187,7 @@ def recent_avg_by_group(df: DataFrame, keys: Sequence[str], date_col: str, salar
         recent = recent.where(F.col(k).isNotNull())
     return (recent.groupBy(*keys).agg(
                 F.count(salary).alias("job_count"),
-                F.bround(F.avg(salary), 0).alias("avg_salary"),
+                F.bround(reproducible_mean(F.col(salary)), 0).alias("avg_salary"),
                 F.first("from_date").alias("from_date"),
                 F.first("to_date").alias("to_date"))
               .where(F.col("job_count") >= min_count)
@@ -183,23 +205,27 @@ def _mentions_with_markers(df: DataFrame, skills: str, job_id: str, salary: str)
     return rows.where(F.col(SKILL).isNull() | (F.length(F.col(SKILL)) > 0))
 
 
-def _per_skill(per_job: DataFrame) -> DataFrame:
-    """(skill, job) -> skill: mention count, mean pay, distinct postings.
+def _per_skill(per_job: DataFrame) -> tuple[DataFrame, Column]:
+    """(skill, job) -> skill: mention count, mean pay, distinct postings; and the mean
+    pay of all postings.
 
     Two aggregation levels instead of a ``count(DISTINCT id)`` next to
     plain aggregates, which Spark would plan with an Expand that doubles
     every mention row before the shuffle.  The first level is combined
     map-side and spread by posting, so a hot skill is split over many tasks.
-    The null-skill group (the markers) gets ``_global``, the mean pay of all
-    postings, which a window over the few per-skill rows (one per vocabulary
-    entry) puts on every row.
+
+    The null skill (the markers) carries the mean of all postings.  A scalar
+    subquery over the same rows hands it on, so the skills, of which there may be
+    any number, are not gathered: the subquery reads all columns and the rows are
+    told apart by ``_skills``, not by a filter on the skill, so both plans
+    are alike up to the last shuffle, which Spark then runs once.
     """
     st = per_job.groupBy(SKILL).agg(
         F.sum("_n").alias("job_count"),
-        (F.sum("_s") / F.sum("_n")).alias("_mean"),
-        F.count(F.lit(1)).alias("unique_jobs"))
-    everything = Window.partitionBy()
-    return st.withColumn("_global", F.max(F.when(F.col(SKILL).isNull(), F.col("_mean"))).over(everything))
+        (reproducible_sum(F.col("_s")) / F.sum("_n")).alias("_mean"),
+        F.count(F.lit(1)).alias("unique_jobs"), F.count(SKILL).alias("_skills"))
+    marker = F.max(F.when(F.col("_skills") == 0, F.struct("_mean", "job_count", "unique_jobs")))
+    return st.where(F.col("_skills") > 0), st.agg(marker["_mean"].alias("_global")).scalar()
 
 
 def highest_paid_skills(df: DataFrame, text_col: str, job_id: str, salary: str = SALARY_MID,
@@ -222,10 +248,11 @@ def highest_paid_mentions(df: DataFrame, mentions: str, job_id: str, salary: str
                           min_jobs: int = 3, top: int = 20) -> DataFrame:
     """K10 on a table that already has the array of ``mentions``."""
     rows = _mentions_with_markers(df, mentions, job_id, salary)
-    per_job = rows.groupBy(SKILL, job_id).agg(F.count(salary).alias("_n"), F.sum(salary).alias("_s"))
-    st = _per_skill(per_job)
+    per_job = rows.groupBy(SKILL, job_id).agg(F.count(salary).alias("_n"), reproducible_sum(F.col(salary)).alias("_s"))
+    st, mean = _per_skill(per_job)
+    st = st.withColumn("_global", mean)
     premium = F.col("avg_salary") - F.col("_global")
-    return (st.where(F.col(SKILL).isNotNull() & (F.col("job_count") >= min_jobs))
+    return (st.where(F.col("job_count") >= min_jobs)
               .withColumnRenamed("_mean", "avg_salary")
               .select(SKILL, "job_count", "avg_salary", "unique_jobs",
                       premium.alias("salary_premium"),
@@ -242,21 +269,24 @@ def highest_paid_skills_generalized(df: DataFrame, text_col: str, qual_col: str,
     mean against the mean pay of all postings.
 
     One aggregation at (skill, posting, pay) feeds both the per-skill
-    figures and the median pairs, so the taxonomy scan of the text runs
-    once.
+    figures and the median pairs.  The mentions are dealt by (skill, posting)
+    before it: both branches start from that one shuffle, so the taxonomy scan of
+    the text runs once, however the input is partitioned, and a hot skill is spread
+    by posting.
     """
     sk = generalized_skills(df, text_col, qual_col, taxonomy, cap, SKILLS_LIST)
-    rows = _mentions_with_markers(sk, SKILLS_LIST, job_id, salary)
+    rows = _mentions_with_markers(sk, SKILLS_LIST, job_id, salary).repartition(SKILL, job_id)
     lvl0 = rows.groupBy(SKILL, job_id, salary).agg(F.count(F.lit(1)).alias("_c"))
     per_job = lvl0.groupBy(SKILL, job_id).agg(
-        F.sum("_c").alias("_n"), F.sum(F.col(salary) * F.col("_c")).alias("_s"))
+        F.sum("_c").alias("_n"), reproducible_sum(F.col(salary) * F.col("_c")).alias("_s"))
     # the marker rows cover no rank; the null-safe join infers no filter on the
     # skill, which would make the two branches over lvl0 different plans
     weight = F.when(F.col(SKILL).isNull(), F.lit(0)).otherwise(F.col("_c")).cast("long")
     pairs = lvl0.groupBy(SKILL, salary).agg(F.sum(weight).alias("_c"))
     med = median_from_pairs(pairs, [SKILL], salary, "_c", "median_salary").withColumnRenamed(SKILL, "_mk")
-    st = (_per_skill(per_job)
-          .where(F.col(SKILL).isNotNull() & (F.col("job_count") >= min_jobs))
+    per_skill, mean = _per_skill(per_job)
+    st = (per_skill.withColumn("_global", mean)
+          .where(F.col("job_count") >= min_jobs)
           .withColumn("avg_salary", F.bround("_mean", 0))
           .join(med, F.col(SKILL).eqNullSafe(F.col("_mk")), "left")
           .withColumn("median_salary", F.bround("median_salary", 0)))
@@ -270,7 +300,7 @@ def highest_paid_skills_generalized(df: DataFrame, text_col: str, qual_col: str,
 
 def global_stats(df: DataFrame, salary: str = SALARY_MID, date_col: str | None = None) -> DataFrame:
     """One-row global mean (and maximum) pay, and latest date if given."""
-    aggs = [F.count(salary).alias("salary_count"), F.avg(salary).alias("global_avg_salary"),
+    aggs = [F.count(salary).alias("salary_count"), reproducible_mean(F.col(salary)).alias("global_avg_salary"),
             F.max(salary).alias("global_max_salary")]
     if date_col:
         aggs.append(F.max(date_col).alias("latest_date"))

@@ -10,25 +10,40 @@ from pyspark.sql import functions as F
 from payscope.operators.clean import attach_scalars
 
 
-def profile(df: DataFrame) -> DataFrame:
+# Relative standard deviation of the sketch.
+SKETCH_RSD = 0.02
+
+
+def profile(df: DataFrame, sketch: bool = False) -> DataFrame:
     """One row per column: (column, data_type, rows, non_null, distinct).
 
     Counts come from one aggregate whose one-row result is turned long with
     ``inline``.  Distinct values are counted on the long form (column number,
-    value as text): partial distinct in each task, then one count per column,
-    so no column's values meet in one task.
+    128-bit digest of the value as text): partial distinct in each task, then one
+    count per column, so no column's values meet in one task, and a cell moves as
+    16 bytes however long its text is.  Two texts of one digest would count as
+    one; at 10^15 distinct values the chance is below 10^-8.
+
+    With ``sketch`` the distinct counts are HyperLogLog++ estimates (standard
+    deviation 2 %) in the first aggregate, and no cell moves at all.
     """
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.count(F.col(f"`{c}`")).alias(f"_nn{i}") for i, c in enumerate(df.columns)]
+    if sketch:
+        aggs += [F.approx_count_distinct(F.col(f"`{c}`").cast("string"), SKETCH_RSD).alias(f"_d{i}") for i, c in enumerate(df.columns)]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"),
                      F.lit(f.dataType.simpleString()).alias("data_type"),
-                     F.col("_rows").alias("rows"), F.col(f"_nn{i}").alias("non_null"))
+                     F.col("_rows").alias("rows"), F.col(f"_nn{i}").alias("non_null"),
+                     *([F.col(f"_d{i}").alias("distinct")] if sketch else []))
             for i, f in enumerate(df.schema.fields)]
-    cells = F.array(*[F.struct(F.lit(i).alias("_at"), F.col(f"`{c}`").cast("string").alias("_v")) for i, c in enumerate(df.columns)])
+    long = wide.select(F.inline(F.array(*rows)))
+    if sketch:
+        return long
+    cells = F.array(*[F.struct(F.lit(i).alias("_at"), F.unhex(F.md5(F.col(f"`{c}`").cast("string").cast("binary"))).alias("_v"))
+                      for i, c in enumerate(df.columns)])
     distinct = (df.select(F.inline(cells)).where(F.col("_v").isNotNull()).distinct()
                   .groupBy("_at").agg(F.count(F.lit(1)).alias("_d")))
-    long = wide.select(F.inline(F.array(*rows)))
     return (long.join(distinct, long["position"] == distinct["_at"], "left")
                 .select(*long.columns, F.coalesce("_d", F.lit(0)).alias("distinct")))
 

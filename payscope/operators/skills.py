@@ -40,6 +40,7 @@ PHRASE_PATTERNS = [
     r"\b([a-z]{3,})[\s]+(?:skills?|experience?|proficiency?)\b",
 ]
 PREFERRED_SPLIT = r"[;,|]"
+CLAUSE_END = r"(?<=[.,;])"
 
 # The third pattern has no anchor: a regex engine retries it at every
 # position of a long run of letters and blanks that holds no suffix word,
@@ -139,6 +140,55 @@ def namespaced_presence(text: Column, taxonomy=TAXONOMY) -> Column:
     return keyword_presence(text, [(f"{d}_{s}_{k}", k) for d, s, k in taxonomy_entries(taxonomy)])
 
 
+# A text's atoms: runs of word characters, and every other character.
+_ATOM = rf"{WORD}+|[^{WORD[1:]}"
+
+
+def phrase_candidates(text: Column, longest: int) -> Column:
+    """Distinct runs of 1 to ``longest`` atoms of a text that are whole words or
+    phrases: neither end is a blank, and none touches a word character from outside."""
+    def word(x: Column) -> Column:
+        return x.rlike(f"^{WORD}")
+
+    def blank(x: Column) -> Column:
+        return _strip(x) == ""
+
+    def runs(atoms: Column) -> Column:
+        size = F.size(atoms)
+
+        def run(n: int) -> Column:
+            first, last = lambda i: F.get(atoms, i), lambda i: F.get(atoms, i + (n - 1))
+            whole = lambda i: (
+                ~blank(first(i)) & ~blank(last(i))
+                & (word(first(i)) | ~F.coalesce(word(F.get(atoms, i - 1)), F.lit(False)))
+                & (word(last(i)) | ~F.coalesce(word(F.get(atoms, i + n)), F.lit(False))))
+            starts = F.when(size >= n, F.sequence(F.lit(0), size - n)).otherwise(F.array().cast("array<int>"))
+            return F.transform(F.filter(starts, whole), lambda i: F.array_join(F.slice(atoms, i + 1, n), ""))
+
+        return F.array_distinct(F.flatten(F.array(*[run(n) for n in range(1, longest + 1)])))
+
+    return _let(F.regexp_extract_all(text, F.lit(f"({_ATOM})"), F.lit(1)), runs)
+
+
+def vocabulary_presence(df: DataFrame, key: str, text_col: str, vocabulary: DataFrame, out: str = "labels") -> DataFrame:
+    """T5 for a vocabulary that is a table (keyword, label) of any size.
+
+    Each text gives its distinct words and phrases, up to the longest phrase of the
+    vocabulary, which are hash-joined with the keywords; the planner broadcasts
+    the vocabulary only while it is small.  Returns (``key``, sorted array of
+    labels) for the rows with a label.  Keywords match as in T5: as whole words, in
+    lower case as the text is; blanks inside a phrase match as they are written.  A null
+    text has no label, a null or blank keyword is never found; rows of one key
+    share their labels, each once.
+    """
+    known = vocabulary.select(F.col("keyword").alias("_keyword"), F.col("label").alias("_label")).where(_strip(F.col("keyword")) != "")
+    atoms = F.size(F.regexp_extract_all(F.col("_keyword"), F.lit(f"({_ATOM})"), F.lit(1)))
+    longest = known.agg(F.max(atoms)).first()[0] or 1
+    phrases = df.select(key, F.explode(phrase_candidates(F.col(text_col), longest)).alias("_phrase"))
+    found = phrases.join(known, F.col("_phrase") == F.col("_keyword"))
+    return found.groupBy(key).agg(F.array_sort(F.collect_set("_label")).alias(out))
+
+
 def contextual_skills(qual_text: Column) -> Column:
     """Two labels from the first matching rule on the qualification text."""
     t = F.lower(F.coalesce(qual_text, F.lit("")))
@@ -191,22 +241,36 @@ def parse_preferred(pref: Column, desc: Column, vocab: dict[str, list[str]] = TE
 
 
 def skill_phrases(text: Column) -> Column:
-    """Group 1 of every hit of the phrase patterns; trimmed, 3-20 chars, distinct, sorted."""
+    """Group 1 of every hit of the phrase patterns; trimmed, 3-20 chars, distinct, sorted.
+
+    No pattern can match across ``.``, ``,`` or ``;``, and none looks further than
+    the one that ends its clause.  So a text is cut into clauses once, each with the
+    mark that ends it, and a pattern runs only on clauses with one of its trigger
+    words, not on the whole text.
+    """
     return _let(F.lower(text), _phrases_of)
 
 
+def _has(text: Column, words: Sequence[str]) -> Column:
+    present = text.contains(words[0])
+    for word in words[1:]:
+        present = present | text.contains(word)
+    return present
+
+
 def _phrases_of(t: Column) -> Column:
-    def hits_of(p: Phrase) -> Column:
-        present = F.lit(False)
-        for word in p.triggers:
-            present = present | t.contains(word)
-        found = F.regexp_extract_all(t, F.lit("(?i)" + p.guard + p.pattern), F.lit(1))
-        return F.when(present, found).otherwise(_empty())
-
-    hits = F.flatten(F.array(*[hits_of(p) for p in PHRASES]))
-    trimmed = F.transform(hits, _strip)
-    kept = F.filter(trimmed, lambda x: (F.length(x) > 2) & (F.length(x) <= 20))
-    return F.when(t.isNull(), _empty()).otherwise(F.array_sort(F.array_distinct(kept)))
+    def hits_of(clauses: Column, p: Phrase) -> Column:
+        pattern = F.lit("(?i)" + p.guard + p.pattern)
+        return F.flatten(F.transform(F.filter(clauses, lambda c: _has(c, p.triggers)), lambda c: F.regexp_extract_all(c, pattern, F.lit(1))))
+
+    def found(clauses: Column) -> Column:
+        hits = F.flatten(F.array(*[hits_of(clauses, p) for p in PHRASES]))
+        kept = F.filter(F.transform(hits, _strip), lambda x: (F.length(x) > 2) & (F.length(x) <= 20))
+        return F.array_sort(F.array_distinct(kept))
+
+    triggers = sorted({w for p in PHRASES for w in p.triggers})
+    clauses = F.filter(F.split(t, CLAUSE_END), lambda c: _has(c, triggers))
+    return F.when(t.isNull(), _empty()).otherwise(_let(clauses, found))
 
 
 def skills_cascade(df: DataFrame, pref_col: str, desc_col: str, qual_col: str, cap: int | None = None,

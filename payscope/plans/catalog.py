@@ -13,6 +13,7 @@ Arrays are shown joined with ``|`` so they compare as plain text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,8 @@ from payscope.operators import profile as P
 from payscope.operators import skills as SK
 from payscope.plans import jobs
 from payscope.sources.adapters import TIEBREAK, postings_from_documents, postings_from_tpch
-from payscope.sources.taxonomy import TAXONOMY, TECH_SKILLS
+from payscope.session import checkpoint_dir
+from payscope.sources.taxonomy import TAXONOMY, TECH_SKILLS, read_taxonomy_json, vocabulary, write_taxonomy_json
 
 # ---------------------------------------------------------------------------
 # Test vocabularies.  The part-name words are the 16 words the
@@ -76,6 +78,16 @@ def m2(spark: SparkSession, d: str) -> DataFrame:
     return jobs.enrich(m1(spark, d), S)
 
 
+def qualified(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaned postings with their qualification class, no pay band."""
+    return T.categorize_qualification(m1(spark, d), S.min_qual)
+
+
+def with_text(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaned postings with their combined text, no pay band."""
+    return T.combined_text(m1(spark, d), [S.preferred_skills, S.job_description, S.min_qual])
+
+
 def dates(spark: SparkSession, d: str) -> DataFrame:
     """Posting dates before dedup, whose latest is that of the kept postings."""
     return C.posting_date_to_date(raw(spark, d).select(S.posting_date), S.posting_date)
@@ -216,30 +228,29 @@ def f4(spark, d):
 # ------------------------------------------------------------------ features
 @query("T1")
 def t1(spark, d):
-    return T.categorize_qualification(m1(spark, d), S.min_qual).select(S.job_id, S.min_qual, QUALIFICATION)
+    return qualified(spark, d).select(S.job_id, S.min_qual, QUALIFICATION)
 
 
 @query("T2")
 def t2(spark, d):
-    df = T.categorize_qualification(m1(spark, d), S.min_qual)
-    df = T.flag_salary_vs_qualification(df, keep_median=True)
+    df = T.flag_salary_vs_qualification(qualified(spark, d), keep_median=True, labels=T.QUALIFICATIONS)
     return df.select(S.job_id, QUALIFICATION, SALARY_MID, QUAL_MEDIAN, SALARY_FLAG)
 
 
 @query("J1")
 def j1(spark, d):
-    df = T.attach_qualification_median(T.categorize_qualification(m1(spark, d), S.min_qual))
+    df = T.attach_qualification_median(qualified(spark, d), labels=T.QUALIFICATIONS)
     return df.select(S.job_id, QUALIFICATION, QUAL_MEDIAN)
 
 
 @query("T3")
 def t3(spark, d):
-    return m2(spark, d).select(S.job_id, COMBINED_TEXT)
+    return with_text(spark, d).select(S.job_id, COMBINED_TEXT)
 
 
 @query("T4")
 def t4(spark, d):
-    df = SK.extract_mentions(m2(spark, d), COMBINED_TEXT, PART_WORDS)
+    df = SK.extract_mentions(with_text(spark, d), COMBINED_TEXT, PART_WORDS)
     return df.select(S.job_id, _joined(F.col(EXTRACTED_SKILLS), "skills"),
                      F.size(EXTRACTED_SKILLS).alias("n_mentions"))
 
@@ -274,17 +285,25 @@ def t8_docs(spark, d):
 
 @query("T5")
 def t5(spark, d):
-    return m2(spark, d).select(S.job_id, _joined(SK.namespaced_presence(F.col(COMBINED_TEXT)), "labels"))
+    return with_text(spark, d).select(S.job_id, _joined(SK.namespaced_presence(F.col(COMBINED_TEXT)), "labels"))
+
+
+@query("T5_table")
+def t5_table(spark, d):
+    path = write_taxonomy_json(spark, f"{checkpoint_dir(spark).rstrip('/')}/taxonomy-{uuid.uuid4().hex}")
+    known = vocabulary(read_taxonomy_json(spark, path))
+    df = SK.vocabulary_presence(with_text(spark, d), S.job_id, COMBINED_TEXT, known)
+    return df.select(S.job_id, _joined(F.col("labels"), "labels"))
 
 
 @query("T6")
 def t6(spark, d):
-    return m2(spark, d).select(S.job_id, _joined(SK.contextual_skills(F.col(S.min_qual)), "labels"))
+    return m1(spark, d).select(S.job_id, _joined(SK.contextual_skills(F.col(S.min_qual)), "labels"))
 
 
 @query("T7")
 def t7(spark, d):
-    df = SK.generalized_skills(m2(spark, d), COMBINED_TEXT, S.min_qual)
+    df = SK.generalized_skills(with_text(spark, d), COMBINED_TEXT, S.min_qual)
     return df.select(S.job_id, _joined(F.col(SKILLS_LIST), "skills"))
 
 
@@ -293,12 +312,12 @@ def t8(spark, d):
     text = F.concat_ws(" ", F.coalesce(F.col(S.preferred_skills), F.lit("")),
                        F.coalesce(F.col(S.job_description), F.lit("")),
                        F.coalesce(F.col(S.min_qual), F.lit("")))
-    return m2(spark, d).select(S.job_id, _joined(SK.tech_skills(text), "skills"))
+    return m1(spark, d).select(S.job_id, _joined(SK.tech_skills(text), "skills"))
 
 
 @query("T9")
 def t9(spark, d):
-    df = m2(spark, d)
+    df = m1(spark, d)
     return df.select(S.job_id, _joined(SK.parse_preferred(F.col(S.preferred_skills),
                                                            F.col(S.job_description)), "skills"))
 
@@ -310,7 +329,7 @@ def t10_docs(spark, d):
 
 @query("T10")
 def t10(spark, d):
-    df = m2(spark, d)
+    df = m1(spark, d)
     text = F.concat_ws(" ", F.col(S.job_description), F.col(S.min_qual), F.col(S.preferred_skills))
     return df.select(S.job_id, _joined(SK.skill_phrases(text), "skills"))
 
@@ -328,7 +347,7 @@ def t11_docs(spark, d):
 
 @query("T11")
 def t11(spark, d):
-    df = SK.skills_cascade(m2(spark, d), S.preferred_skills, S.job_description, S.min_qual)
+    df = SK.skills_cascade(m1(spark, d), S.preferred_skills, S.job_description, S.min_qual)
     return df.select(S.job_id, _joined(F.col(SKILLS_LIST), "skills"), "skills_count")
 
 
@@ -340,13 +359,13 @@ def t12_docs(spark, d):
 
 @query("T12")
 def t12(spark, d):
-    df = SK.skills_cascade(m2(spark, d), S.preferred_skills, S.job_description, S.min_qual)
+    df = SK.skills_cascade(m1(spark, d), S.preferred_skills, S.job_description, S.min_qual)
     return df.select(S.job_id, "skills_count")
 
 
 @query("T13")
 def t13(spark, d):
-    df = SK.extract_mentions(m2(spark, d), COMBINED_TEXT, PART_WORDS)
+    df = SK.extract_mentions(with_text(spark, d), COMBINED_TEXT, PART_WORDS)
     return SK.explode_skills(df, EXTRACTED_SKILLS, [S.job_id, SALARY_MID])
 
 
@@ -374,7 +393,7 @@ def k3(spark, d):
 
 @query("K4")
 def k4(spark, d):
-    return K.degree_salary_correlation(m2(spark, d))
+    return K.degree_salary_from_pay(qualified(spark, d))
 
 
 _ANOVA_COLS = ["groups", "n_obs", "df_between", "df_within", "F_statistic", "eta_squared"]
@@ -382,7 +401,7 @@ _ANOVA_COLS = ["groups", "n_obs", "df_between", "df_within", "F_statistic", "eta
 
 @query("K5")
 def k5(spark, d):
-    st = A.anova_stats(m2(spark, d), QUALIFICATION, SALARY_MID).select(*_ANOVA_COLS)
+    st = A.anova_stats(qualified(spark, d), QUALIFICATION, SALARY_MID).select(*_ANOVA_COLS)
     return _round(st, {"F_statistic": 6, "eta_squared": 9})
 
 
@@ -394,18 +413,18 @@ def k5_docs(spark, d):
 
 @query("K5_test")
 def k5_test(spark, d):
-    return _round(A.anova_oneway(m2(spark, d), QUALIFICATION, SALARY_MID),
+    return _round(A.anova_oneway(qualified(spark, d), QUALIFICATION, SALARY_MID),
                   {"F_statistic": 6, "p_value": 9, "eta_squared": 9})
 
 
 @query("K5_groups")
 def k5_groups(spark, d):
-    return _round(A.salary_stats(m2(spark, d), QUALIFICATION, SALARY_MID), {"mean": 2})
+    return _round(A.salary_stats(qualified(spark, d), QUALIFICATION, SALARY_MID), {"mean": 2})
 
 
 @query("K6")
 def k6(spark, d):
-    return K.median_by_group(m2(spark, d), [QUALIFICATION])
+    return K.median_by_group(qualified(spark, d), [QUALIFICATION])
 
 
 @query("K7")
@@ -433,12 +452,12 @@ _K10_ROUND = {"avg_salary": 2, "salary_premium": 2}
 
 @query("K10")
 def k10(spark, d):
-    return _round(K.highest_paid_skills(m2(spark, d), COMBINED_TEXT, S.job_id), _K10_ROUND)
+    return _round(K.highest_paid_skills(with_text(spark, d), COMBINED_TEXT, S.job_id), _K10_ROUND)
 
 
 @query("K10_parts")
 def k10_parts(spark, d):
-    return _round(K.highest_paid_skills(m2(spark, d), COMBINED_TEXT, S.job_id, keywords=PART_WORDS),
+    return _round(K.highest_paid_skills(with_text(spark, d), COMBINED_TEXT, S.job_id, keywords=PART_WORDS),
                   _K10_ROUND)
 
 
@@ -450,7 +469,7 @@ def k10_docs(spark, d):
 
 @query("K11")
 def k11(spark, d):
-    return _round(K.highest_paid_skills_generalized(m2(spark, d), COMBINED_TEXT, S.min_qual, S.job_id),
+    return _round(K.highest_paid_skills_generalized(with_text(spark, d), COMBINED_TEXT, S.min_qual, S.job_id),
                   {"salary_premium": 2})
 
 

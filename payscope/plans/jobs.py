@@ -44,8 +44,8 @@ def enrich(df: DataFrame, cols: PostingColumns = RAW, checkpoint_input: bool = F
            made: list[str] | None = None) -> DataFrame:
     """M2: qualification class -> pay band against its median -> combined text.
 
-    The pay bands need two passes over the input (the medians, then every
-    row against them).  With ``checkpoint_input`` the cleaned input is
+    The pay bands need two passes over the input: the medians, then every row
+    against them, which come to the rows as a map of T1's five labels.  With ``checkpoint_input`` the cleaned input is
     first written under the shared checkpoint folder, so both passes read
     those files instead of each re-running the upstream scan, joins and
     dedup sort; use it for large runs (it needs ``spark.checkpoint.dir``).
@@ -54,12 +54,11 @@ def enrich(df: DataFrame, cols: PostingColumns = RAW, checkpoint_input: bool = F
     if checkpoint_input:
         df = materialize(df, "cleaned", made=made)
     df = T.categorize_qualification(df, cols.min_qual)
-    df = T.flag_salary_vs_qualification(df)
+    df = T.flag_salary_vs_qualification(df, labels=T.QUALIFICATIONS)
     return T.combined_text(df, [cols.preferred_skills, cols.job_description, cols.min_qual])
 
 
 POSTING_YEAR = "posting_year"
-FILES_PER_YEAR = 8
 
 
 def kpi_base(enriched: DataFrame, cols: PostingColumns = RAW, keywords: Sequence[str] | None = None,
@@ -67,14 +66,14 @@ def kpi_base(enriched: DataFrame, cols: PostingColumns = RAW, keywords: Sequence
     """The one narrow table that the four KPIs read, stored by posting year.
 
     Skill mentions are found before writing, so no free text is stored.  Rows
-    are dealt by year and a salt of the job id: each year gets at most
-    ``FILES_PER_YEAR`` files, and a year with most postings several tasks.
+    are rebalanced by year: adaptive execution splits a large year, and joins
+    small ones in a task, by the bytes that the shuffle measured, so tasks and files
+    have about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` at any size.
     """
     narrow = extract_mentions(enriched, COMBINED_TEXT, keywords, EXTRACTED_SKILLS).select(
         cols.job_id, cols.agency, POSTING_DATE, SALARY_MID, PRIMARY_CATEGORY, QUALIFICATION, SALARY_FLAG,
         EXTRACTED_SKILLS, F.year(POSTING_DATE).alias(POSTING_YEAR))
-    salt = F.pmod(F.xxhash64(cols.job_id), F.lit(FILES_PER_YEAR))
-    return materialize(narrow.repartition(POSTING_YEAR, salt), "enriched", [POSTING_YEAR], made)
+    return materialize(narrow.hint("rebalance", POSTING_YEAR), "enriched", [POSTING_YEAR], made)
 
 
 def kpi_tables(base: DataFrame, cols: PostingColumns = RAW) -> dict[str, tuple[DataFrame, list]]:

@@ -313,6 +313,8 @@ SQL["T8_docs"] = w(DOCS) + f"SELECT job_id, {joined(tech('combined_text', DOCS_V
 _T9_SPLIT = (f"list_transform(list_filter(string_split_regex(lower(preferred_skills), '[;,|]'), "
              f"lambda x: length(trim(x, {WS})) > 2 AND NOT starts_with(x, 'http')), lambda x: trim(x, {WS}))")
 SQL["T5"] = w(*BASE_M2) + f"SELECT job_id, {joined(namespaced('combined_text', TAXONOMY), 'labels')} FROM m2"
+SQL["T5_table"] = w(*BASE_M2) + f"""SELECT * FROM (
+  SELECT job_id, array_to_string(list_sort({namespaced('combined_text', TAXONOMY)}), '|') AS labels FROM m2) WHERE labels <> ''"""
 SQL["T6"] = w(*BASE_M2) + f"SELECT job_id, {joined(contextual('minimum_qual_requirements'), 'labels')} FROM m2"
 SQL["T7"] = w(*BASE_M2) + f"""SELECT job_id,
   {joined(generalized('combined_text', 'minimum_qual_requirements', TAXONOMY), 'skills')} FROM m2"""

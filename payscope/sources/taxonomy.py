@@ -3,11 +3,14 @@
 The pattern builders read the constants below directly, because a
 vocabulary of a few dozen words is a fixed parameter of the query.  The same
 content is also available as a DataFrame (``taxonomy_df``) and can be read
-from a JSON file of the same shape (``read_taxonomy_json``).
+from a JSON file of the same shape (``read_taxonomy_json``); as a table of
+keywords and labels (``vocabulary``) it may have any size.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +87,15 @@ def read_taxonomy_json(spark: SparkSession, path: str) -> DataFrame:
     doms = tree.select(F.explode("t").alias("domain", "subs"))
     subs = doms.select("domain", F.explode("subs").alias("subdomain", "skills"))
     return subs.select("domain", "subdomain", F.explode("skills").alias("skill"))
+
+
+def write_taxonomy_json(spark: SparkSession, path: str, tax: dict[str, dict[str, list[str]]] = TAXONOMY) -> str:
+    """Store a vocabulary as the JSON file that ``read_taxonomy_json`` reads."""
+    spark.createDataFrame([(json.dumps(tax),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+def vocabulary(entries: DataFrame) -> DataFrame:
+    """(keyword, label) of (domain, subdomain, skill) entries: the keyword in lower
+    case, and the name-spaced label of T5."""
+    return entries.select(F.lower("skill").alias("keyword"), F.concat_ws("_", "domain", "subdomain", "skill").alias("label"))

@@ -256,6 +256,129 @@ def test_f_survival_of_five_groups(f, d2):
     assert f_survival(f, 4, d2) == pytest.approx(closed, rel=1e-6)
 
 
+def exact_tail(f, d1, d2):
+    """The tail for even d2, from the sum over d2 in 120 digits."""
+    from decimal import Decimal as D, localcontext
+    with localcontext() as ctx:
+        ctx.prec = 120
+        f, d1, a = D(f), D(d1), d2 // 2
+        b, y = d1 / 2, d1 * f / (d2 + d1 * f)
+        term, total = (b * y.ln()).exp(), D(0)
+        for k in range(a):
+            total += term
+            term = term * (1 - y) * (b + k) / (k + 1)
+        return float(1 - total)
+
+
+@pytest.mark.parametrize("d1", [1, 2, 3, 4, 5, 7, 11, 24, 101])
+def test_f_tail_against_many_digits(d1):
+    for d2 in (2, 4, 10, 50, 200, 1000):
+        for f in (1e-6, 0.01, 0.5, 1.0, 1.7, 3.0, 10.0, 30.0, 60.0):
+            exact = exact_tail(f, d1, d2)
+            if exact > 1e-80:
+                assert f_survival(f, d1, d2) == pytest.approx(exact, rel=1e-11), (f, d2)
+
+
+@pytest.mark.parametrize("f", [0.01, 0.5, 1.0, 4.0, 100.0, 1e6])
+def test_f_tail_of_one_and_three_denominator_df(f):
+    t = math.sqrt(f)
+    assert f_survival(f, 1, 1) == pytest.approx(2 / math.pi * math.atan(1 / t), rel=1e-12)
+    if f < 1e3:
+        angle = math.atan(t / math.sqrt(3))
+        assert f_survival(f, 1, 3) == pytest.approx(1 - 2 / math.pi * (angle + math.sin(angle) * math.cos(angle)), rel=1e-9)
+
+
+@pytest.mark.parametrize("d2", [1e4, 1e8, 1e10, 1e11, 1e12])
+@pytest.mark.parametrize("f", [0.01, 0.7, 1.0, 3.0, 9.0, 30.0, 59.0])
+def test_f_tail_with_closed_form(f, d2):
+    for d1 in (2, 4, 6):
+        a, y = d2 / 2, d1 * f / (d2 + d1 * f)
+        front = math.exp(a * math.log1p(-y))
+        exact = front * sum((1.0, a * y, a * (a + 1) * y * y / 2)[:d1 // 2])
+        assert f_survival(f, d1, d2) == pytest.approx(exact, rel=1e-9)
+
+
+@pytest.mark.parametrize("f", [0.01, 1.0, 9.0, 30.0, 100.0])
+def test_f_tail_of_two_groups_nears_the_normal(f):
+    t = math.sqrt(f)
+    for d2 in (1e10, 1e12):  # the next term is t^8 / d2^2
+        normal = math.erfc(t / math.sqrt(2)) + 2 * math.exp(-f / 2) / math.sqrt(2 * math.pi) * (t**3 + t) / (4 * d2)
+        assert f_survival(f, 1, d2) == pytest.approx(normal, rel=1e-9)
+
+
+def test_f_tail_of_many_groups():
+    # far from 1 on both sides, and no underflow on the way
+    assert f_survival(0.9, 20001, 1e6) == pytest.approx(1.0, abs=1e-9)
+    assert 0 < f_survival(1.2, 20001, 1e12) < 1e-70
+    assert f_survival(1.0, 100_000, 1e9) == pytest.approx(0.5, abs=2e-3)
+    with pytest.raises(ValueError):
+        f_survival(1.0, 2.5, 10)
+
+
+# ------------------------------------------------------------- pay bands and sums
+
+def band_rows(seed=3, n=400):
+    r = random.Random(seed)
+    rows = [(r.choice(["X", "X", "Y", "Z", None]), r.choice([None, float("nan"), *[r.randint(1, 60) * 12.5 for _ in range(8)]])) for _ in range(n)]
+    return rows + [("W", None), ("V", 7.0)]
+
+
+PAY = "Qualification_Category string, Annual_Salary_Mid double"
+
+
+def test_bands_from_the_histogram_match_bands_of_rows(spark):
+    # a null class joins no median in the row-level operator; NaN is no known pay
+    df = spark.createDataFrame(band_rows(), PAY).where("Qualification_Category is not null and not isnan(coalesce(Annual_Salary_Mid, 0))")
+    assert df.where("Annual_Salary_Mid is null").count() > 10
+    from_pay = [tuple(x) for x in K.degree_salary_from_pay(df).collect()]
+    assert from_pay == [tuple(x) for x in K.degree_salary_correlation(T.flag_salary_vs_qualification(df)).collect()]
+    assert len(from_pay) >= 10
+
+
+def test_bands_of_null_class_and_nan(spark):
+    df = spark.createDataFrame([(None, 10.0), (None, 10.0), (None, 2.0), ("X", float("nan")), ("X", 5.0), ("W", None)], PAY)
+    got = {tuple(x) for x in K.degree_salary_from_pay(df).select("Qualification_Category", "Salary_Qual_Flag", "job_count").collect()}
+    assert got == {(None, "industry standard", 2), (None, "underpaid", 1), ("X", "highly paid", 1), ("X", "industry standard", 1), ("W", "highly paid", 1)}
+    assert K.degree_salary_from_pay(df.where("false")).count() == 0
+
+
+def test_medians_by_map_match_the_join(spark):
+    df = spark.createDataFrame([x for x in band_rows(5) if x[0] != "Z"], PAY)
+    cols = ["Qualification_Category", "Annual_Salary_Mid", "qual_median_salary", "Salary_Qual_Flag"]
+    joined = T.flag_salary_vs_qualification(df, keep_median=True).select(*cols)
+    mapped = T.flag_salary_vs_qualification(df, keep_median=True, labels=["V", "W", "X", "Y", "absent"]).select(*cols)
+    assert sorted(map(repr, mapped.collect())) == sorted(map(repr, joined.collect()))
+    none = spark.createDataFrame([], PAY)
+    assert T.flag_salary_vs_qualification(none, labels=["X"]).count() == 0
+
+
+def test_sums_do_not_depend_on_partitions(spark):
+    r = random.Random(17)
+    rows = [(k, r.choice("abc"), r.lognormvariate(11, 0.4), ["s1"] * r.randint(0, 3) + ["s2"] * r.randint(0, 2)) for k in range(3000)]
+    df = spark.createDataFrame(rows, "id long, g string, v double, skills array<string>")
+    results = []
+    for parts in (1, 4, 64):
+        shuffled = df.repartition(parts, F.rand(parts))
+        results.append([
+            sorted(map(repr, A.anova_stats(shuffled, "g", "v").collect())),
+            sorted(map(repr, A.salary_stats(shuffled, "g", "v").collect())),
+            sorted(map(repr, K._from_pairs(shuffled, "g", "v", lower=True)[0].collect())),
+            sorted(map(repr, K.highest_paid_mentions(shuffled, "skills", "id", "v").collect())),
+            sorted(map(repr, K.global_stats(shuffled, "v").collect()))])
+    assert results[0] == results[1] == results[2]
+    mean = A.salary_stats(df, "g", "v").where("g = 'a'").first()["mean"]
+    assert mean == pytest.approx(math.fsum(v for _, g, v, _ in rows if g == "a") / sum(g == "a" for _, g, _, _ in rows), rel=1e-15)
+
+
+def test_sums_beyond_the_exact_range(spark):
+    from payscope.operators.aggregates import reproducible_mean, reproducible_sum
+    df = spark.createDataFrame([("big", 1e300), ("big", 2e300), ("inf", float("inf")), ("nan", float("nan")), ("nan", 1.0), ("none", None),
+                                ("many", 9e25), ("many", 9e25), ("small", 0.1), ("small", 0.2)], "k string, v double")
+    got = {x.k: (x.s, x.m) for x in df.groupBy("k").agg(reproducible_sum(F.col("v")).alias("s"), reproducible_mean(F.col("v")).alias("m")).collect()}
+    assert got["big"] == (3e300, 1.5e300) and got["inf"] == (math.inf, math.inf) and got["none"] == (None, None)
+    assert got["many"] == (1.8e26, 9e25) and got["small"] == (0.3, 0.15) and all(map(math.isnan, got["nan"]))
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.one_of(st.floats(allow_nan=False), st.sampled_from([float("inf"), float("-inf")]))),
                 min_size=1, max_size=25))

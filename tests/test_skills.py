@@ -254,3 +254,47 @@ def test_mentions_kpi_matches_pandas_on_documents(spark):
         assert (r.job_count, r.unique_jobs) == (e.job_count, e.uniq)
         assert r.avg_salary == pytest.approx(e.avg, rel=1e-12)
         assert r.salary_premium == pytest.approx(e.avg - g, rel=1e-9)
+
+
+def test_phrases_by_clauses_match_whole_text(spark):
+    import random
+    r = random.Random(23)
+    pieces = ["knowledge", "in", "python", " ", " ", " ", ".", ",", ";", "experience", "skilled:", "must have", "need", "requires", "sql",
+              "programming", "development", "analysis", "data", "&", "/", "(", "\n", "\t", "skills", "skill", "proficiency", "é", "x1", "-", "excel"]
+    texts = ["", ".", None, "need sql", "need sql;", "a,need b&c.d", "data\nanalysis", "knowledge in x", "knowledge in x,"]
+    texts += ["".join(r.choices(pieces, k=r.randint(1, 60))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [x.p for x in df.select(SK.skill_phrases(F.col("t")).alias("p")).collect()]
+    assert got == [py_phrases(t) if t is not None else [] for t in texts]
+    assert sum(map(bool, got)) > 100
+
+
+def test_vocabulary_table_matches_the_fixed_vocabulary(spark):
+    from payscope.plans import catalog as c
+    table = {x.job_id: x.labels for x in c.QUERIES["T5_table"](spark, SF001).collect()}
+    fixed = {x.job_id: "|".join(sorted(x.labels.split("|"))) for x in c.QUERIES["T5"](spark, SF001).collect() if x.labels}
+    assert table == fixed and len(table) > 500
+
+
+def test_large_vocabulary_table(spark):
+    import random
+    import re
+    r = random.Random(29)
+    odd = ["c++", "c#", ".net", "r&d", "a", "first aid", "first", "aid first aid", "naïve bayes", "漢字", "x_1", "-", "node.js", "tab\tkept"]
+    keywords = odd + [f"kw{k}" for k in range(60_000)] + [f"kw{k} of{k % 7}" for k in range(40_000)]
+    vocab = spark.createDataFrame([(k, f"label {k}") for k in keywords] + [("first aid", "second label"), (None, "no"), ("", "no"), (" ", "no")], "keyword string, label string")
+    words = odd + [f"kw{r.randrange(60_000)}" for _ in range(300)] + [f"of{k}" for k in range(7)] + ["theme", "first", "aid", "xc++", "c++x", "c+", ".netx", "x.net"]
+    texts = [None, "", " ", "first aid", "first  aid", "c++,c#;.net", "c++c", "a.net a -"]
+    texts += ["".join(w + r.choice([" ", " ", " ", ", ", ".", "-", "/", "\n"]) for w in r.choices(words, k=r.randint(1, 40))) for _ in range(150)]
+    texts += [f"kw{k} of{k % 7}" for k in range(0, 40_000, 997)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    got = {x.id: x.labels for x in SK.vocabulary_presence(df, "id", "t", vocab).collect()}
+    w = r"[^\W]"  # letters, digits and underscore
+    truth = {}
+    for k, t in enumerate(texts):
+        near = {x for x in keywords if t and x in t and re.search(rf"(?<!{w}){re.escape(x)}(?!{w})", t)}
+        labels = sorted({f"label {x}" for x in near} | ({"second label"} if "first aid" in near else set()))
+        if labels:
+            truth[k] = labels
+    assert got == truth and len(got) > 150
+    assert SK.vocabulary_presence(df, "id", "t", vocab.where("false")).count() == 0
