@@ -311,9 +311,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
     prints = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = components(near_links(prints, bucket))
     members = found.select(F.col("node").alias("member"), "root").union(found.select(F.col("root").alias("member"), "root").distinct())
-    least = members.join(prints, F.col("member") == F.col("fp")).groupBy("root").agg(F.min("least").alias("component"))
+    # stored tables, so that plain joins follow: a fingerprint of very many documents, or a
+    # component of very many fingerprints, is split
+    least = stored(members.join(prints, F.col("member") == F.col("fp")).groupBy("root").agg(F.min("least").alias("component")), "simhash-least")
     of = members.join(least, "root").select("member", "component")
-    # stored, so that a plain join follows, in which a fingerprint of very many documents is split
     known = stored(prints.join(of, F.col("fp") == F.col("member"), "left").select(
         F.col("fp").alias("known"), F.when(F.col("member").isNull(), F.col("least")).otherwise(F.col("component")).alias("component_id")), "simhash-classes")
     return rows.join(known, F.col("fp") == F.col("known")).select("doc_id", hexed(F.col("fp")).alias("fingerprint"), "component_id")
