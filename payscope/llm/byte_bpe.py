@@ -1,23 +1,27 @@
 """Byte-level BPE encoding and decoding with higher-order functions.
 
-A document is cut into units at single spaces and newlines between characters
-that are not blank; no token crosses such a place.  Documents are dealt out in
-groups of about ``group_bytes``; the distinct units of a group are encoded once
-each:
-
-* the split pattern gives a unit's words, each an array of bytes;
-* a piece is written as one character (a byte as itself, a longer piece by its
-  rank), so that the array is a string whose characters are its pieces;
-* ``aggregate`` folds the ranked merges over it: each step looks up the ranks of
-  all adjacent pairs and replaces every occurrence, from the left, of the pair
-  of lowest rank by the merged piece;
-* ranks come from a literal: an array of small maps, indexed by the pair's
-  hash, so that a lookup reads a few entries;
-* decoding concatenates the binary pieces of the ids, from a literal array.
-
-Documents then put their units' ids together; both sides are already dealt
-by group, so the text moves once.  Groups are dealt round-robin, so no key or
-group of copies makes one larger, and a group's units are bounded by its text.
+Each distinct word of the corpus is encoded once:
+
+1. Texts are packed (compressed, about ``BLOB_BYTES`` together) and dealt out in
+   groups of about ``group_bytes``.  This is the only time that texts move.
+2. A group's distinct words, by the split pattern, go out by hash bucket, packed.
+3. A bucket's distinct words, each an array of bytes, are folded by ``aggregate``:
+   * a piece is written as one character (a byte as itself, a longer piece by its
+     rank), so that the array is a string whose characters are its pieces;
+   * each step looks up the ranks of all adjacent pairs and replaces every
+     occurrence, from the left, of the pair of lowest rank by the merged piece;
+   * ranks come from a literal: an array of small maps, indexed by the pair's
+     hash, so that a lookup reads a few entries;
+   * decoding concatenates the binary pieces of the ids, from a literal array.
+4. Buckets send each group its words with their ids and bytes, packed, and groups put
+   their documents together.
+
+A word found in every group takes one row a group, in packed form, and is folded once.
+A group's words are bounded by its text, a bucket's by the vocabulary of the corpus
+over the number of buckets.
+
+To find a group's words, texts are cut into units at single spaces and newlines between
+characters that are not blank; no word crosses such a place.
 
 The cost of one word grows with its length times the number of distinct merges
 in it; runs of many thousand letters without a blank are slow but whole.
@@ -31,10 +35,15 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,18 +51,15 @@ from payscope.llm.common import shuffle_partitions
 from payscope.llm.tokens import load_ranks
 
 GROUP_BYTES = 24 << 20
-BUCKETS = 1 << 16
+BLOB_BYTES = 1 << 20
+BUCKETS = 1 << 16  # of pairs, by hash
+WORD_BUCKETS = 4  # a shuffle partition
 
-# Unicode's White_Space characters, for both regular expression dialects.
+# Unicode's White_Space characters.
 WHITE = "\\t-\\r \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CUT = rf"(?<=[^{WHITE}])(?=[ \n][^{WHITE}])"
 
 
-def java_pattern(pattern: str) -> str:
-    """The split pattern with blanks as Unicode defines them."""
-    return pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^{WHITE}\p{{L}}\p{{N}}]").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]")
-
-
 def code_point(rank: int) -> int:
     """The character of a longer piece: by rank, past Latin-1, around surrogates."""
     return rank + 0x100 if rank + 0x100 < 0xD800 else rank + 0x900
@@ -128,40 +134,91 @@ def word_ids(word: Column, v: Vocabulary) -> Column:
 
 
 def cut_units(text: str) -> list[str]:
-    """The units of a text, as the SQL side cuts them."""
+    """The units of a text."""
     return re.split(CUT, text) if text else []
 
 
-# Some blank is not a single space or newline between other characters.
-_UNEVEN = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
+# Blanks besides space and newline, as Unicode or Python have them.
+_OTHER = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+
+
+def even(text: str) -> bool:
+    """Whether every blank of a text is a single space or newline between others."""
+    return not (text[0] in " \n" or text[-1] in " \n" or any(x in text for x in ("  ", "\n\n", " \n", "\n "))
+                or any(map(text.__contains__, _OTHER)))
 
 
 # No text has a lone surrogate.
 _MARK = "\ud800"
 
 
-class UnitTable:
-    """Ids (decimal, joined by blanks) and decoded bytes of a group's units."""
+def unit_keys(text: str) -> list[str]:
+    """A key for each unit of a text.  A unit that the text was cut before goes by what
+    follows its space, or by itself after a newline; any other (the first of a text) is
+    marked."""
+    if not text:
+        return []
+    if even(text):
+        head, *rest = text.replace("\n", " \n").split(" ")
+        return [_MARK + head, *rest]
+    return [u[1:] if u[0] == " " and len(u) > 1 and not u[1].isspace() else u if u[0] == "\n" and len(u) > 1 and not u[1].isspace()
+            else _MARK + u for u in cut_units(text)]
+
 
-    def __init__(self, units: list[str], ids: list[str], decoded: list[bytes]) -> None:
-        self.ids, self.decoded = ids, decoded
-        self.at = {self.key(u): k for k, u in enumerate(units)}
+def unit_of(key: str) -> str:
+    return key[1:] if key[0] == _MARK else key if key[0] == "\n" else " " + key
 
-    @staticmethod
-    def key(unit: str) -> str:
-        """A unit that a text was cut before goes by what follows its space, or
-        by itself after a newline; any other (the first of a text) is marked."""
-        if unit[0] in " \n" and len(unit) > 1 and not unit[1].isspace():
-            return unit[1:] if unit[0] == " " else unit
-        return _MARK + unit
 
-    def places(self, text: str) -> list[int]:
-        if not text:
-            return []
-        if _UNEVEN.search(text):
-            return [self.at[self.key(u)] for u in cut_units(text)]
-        head, *rest = text.replace("\n", " \n").split(" ")
-        return [self.at[self.key(head)], *map(self.at.__getitem__, rest)]
+def pack(items: list[bytes]) -> bytes:
+    """A list of byte strings in one, compressed."""
+    lengths = np.fromiter(map(len, items), "<u8", len(items))
+    return zstandard.ZstdCompressor(level=1).compress(np.uint64(len(items)).tobytes() + lengths.tobytes() + b"".join(items))
+
+
+def unpack(packed: bytes) -> list[bytes]:
+    whole = zstandard.ZstdDecompressor().decompress(packed)
+    n = int(np.frombuffer(whole, "<u8", 1)[0])
+    ends = (8 + 8 * n + np.cumsum(np.frombuffer(whole, "<u8", n, 8))).tolist()
+    return [whole[a:b] for a, b in zip([8 + 8 * n, *ends], ends, strict=False)]
+
+
+class UnitTable(dict):
+    """Ids (decimal, joined by blanks) and decoded bytes by unit key, put together
+    from those of words when first asked for."""
+
+    def __init__(self, pattern: str, words: dict[str, tuple[str, bytes]]) -> None:
+        self.words, self.find = words, regex.compile(pattern).findall
+
+    def __missing__(self, key: str) -> tuple[str, bytes]:
+        of = [self.words[w] for w in self.find(unit_of(key))]
+        found = self[key] = " ".join([x for x, _ in of]), b"".join([x for _, x in of])
+        return found
+
+
+def packed_texts(docs: DataFrame, groups: int, blob_bytes: int) -> DataFrame:
+    """(part, ids, texts): documents in packs, dealt to parts in turn."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() * 7919  # tasks begin at different parts
+        ids, texts, size = [], [], 0
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([at % groups], pa.int64()), pa.array([ids], pa.list_(id_type)),
+                                               pa.array([pack(texts)], pa.large_binary()).cast(pa.binary())], ["part", "ids", "texts"])
+
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids.append(k)
+                texts.append(text)
+                size += len(text)
+                if size >= blob_bytes:
+                    yield told()
+                    ids, texts, size, at = [], [], 0, at + 1
+        if ids:
+            yield told()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"part long, ids array<{kind}>, texts binary")
 
 
 def encode(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_id", text: str = "text", group_bytes: int = GROUP_BYTES) -> DataFrame:
@@ -170,34 +227,72 @@ def encode(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_id", text:
     the ids as numbers."""
     import public_tokenizers
 
+    pattern = public_tokenizers.PATTERN
     v = vocabulary(vocabulary_path)
+    parts = shuffle_partitions(docs.sparkSession)
+    buckets = WORD_BUCKETS * parts
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = narrow.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    groups = total // group_bytes + 1
-    dealt = narrow.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(groups))).repartition(shuffle_partitions(docs.sparkSession), "part")
-    # counting ids keeps both sides' exchange one and the same, so Spark shuffles the text once
-    units = (dealt.select("part", "doc_id", F.explode(F.split("text", CUT)).alias("unit")).where("unit != ''")
-             .groupBy("part", "unit").agg(F.count("doc_id").alias("uses")))
-    words = F.regexp_extract_all("unit", F.lit(java_pattern(public_tokenizers.PATTERN)), F.lit(0))
-    units = units.withColumn("n", F.flatten(F.transform(words, lambda w: word_ids(w, v))))
+    dealt = packed_texts(narrow, total // group_bytes + 1, min(BLOB_BYTES, group_bytes)).repartition(parts, "part")
+
+    def words_of(group: pa.Table) -> pa.Table:
+        keys: set[str] = set()
+        for blob in group.column("texts"):
+            for x in unpack(blob.as_py()):
+                keys.update(unit_keys(x.decode()))
+        find = regex.compile(pattern).findall
+        by_bucket: dict[int, list[bytes]] = {}
+        for word in sorted({w for key in keys for w in find(unit_of(key))}):
+            raw = word.encode()
+            by_bucket.setdefault(xxhash.xxh32_intdigest(raw) % buckets, []).append(raw)
+        part = group.column("part")[0].as_py()
+        return pa.table({"bucket": pa.array(by_bucket, pa.int64()), "part": pa.array([part] * len(by_bucket), pa.int64()),
+                         "words": pa.array(map(pack, by_bucket.values()), pa.binary())})
+
+    used = dealt.groupBy("part").applyInArrow(words_of, "bucket long, part long, words binary").repartition(parts, "bucket")
+
+    def distinct(group: pa.Table) -> pa.Table:
+        words = list({w for blob in group.column("words") for w in unpack(blob.as_py())})
+        return pa.table({"bucket": pa.array([group.column("bucket")[0].as_py()] * len(words), pa.int64()),
+                         "word": pa.array(words, pa.binary()).cast(pa.string())})
+
+    folded = used.groupBy("bucket").applyInArrow(distinct, "bucket long, word string").withColumn("n", word_ids(F.col("word"), v))
     pieces = F.array_join(F.transform("n", lambda i: F.get(v.pieces, i)), "")
-    units = units.select("part", "unit", "uses", F.array_join("n", " ").alias("ids"), F.unhex(pieces).alias("decoded"))
+    folded = folded.select("bucket", "word", F.array_join("n", " ").alias("ids"), F.unhex(pieces).alias("decoded"))
 
-    def put_together(texts: pa.Table, known: pa.Table) -> pa.Table:
-        table = UnitTable(*(known.column(c).to_pylist() for c in ("unit", "ids", "decoded")))
+    def attached(wanted: pa.Table, known: pa.Table) -> pa.Table:
+        of = dict(zip(known.column("word").cast(pa.binary()).to_pylist(), zip(
+            known.column("ids").cast(pa.binary()).to_pylist(), known.column("decoded").to_pylist(), strict=True), strict=True))
+        out = []
+        for blob in wanted.column("words"):
+            words = unpack(blob.as_py())
+            out.append(pack([*words, *[of[w][0] for w in words], *[of[w][1] for w in words]]))
+        return pa.table({"part": wanted.column("part"), "words": pa.array(out, pa.binary())})
+
+    known = used.groupBy("bucket").cogroup(folded.groupBy("bucket")).applyInArrow(attached, "part long, words binary")
+
+    def put_together(group: pa.Table, known: pa.Table) -> pa.Table:
+        words: dict[str, tuple[str, bytes]] = {}
+        for blob in known.column("words"):
+            items = unpack(blob.as_py())
+            n = len(items) // 3
+            words.update(zip((w.decode() for w in items[:n]), zip((x.decode() for x in items[n:2 * n]), items[2 * n:], strict=True), strict=True))
+        units = UnitTable(pattern, words)
         out = []
-        for batch in texts.to_batches(max_chunksize=256):
-            places = [table.places(t) for t in batch.column("text").to_pylist()]
-            ids = [" ".join(map(table.ids.__getitem__, p)) for p in places]
+        for row in range(len(group)):
+            ids, decoded = [], []
+            for x in unpack(group.column("texts")[row].as_py()):
+                of = list(map(units.__getitem__, unit_keys(x.decode())))
+                ids.append(" ".join([a for a, _ in of]))
+                decoded.append(b"".join([b for _, b in of]))
             out.append(pa.record_batch({
-                "doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.string()),
-                "n_tokens": pa.array([x.count(" ") + 1 if x else 0 for x in ids], pa.int64()),
-                "decoded": pa.array([b"".join(map(table.decoded.__getitem__, p)) for p in places], pa.binary())}))
+                "doc_id": group.column("ids")[row].values, "ids": pa.array(ids, pa.string()),
+                "n_tokens": pa.array([x.count(" ") + 1 if x else 0 for x in ids], pa.int64()), "decoded": pa.array(decoded, pa.binary())}))
         return pa.Table.from_batches(out)
 
-    id_type = narrow.schema["doc_id"].dataType.simpleString()
-    return dealt.groupBy("part").cogroup(units.groupBy("part")).applyInArrow(
-        put_together, f"doc_id {id_type}, ids string, n_tokens long, decoded binary")
+    kind = narrow.schema["doc_id"].dataType.simpleString()
+    return dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
+        put_together, f"doc_id {kind}, ids string, n_tokens long, decoded binary")
 
 
 def ids_array(ids: Column) -> Column:
