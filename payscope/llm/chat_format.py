@@ -5,7 +5,10 @@ inside roles and texts are escaped reversibly: every ``<``, backslashes, ``|``
 gets one more backslash, so that ``<|`` never occurs inside a turn; a role's
 line breaks are written ``\\n`` with its backslashes doubled.
 
-Prefix sums of turn tokens cut a conversation at turn boundaries.  With a
+Prefix sums of turn tokens cut a conversation at turn boundaries.  A turn counts as
+many tokens as its written form has bytes: no byte-level vocabulary makes more, in any
+script, so a window within the budget stays within it; ``tokens`` takes another
+measure, say counts joined from a tokenizer.  With a
 stride of half of what system turn and history leave of the budget, a turn
 belongs to the window in whose stride it starts, and a turn longer than the
 stride has a window of its own.  So a window is within the budget unless one
@@ -55,16 +58,25 @@ def unescape_role(role: Column) -> Column:
     return F.replace(F.replace(inner, aside, F.lit("\\")), F.lit("\x00\x01"), F.lit("\x00"))
 
 
-def estimated_tokens(text: Column) -> Column:
-    """A quarter of the characters, and four for the markers."""
-    return F.ceil(F.length(text) / 4).cast("long") + 4
+def written(head: Column, body: Column) -> Column:
+    """A turn as it is written, from its escaped parts."""
+    return F.concat(head, body, F.lit(END + "\n"))
+
+
+def head_of(role: Column) -> Column:
+    return F.concat(F.lit(START), escape_role(role), F.lit("\n"))
+
+
+def most_tokens(role: Column, text: Column) -> Column:
+    """The bytes of the written turn, which its tokens cannot exceed."""
+    return F.octet_length(written(head_of(role), escape(text))).cast("long")
 
 
 def _placed(conversations: DataFrame, tokens) -> DataFrame:
     """Turns with number (from 0), size and start (tokens before them)."""
     t = conversations.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    t = t.withColumn("size", tokens(F.col("text"))).withColumn("block", F.floor(F.col("turn") / BLOCK))
+    t = t.withColumn("size", tokens(F.col("role"), F.col("text"))).withColumn("block", F.floor(F.col("turn") / BLOCK))
     totals = t.groupBy("conv_id", "block").agg(F.sum("size").alias("sizes"), F.count("*").alias("rows"))
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(F.col("conv_id").alias("_conv"), F.col("block").alias("_block"),
@@ -78,7 +90,7 @@ def _placed(conversations: DataFrame, tokens) -> DataFrame:
                                        (F.col("start") + F.col("sizes")).alias("start"))
 
 
-def windows(conversations: DataFrame, budget: int = 2048, history: int = 256, system: int = 256, tokens=estimated_tokens) -> DataFrame:
+def windows(conversations: DataFrame, budget: int = 2048, history: int = 256, system: int = 256, tokens=most_tokens) -> DataFrame:
     """One row per window of conversations (conv_id, turn, role, text):
     conv_id, window (from 0, in order), formatted, loss_spans (array of start
     from 0 and length, in characters of ``formatted``), is_new (per turn of
@@ -106,22 +118,21 @@ def windows(conversations: DataFrame, budget: int = 2048, history: int = 256, sy
     kept = opening.join(heads, F.col("conv_id").eqNullSafe(F.col("w_conv")) & (F.col("w_number") > 0)).select(
         "conv_id", F.col("w_step").alias("step"), F.col("w_part").alias("part"), "number", "role", "text", "size", F.lit(False).alias("is_new"))
     every = own.union(repeated).union(kept)
-    head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
-    body = escape(F.col("text"))
+    head, body = head_of(F.col("role")), escape(F.col("text"))
     every = every.select("conv_id", "step", "part", "size", F.struct(
         "number", "is_new", head.alias("head"), body.alias("body"), (F.col("is_new") & (F.col("role") == "assistant")).alias("target")).alias("t"))
     grouped = every.groupBy("conv_id", "step", "part").agg(F.sort_array(F.collect_list("t")).alias("turns"), F.sum("size").alias("n_tokens"))
-    written = lambda x: F.concat(x["head"], x["body"], F.lit(END + "\n"))
+    whole = lambda x: written(x["head"], x["body"])
     empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("spans"))
 
     def advance(s: Column, x: Column) -> Column:
         span = F.struct((s["at"] + F.length(x["head"])).alias("start"), F.length(x["body"]).alias("length"))
-        return F.struct((s["at"] + F.length(written(x))).alias("at"),
+        return F.struct((s["at"] + F.length(whole(x))).alias("at"),
                         F.when(x["target"], F.concat(s["spans"], F.array(span))).otherwise(s["spans"]).alias("spans"))
 
     # windows are numbered by their place in the conversation
     place = (F.col("step") * 2 + F.col("part")).alias("window")
-    return grouped.select("conv_id", place, F.array_join(F.transform("turns", written), "").alias("formatted"),
+    return grouped.select("conv_id", place, F.array_join(F.transform("turns", whole), "").alias("formatted"),
                           F.aggregate("turns", empty, advance)["spans"].alias("loss_spans"),
                           F.transform("turns", lambda x: x["is_new"]).alias("is_new"), "n_tokens")
 

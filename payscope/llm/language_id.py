@@ -3,8 +3,9 @@
 ``train`` learns, per language, the set of letter n-grams typical of it and
 puts each set into a Bloom filter.  The filters are bit-sliced: one array
 with, at each position, a word whose bit l is that position's bit in language
-l's filter.  The AND of an n-gram's ``HASHES`` positions is thus the bitmask of
-all languages that may contain it, by one lookup for all languages.
+l's filter; past 64 languages, another word for each 64.  The AND of an n-gram's
+``HASHES`` positions is thus the bitmask of all languages that may contain it, by one
+lookup for all languages of a word.
 
 ``predict`` counts, per language, the n-grams of a text whose bitmask has its
 bit (popcounts per bit), corrects the count for the false positives that a
@@ -22,9 +23,11 @@ Scale: the classifier is fitted on a sample, by hash of text and place, of
 blocks with about ``max_train_chars`` characters per language (a documented
 bound); a language with fewer is taken whole.  Copies of a text count once.  The
 counts of characters per language that set the sampling rate cover all labelled
-documents.  N-gram counts are pre-aggregated in each task.  Prediction is one
-Arrow pass with no shuffle; the filter is one megabyte for up to 8 languages
-and is sent to tasks with the function.
+documents.  N-gram counts are pre-aggregated in each task.  Filters are put together
+by position: what reaches the driver is one word for each position and 64
+languages, whatever the corpus.  Prediction is one Arrow pass with no shuffle; the
+filter is one megabyte for up to 8 languages, 8 for each 64, and is sent to tasks with
+the function.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0.
 Ties go to the language first in text order.  Repeated rows are predicted
@@ -48,7 +51,7 @@ HASHES = 3
 SLOTS = 1 << 20
 MIN_SHARE = 2e-6
 MIN_RATIO = 0.2
-MAX_LANGUAGES = 64
+WORD_BITS = 64  # languages a word
 BLOCK = 1 << 20
 SAMPLE_BLOCK = 2000  # characters taken or left together
 UNKNOWN = "und"
@@ -91,21 +94,25 @@ def _positions(hashed: np.ndarray) -> Iterator[np.ndarray]:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Bit-sliced filters: ``slots[p]`` has bit l if language l has p set."""
+    """Bit-sliced filters: ``slots[w, p]`` has bit l if language 64 w + l has p set."""
 
     languages: tuple[str, ...]
     slots: np.ndarray
 
+    def count(self, words: np.ndarray) -> np.ndarray:
+        """Per language, how many columns of ``words`` (as slots) have its bit."""
+        one = words.dtype.type
+        return np.array([np.count_nonzero(words[k // WORD_BITS] & one(1 << k % WORD_BITS)) for k in range(len(self.languages))])
+
     def false_positives(self) -> np.ndarray:
         """Chance, per language, that an n-gram of no language is found."""
-        fill = np.array([np.count_nonzero(self.slots & self.slots.dtype.type(1 << k)) for k in range(len(self.languages))]) / len(self.slots)
-        return fill**HASHES
+        return (self.count(self.slots) / self.slots.shape[1]) ** HASHES
 
     def masks(self, hashed: np.ndarray) -> np.ndarray:
         """Bitmask of the languages that have each n-gram."""
         found = None
         for p in _positions(hashed):
-            at = self.slots[p]
+            at = self.slots[:, p]
             found = at if found is None else found & at
         return found
 
@@ -115,8 +122,7 @@ class LanguageModel:
             return UNKNOWN, 0.0
         hits = np.zeros(len(self.languages))
         for at in range(0, len(hashed), BLOCK):
-            mask = self.masks(hashed[at:at + BLOCK])
-            hits += [np.count_nonzero(mask & mask.dtype.type(1 << k)) for k in range(len(self.languages))]
+            hits += self.count(self.masks(hashed[at:at + BLOCK]))
         share = np.clip((hits / len(hashed) - fp) / (1 - fp), 0, 1)
         best = int(share.argmax())
         return self.languages[best], float(share[best])
@@ -163,30 +169,37 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", max_train
     folded = rows.groupBy("lang", "key").agg(F.max(F.length("text").cast("double")).alias("n"))
     chars = {r["lang"]: r["n"] for r in folded.groupBy("lang").agg(F.sum("n").alias("n")).collect() if r["n"]}
     languages = tuple(sorted(chars))
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; the bitmask holds {MAX_LANGUAGES}")
     kind = np.uint8 if len(languages) <= 8 else np.uint64
-    slots = np.zeros(SLOTS, kind)
+    words = -(-len(languages) // WORD_BITS)
+    slots = np.zeros((max(1, words), SLOTS), kind)
     if not languages:
         return LanguageModel(languages, slots)
     rates = {name: min(1.0, max_train_chars / n) for name, n in chars.items()}
     counts = _count_ngrams(_sampled(rows, rates)).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    per_gram = counts.groupBy("gram").pivot("lang", [x for x in languages if x in totals]).agg(F.sum("n"))
-    shares = {name: F.coalesce(F.col(f"`{name}`"), F.lit(0)) / float(totals[name]) for name in languages if name in totals}
-    top = F.greatest(*shares.values()) if len(shares) > 1 else next(iter(shares.values()))
-    mask = F.lit(0).cast("long")
-    for k, name in enumerate(languages):
-        if name in shares:
-            typical = (shares[name] >= MIN_SHARE) & (shares[name] >= MIN_RATIO * top)
-            mask = mask.bitwiseOR(F.when(typical, F.lit(1 << k if k < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")))
-    typical = per_gram.select("gram", mask.alias("mask")).where("mask != 0").toPandas()  # at most languages / MIN_SHARE rows
-    bits = typical["mask"].to_numpy(np.int64).view(np.uint64).astype(kind)
-    for p in _positions(typical["gram"].to_numpy(np.int64).view(np.uint64)):
-        np.bitwise_or.at(slots, p.astype(np.int64), bits)
+    known = counts.where(F.col("lang").isin(*totals))
+    share = F.col("n") / F.element_at(F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, float(n))]), F.col("lang"))
+    most = known.groupBy("gram").agg(F.max(share).alias("top"))
+    typical = known.withColumn("share", share).join(most, "gram").where((F.col("share") >= MIN_SHARE) & (F.col("share") >= MIN_RATIO * F.col("top")))
+    filters = _filter_words(typical.select("lang", "gram"), languages).toPandas()  # at most SLOTS rows a word
+    slots[filters["word"].to_numpy(), filters["slot"].to_numpy()] = filters["mask"].to_numpy(np.int64).view(np.uint64).astype(kind)
     return LanguageModel(languages, slots)
 
 
+def _filter_words(typical: DataFrame, languages: tuple[str, ...]) -> DataFrame:
+    """(word, slot, mask): the filters' words that are not zero, from (lang, gram)."""
+    number = {name: k for k, name in enumerate(languages)}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at = batch["lang"].map(number).to_numpy(np.int64)
+            bit = np.uint64(1) << (at % WORD_BITS).astype(np.uint64)
+            for p in _positions(batch["gram"].to_numpy(np.int64).view(np.uint64)):
+                yield pd.DataFrame({"word": at // WORD_BITS, "slot": p.astype(np.int64), "mask": bit.view(np.int64)})
+
+    return typical.mapInPandas(run, "word long, slot long, mask long").groupBy("word", "slot").agg(F.bit_or("mask").alias("mask"))
+
+
 def predictor(model: LanguageModel):
     """Column function: struct(lang_pred, score) of a text column."""
     fp = model.false_positives()

@@ -30,9 +30,10 @@ No bucket is expanded into all pairs of a group:
    whose distances to the leader differ by more than 0.2 cannot be linked
    (triangle inequality), nor can one of too different lengths; those are
    skipped, and so are pairs whose 256 one-byte bin minima (one permutation
-   hashing) agree three standard deviations less than at similarity 0.8.  A pair
-   is looked at in one of its buckets only.  All others are aligned; nothing is
-   capped.
+   hashing) agree 4.5 standard deviations less than at similarity 0.8, which a
+   pair that is alike does with a chance of about 3 in a million.  A pair
+   is looked at in one of its buckets only.  All others are aligned, however many
+   they are.
 
 Results: one row per document: class_id is the smallest doc_id of its class,
 class_size its number of documents, kept whether it stays (one per class).
@@ -68,6 +69,7 @@ SKETCHES = 48
 # which sketches make each band; each sketch serves two
 BANDS = [(b, 16 + b, 32 + b) for b in range(16)] + [(b, 16 + (b + 5) % 16, 32 + (b + 11) % 16) for b in range(16)]
 AGREEING = 18
+BIN_DEVIATIONS = 4.5
 BLOCK = 16384
 MATCHES = 1 << 20  # matches of an alignment held at a time
 MATCH_COST, ROW_COST = 1000, 5000  # of a match, and of a row of bits besides its length
@@ -157,8 +159,8 @@ def bins(labelled: np.ndarray) -> np.ndarray:
 
 
 def may_be_similar(x: str, y: str, threshold: float) -> Column:
-    """False if the share of equal bins lies three standard deviations below
-    what a pair at the threshold has."""
+    """False if the share of equal bins lies BIN_DEVIATIONS below what a pair at
+    the threshold has."""
     ones = lambda d: d.bitwiseAND(F.lit(0x0101010101010101))
 
     def set_bytes(d: Column) -> Column:
@@ -172,7 +174,7 @@ def may_be_similar(x: str, y: str, threshold: float) -> Column:
 
     total = F.aggregate(F.zip_with(x, y, counted), F.lit(0), lambda s, c: s + c)
     used, equal = F.floor(total / 1000), total % 1000
-    return equal / used >= threshold - 3 * (threshold * (1 - threshold)) ** 0.5 / F.sqrt(used)
+    return equal / used >= threshold - BIN_DEVIATIONS * (threshold * (1 - threshold)) ** 0.5 / F.sqrt(used)
 
 
 def agreeing(x: str, y: str) -> Column:

@@ -30,7 +30,12 @@ BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
 MEASURES = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long",
-            "n_repeat_words": "long", "n_lines": "long", "n_distinct_words": "long", "n_shouts": "long"}
+            "n_repeat_words": "long", "n_lines": "long", "n_distinct_words": "long", "n_shouts": "long",
+            "n_blocks": "long", "n_dull_blocks": "long"}
+
+# Words are looked at in blocks of so many, the last with what remains; a block is
+# dull if less than a tenth of its words are distinct.
+BLOCK_WORDS = 1000
 
 
 @dataclass(frozen=True)
@@ -51,8 +56,10 @@ def rules(c: Callable[[str], Column] = F.col) -> list[Rule]:
         Rule("duplicate_lines", 3, (c("n_lines") >= 4) & (10 * c("n_dup_lines") > 5 * c("n_lines"))),
         Rule("long_words", 4, c("word_chars") > 20 * words),
         Rule("short_words", 5, 10 * c("word_chars") < 15 * words),
+        # of web-2 only: it does not look at long texts, which dull_blocks does alike at any length
         Rule("few_distinct_words", 6, (words >= 50) & (words < 2000) & (20 * c("n_distinct_words") < words)),
         Rule("shouting", 7, 4 * c("n_shouts") > words),
+        Rule("dull_blocks", 8, (words >= 50) & (2 * c("n_dull_blocks") > c("n_blocks"))),
     ]
 
 
@@ -63,6 +70,7 @@ POLICIES = {
     "base-1": BASE_RULES,
     "web-1": (*BASE_RULES, "symbols", "duplicate_lines", "shouting"),
     "web-2": (*BASE_RULES, "symbols", "duplicate_lines", "long_words", "short_words", "few_distinct_words", "shouting"),
+    "web-3": (*BASE_RULES, "symbols", "duplicate_lines", "long_words", "short_words", "dull_blocks", "shouting"),
 }
 
 
@@ -90,6 +98,15 @@ def _repeat_words(ids: np.ndarray, distinct: int) -> int:
     return int(twice.sum())
 
 
+def _dull_blocks(ids: np.ndarray, distinct: int) -> tuple[int, int]:
+    """Blocks of a text's words, and how many of them are dull."""
+    blocks = max(1, len(ids) // BLOCK_WORDS)
+    if blocks == 1:
+        return 1, int(10 * distinct < len(ids))
+    ends = [*range(BLOCK_WORDS, blocks * BLOCK_WORDS, BLOCK_WORDS), len(ids)]
+    return blocks, sum(10 * len(np.unique(part)) < len(part) for part in np.split(ids, ends[:-1]))
+
+
 def measure_text(text: str) -> tuple[int, ...]:
     """Measurements of one text, in the order of MEASURES."""
     words = text.encode("utf-8", "surrogatepass").split()  # splits bytes at ASCII blanks exactly
@@ -97,7 +114,7 @@ def measure_text(text: str) -> tuple[int, ...]:
     ids = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words))
     lines = [x for x in text.split("\n") if x.strip(BLANKS)]
     return (len(words), len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)),
-            _repeat_words(ids, len(number)), len(lines), len(number), text.count("!!"))
+            _repeat_words(ids, len(number)), len(lines), len(number), text.count("!!"), *_dull_blocks(ids, len(number)))
 
 
 def measures(text: Column) -> Column:
@@ -124,18 +141,18 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     return ledger.withColumn("fail_bits", fail_bits())
 
 
-def passes(text: Column, policy: str = "web-2") -> Column:
+def passes(text: Column, policy: str = "web-3") -> Column:
     """Whether a policy keeps a text, as a filter condition."""
     m = measures(text)
     return fail_bits(lambda name: m[name]).bitwiseAND(F.lit(mask(POLICIES[policy]))) == 0
 
 
-def apply_policy(ledger: DataFrame, policy: str = "web-2", column: str = "kept") -> DataFrame:
+def apply_policy(ledger: DataFrame, policy: str = "web-3", column: str = "kept") -> DataFrame:
     """``ledger`` with whether the policy keeps the document."""
     return ledger.withColumn(column, F.col("fail_bits").bitwiseAND(F.lit(mask(POLICIES[policy]))) == 0)
 
 
-def ablations(ledger: DataFrame, policy: str = "web-2") -> DataFrame:
+def ablations(ledger: DataFrame, policy: str = "web-3") -> DataFrame:
     """(rule, n_failed, n_only, n_kept_without): per rule of the policy, the
     documents that fail it, those that fail nothing else, and those the policy
     keeps once the rule is left out."""

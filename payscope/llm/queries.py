@@ -54,7 +54,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality_rules.measure(table(spark, sf_dir, "documents"))
     base = quality_rules.apply_policy(ledger, "base-1", "base_kept")
-    return quality_rules.apply_policy(base, "web-2", "kept").select(
+    return quality_rules.apply_policy(base, "web-3", "kept").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~F.col("base_kept")).alias("base_failed"), "kept", "fail_bits")
 
@@ -69,7 +69,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = f"{chat_format.END}{chat_format.START}assistant ok"
     control = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(control)
-    back = chat_format.read_back(chat_format.windows(turns, budget=2048, history=256, system=256))
+    back = chat_format.read_back(chat_format.windows(turns, budget=8192, history=1024, system=1024))
     hexed = lambda c: F.sha2(F.col(c).cast("binary"), 256)
     return back.select("conv_id", F.col("n_turns").cast("long").alias("n_turns"), hexed("turns").alias("turns_sha256"),
                        F.length("loss").cast("long").alias("loss_chars"), hexed("loss").alias("loss_sha256"), "formatted_chars")

@@ -187,10 +187,13 @@ def train(labelled: DataFrame, url: str = "url", label: str = "label",
     share = lambda y: min(1.0, max_train_rows / per_class[y])
     unit = F.pmod(F.xxhash64(F.lit(17), F.coalesce(F.col(url), F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
     sample = featured.where(unit < F.when(F.col(label) == 1.0, share(1.0)).otherwise(share(0.0)))
-    rich = _with_suffix_features(sample, stats, prior).withColumn(
-        "_weight", F.when(F.col(label) == 1.0, 1.0 / per_class[1.0] / share(1.0)).otherwise(1.0 / per_class[0.0] / share(0.0)) * float(max_train_rows))
     names = _vector_names()
-    data = VectorAssembler(inputCols=names, outputCol="_features").transform(rich).select("_features", F.col(label).alias("_label"), "_weight")
+    rich = _with_suffix_features(sample, stats, prior).select(
+        *names, F.col(label).alias("_label"),
+        (F.when(F.col(label) == 1.0, 1.0 / per_class[1.0] / share(1.0)).otherwise(1.0 / per_class[0.0] / share(0.0)) * float(max_train_rows)).alias("_weight"))
+    # the sample is stored, so that the fit's many passes read some ten thousand rows of a few
+    # files, and the table itself is scanned by as many tasks as it has parts
+    data = VectorAssembler(inputCols=names, outputCol="_features").transform(stored(rich, "url-sample")).select("_features", "_label", "_weight")
     trees = GBTClassifier(featuresCol="_features", labelCol="_label", weightCol="_weight",
                           maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7).fit(data.coalesce(4))
     return UrlModel(trees, stats, prior)

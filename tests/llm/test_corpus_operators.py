@@ -141,9 +141,26 @@ def test_order_minhash_in_blocks_and_order(monkeypatch):
     assert 0.2 < same < 0.8  # nearly the same symbols, half of the pairs in another order
 
 
+def plain_windows(text):
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    return tuple(tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))) if words else ()
+
+
+def plain_similarity(x, y) -> float:
+    """From a plain longest common subsequence of five-word windows."""
+    if not x or not y:
+        return float(x == y)
+    both = sum((collections.Counter(x) & collections.Counter(y)).values())
+    if both / (len(x) + len(y) - both) < 0.8:  # more than any subsequence has
+        return 0.0
+    common = lcs(x, y)
+    return common / (len(x) + len(y) - common)
+
+
 def near_truth(texts):
-    nodes = sorted({" ".join(near_dedup.words_of(t)) for t in texts})
-    sets = [near_dedup.symbols(n.split()) for n in nodes]
+    """Classes by brute force, without the operator's code."""
+    of_text = [plain_windows(t) for t in texts]
+    nodes = list(dict.fromkeys(of_text))
     root = list(range(len(nodes)))
 
     def find(k):
@@ -152,16 +169,65 @@ def near_truth(texts):
         return k
 
     for a, b in itertools.combinations(range(len(nodes)), 2):
-        if near_dedup.similarity(sets[a], sets[b]) >= 0.8:
+        if plain_similarity(nodes[a], nodes[b]) >= 0.8:
             root[find(a)] = find(b)
     place = {n: k for k, n in enumerate(nodes)}
-    of = [find(place[" ".join(near_dedup.words_of(t))]) for t in texts]
+    of = [find(place[x]) for x in of_text]
     least = {}
     for k, c in enumerate(of):
         least[c] = min(k, least.get(c, k))
     return [least[c] for c in of], collections.Counter(least[c] for c in of)
 
 
+def edited(r, words, goal):
+    """A copy of ``words`` at about the given similarity: words changed, lines dropped or put in."""
+    out = list(words)
+    changes = 0
+    while plain_similarity_of_words(words, out) > goal and changes < 400:
+        changes += 1
+        k = r.randrange(len(out))
+        kind = r.random()
+        if kind < 0.7:
+            out[k] = f"zz{r.randrange(10**6)}"
+        elif kind < 0.85:
+            del out[k:k + r.randint(1, 6)]
+        else:
+            out[k:k] = [f"yy{r.randrange(10**6)}" for _ in range(r.randint(1, 6))]
+    return out
+
+
+def plain_similarity_of_words(x, y):
+    return plain_similarity(plain_windows(" ".join(x)), plain_windows(" ".join(y)))
+
+
+def test_candidate_recall_by_similarity():
+    """Pairs at 0.8 and more share a band and pass signature and bins."""
+    r = random.Random(43)
+    found, total = collections.Counter(), collections.Counter()
+    for n in (40, 120, 300):
+        for _ in range(60):
+            words = [f"w{r.randrange(3000)}" for _ in range(n)]
+            if r.random() < 0.3:  # a recurring line
+                line = [f"line{k}" for k in range(12)]
+                words = [w for at in range(0, n, 40) for w in line + words[at:at + 40]]
+            other = edited(r, words, r.uniform(0.8, 0.97))
+            similarity = plain_similarity_of_words(words, other)
+            if similarity < 0.8:
+                continue
+            x, y = near_dedup.symbols(words), near_dedup.symbols(other)
+            a, b = near_dedup.order_minhash(x), near_dedup.order_minhash(y)
+            band = bool(set(near_dedup.band_keys(a).tolist()) & set(near_dedup.band_keys(b).tolist()))
+            same = int(((a ^ b) & np.uint64(15) == 0).sum()) >= near_dedup.AGREEING
+            p, q = near_dedup.bins(x).view(np.uint8), near_dedup.bins(y).view(np.uint8)
+            used = int(((p | q) > 0).sum())
+            equal = int(((p == q) & (p > 0)).sum())
+            bins = equal / used >= 0.8 - near_dedup.BIN_DEVIATIONS * (0.16 / used) ** 0.5
+            total[n] += 1
+            found[n] += band and same and bins
+    assert sum(total.values()) > 80
+    assert sum(found.values()) >= 0.98 * sum(total.values()), (found, total)
+
+
 def test_near_dedup_by_brute_force(spark):
     r = random.Random(13)
     texts = list(edge_texts())
@@ -426,17 +492,38 @@ def test_chat_windows(spark):
         assert back[c].n_turns == len(turns)
         assert back[c].turns == "".join(f"{x[2]}\n{x[3]}\n" for x in turns)
         assert back[c].loss == "".join(x[3] for x in turns if x[2] == "assistant")
-    size = lambda t: -(-len(t) // 4) + 4
-    longest = {c: max(size(x[3]) for x in turns) for c, turns in conversations.items()}
+    def size(role, text):
+        role = role.replace("\\", "\\\\").replace("\n", "\\n")
+        escaped = [re.sub(r"<(\\*)\|", r"<\1\\|", x) for x in (role, text)]
+        return len(f"<|im_start|>{escaped[0]}\n{escaped[1]}<|im_end|>\n".encode())
+
+    longest = {c: max(size(x[2], x[3]) for x in turns) for c, turns in conversations.items()}
     for x in windows.collect():
         assert len(x.is_new) == x.formatted.count(chat_format.START) == x.formatted.count(chat_format.END + "\n")
-        assert any(x.is_new) and x.n_tokens <= 600 + max(0, longest[x.conv_id] - 240)
+        opening = sorted(conversations[x.conv_id])[0]
+        system = size(opening[2], opening[3]) if opening[2] == "system" else 0
+        assert any(x.is_new) and x.n_tokens <= 600 + max(0, longest[x.conv_id] - 240) + max(0, system - 60)
+        assert x.n_tokens == len(x.formatted.encode())
         turns = sorted(conversations[x.conv_id])
         if turns[0][2] == "system":
             told = re.sub(r"<(\\*)\|", r"<\1\\|", turns[0][3])
             assert x.formatted.startswith(f"<|im_start|>system\n{told}<|im_end|>\n")
 
 
+def test_windows_hold_no_more_tokens_than_the_budget(spark):
+    """Real token counts of scripts that take many tokens a character."""
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(BYTE_BPE_JSON)
+    r = random.Random(53)
+    alphabets = ["漢字仮名交文", "0123456789", "😀🎉🧪👩‍🔬", "{}[]();=+*/_ \n\t", "ångström déjà ", "plain words "]
+    rows = [(c, t, "assistant" if t % 2 else "user", "".join(r.choices(a, k=r.randint(1, 60)))) for c, a in enumerate(alphabets) for t in range(80)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat_format.windows(df, budget=1000, history=100, system=100).collect()
+    assert len(found) > 6 and max(x.n_tokens for x in found) > 500
+    for x in found:
+        assert len(tokenizer.encode(x.formatted, add_special_tokens=False).ids) <= x.n_tokens <= 1000
+
+
 def test_chat_of_nothing_and_small_budget(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.read_back(chat_format.windows(none)).count() == 0
@@ -477,6 +564,32 @@ def test_pipeline_run(spark):
     assert public_tokenizers  # vocabulary files are a parameter, never part of the repository
 
 
+def test_pipeline_of_nothing_at_all(spark, tmp_path):
+    empty_documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = corpus_pipeline.run(spark, str(tmp_path))
+    assert rows.count() == 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(rows.columns)
+
+
+def test_pipeline_with_nulls_and_clashing_columns(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()
+    texts = [x.text for x in docs if x.lang == "en" and len(x.text.split()) > 60][:20]
+    rows = [(x.doc_id, x.text, x.lang, x.source, x.n_chars) for x in docs]
+    rows += [(None, texts[0], "en", None, 1), (None, texts[0], "en", None, 1), (None, "only without an id " + texts[1], None, None, None),
+             (10**6, None, "en", "s", 0), (None, None, None, None, None), rows[0], rows[0]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    clash = ["row", "id", "own", "digest", "keep_id", "kept_id", "lang_pred", "score", "kept", "fail_bits", "piece", "key", "node"]
+    df.select("*", *[F.lit(k).alias(c) for k, c in enumerate(clash)]).write.parquet(str(tmp_path / "documents.parquet"))
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {x.doc_id for x in packed} <= {r[0] for r in rows} and len(packed) > 10
+    stage = dict(corpus_pipeline.STAGES)
+    kept = stage["exact_dedup"](spark, df, str(tmp_path)).collect()
+    by_text = collections.defaultdict(list)
+    for k, t, *_ in rows:
+        by_text[t or ""].append(k)
+    assert sorted((x.text or "", str(x.doc_id)) for x in kept) == sorted(
+        (t, str(max((k for k in ids if k is not None), default=None))) for t, ids in by_text.items())
+
+
 def test_pipeline_of_nothing(spark):
     docs = empty_documents(spark)
     for _, stage in corpus_pipeline.STAGES[:-1]:

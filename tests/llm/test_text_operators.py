@@ -106,19 +106,56 @@ def test_quality_ledger_and_policies(spark):
         if len(t or "") < 2500:
             assert (rows[k].n_words, rows[k].word_chars, rows[k].n_symbols, rows[k].n_dup_lines, rows[k].n_repeat_words) == measured(t or "")
         assert rows[k].kept == (rows[k].fail_bits & quality_rules.mask(quality_rules.POLICIES["web-2"]) == 0)
+        assert rows[k].n_blocks == max(1, rows[k].n_words // 1000) and rows[k].n_dull_blocks <= rows[k].n_blocks
     n = len(texts)
     assert rows[n - 4].fail_bits & bits["repeated_windows"] and rows[n - 3].fail_bits & bits["symbols"]
     assert rows[n - 2].fail_bits & bits["shouting"] and rows[n - 1].fail_bits & bits["duplicate_lines"]
     kept = documents(spark, texts).where(quality_rules.passes(F.col("text"), "web-2"))
     assert {x.doc_id for x in kept.collect()} == {k for k, x in rows.items() if x.kept}
     found = {x.rule: x for x in quality_rules.ablations(ledger, "web-2").collect()}
+    whole = quality_rules.mask(quality_rules.POLICIES["web-2"])
     for name in quality_rules.POLICIES["web-2"]:
         assert found[name].n_failed == sum(bool(x.fail_bits & bits[name]) for x in rows.values())
-        assert found[name].n_only == sum(x.fail_bits == bits[name] for x in rows.values())
-        assert found[name].n_kept_without == sum(x.fail_bits & ~bits[name] == 0 for x in rows.values())
+        assert found[name].n_only == sum(x.fail_bits & whole == bits[name] for x in rows.values())
+        assert found[name].n_kept_without == sum(x.fail_bits & whole & ~bits[name] == 0 for x in rows.values())
     assert quality_rules.measure(empty_documents(spark)).count() == 0
 
 
+def test_dull_texts_of_any_length(spark):
+    r = random.Random(31)
+    few = [f"w{k}" for k in range(60)]
+    dull = [" ".join(r.choices(few, k=n)) for n in (900, 1999, 2000, 5000, 30_000)]
+    fresh = [" ".join(r.choice(few) if r.random() < 0.5 else f"x{r.randrange(10**6)}" for _ in range(n)) for n in (60, 900, 1999, 5000, 30_000)]
+    half = " ".join(dull[3].split()[:2000] + fresh[3].split()[:2500])  # two dull blocks of four
+    ledger = quality_rules.measure(documents(spark, dull + fresh + [half, dull[0][:100]]))
+    bit = {x.name: 1 << x.bit for x in quality_rules.rules()}["dull_blocks"]
+    assert [bool(x.fail_bits & bit) for x in ledger.orderBy("doc_id").collect()] == [True] * 5 + [False] * 7
+    blocks = [(x.n_blocks, x.n_dull_blocks) for x in ledger.orderBy("doc_id").collect()]
+    assert blocks[:5] == [(1, 1), (1, 1), (2, 2), (5, 5), (30, 30)] and blocks[10] == (4, 2)
+
+
+def test_more_languages_than_bits_of_a_word(spark):
+    r = random.Random(37)
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    vocabulary = {f"l{k:03d}": ["".join(r.choices(letters, k=6)) for _ in range(40)] for k in range(70)}
+    rows = [(" ".join(r.choices(words, k=60)), lang) for lang, words in vocabulary.items() for _ in range(3)]
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.slots.shape[0] == 2 and len(model.languages) == 70
+    fp = model.false_positives()
+    held = [(lang, model.predict(" ".join(r.choices(words, k=30)), fp)[0]) for lang, words in vocabulary.items()]
+    assert sum(a == b for a, b in held) >= 69
+
+
+def test_long_text_takes_several_blocks(spark, monkeypatch):
+    rows = [("aber das ist nicht so gut wie es war " * 20, "de"), ("but this is not as good as it was then " * 20, "en")]
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string"))
+    fp = model.false_positives()
+    text = "das war gut und ist es nicht aber so " * 50
+    whole = model.predict(text, fp)
+    monkeypatch.setattr(language_id, "BLOCK", 100)
+    assert model.predict(text, fp) == whole and whole[0] == "de"
+
+
 def test_language_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     lang = {x.doc_id: x.lang for x in spark.read.parquet(f"{sf}/documents.parquet").collect()}
@@ -171,6 +208,21 @@ def test_licences_in_other_dress(spark, dress):
         assert rows[k].text_licence == name and name in rows[k].licences.split(",")
 
 
+def test_licences_of_several_paragraphs_inside_documents(spark):
+    several = [(name, t) for name, t in LICENCE_TEXTS if t.count("\n\n") >= 1 and not t.startswith(("MIT License", "ISC License"))]
+    texts = [f"A title\n\nCopyright 2020 Some One\n\n{t.upper()}\n\n\nimport os\n\ndef main():\n    pass\n" for _, t in several]
+    mit = dict(several)["MIT"].split("\n\n")
+    broken = ["\n\n".join([mit[0], "something else between", *mit[1:]]), "\n\n".join(mit[::-1]), mit[0], "\n\n".join(mit[:-1]), "\n\n".join([mit[0], mit[0], mit[-1]])]
+    twice = "\n\n".join([*mit, "code", *mit, mit[0]])
+    rows = {x.doc_id: x for x in license_scan.scan(documents(spark, [*texts, *broken, twice], extra=True), license_scan.known_licences(spark)).collect()}
+    for k, (name, _) in enumerate(several):
+        assert (rows[k].text_licence, rows[k].licences) == (None, name)
+    assert {name for name, _ in several} >= {"MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause"}
+    n = len(texts)
+    assert [rows[n + k].licences for k in range(len(broken))] == [""] * len(broken)
+    assert (rows[n + len(broken)].text_licence, rows[n + len(broken)].licences) == (None, "MIT")
+
+
 def test_licence_notices_and_edges(spark):
     texts = [*edge_texts(), "some words\nReleased under the MIT Licence\nmore", "not released under the mit license at all", "a\n\nlicensed under the apache license, version 2.0\n"]
     rows = {x.doc_id: x for x in license_scan.scan(documents(spark, texts), license_scan.known_licences(spark)).collect()}
