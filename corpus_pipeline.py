@@ -19,7 +19,7 @@ from payscope.llm.queries import BYTE_BPE_JSON
 from payscope.session import checkpoint_dir
 
 MIN_LANGUAGE_SCORE = 0.2
-POLICY = "web-2"
+POLICY = "web-3"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,14 +34,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, keep the row with the largest doc_id; of equal rows one."""
+    """Of equal texts (null counts as empty), keep the row with the largest doc_id; of equal
+    rows one, and of texts whose ids are all null one.
+
+    Rows join on digest and id: of a text with very many copies only the row that stays has a
+    partner, and the others are spread by their ids."""
     found = exact_dedup.classes(docs)
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     mine = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), digest.alias("own"))
-    # keep_id is the largest id, so >= is equality; the join key stays the digest
-    stays = F.col("keep_id").isNull() | (F.col("id") >= F.col("keep_id"))
-    kept = mine.join(found, (F.col("own") == F.col("digest")) & stays)
-    return kept.dropDuplicates(["own"]).select("row.*")
+    kept = mine.join(found, (F.col("own") == F.col("digest")) & F.col("id").eqNullSafe(F.col("keep_id")))
+    return kept.dropDuplicates(["own", "id"]).select("row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
