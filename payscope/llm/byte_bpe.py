@@ -13,8 +13,9 @@ Each distinct word of the corpus is encoded once:
    * ranks come from a literal: an array of small maps, indexed by the pair's
      hash, so that a lookup reads a few entries;
    * decoding concatenates the binary pieces of the ids, from a literal array.
-4. Buckets send each group its words with their ids and bytes, packed, and groups put
-   their documents together.
+4. Words are found again by their decoded bytes, so one that ids do not give back
+   stops the job.  Buckets send each group its words with their ids, packed, and groups
+   put their documents together.
 
 A word found in every group takes one row a group, in packed form, and is folded once.
 A group's words are bounded by its text, a bucket's by the vocabulary of the corpus
@@ -172,7 +173,7 @@ def unit_of(key: str) -> str:
 def pack(items: list[bytes]) -> bytes:
     """A list of byte strings in one, compressed."""
     lengths = np.fromiter(map(len, items), "<u8", len(items))
-    return zstandard.ZstdCompressor(level=1).compress(np.uint64(len(items)).tobytes() + lengths.tobytes() + b"".join(items))
+    return zstandard.ZstdCompressor(level=3).compress(np.uint64(len(items)).tobytes() + lengths.tobytes() + b"".join(items))
 
 
 def unpack(packed: bytes) -> list[bytes]:
@@ -184,14 +185,14 @@ def unpack(packed: bytes) -> list[bytes]:
 
 class UnitTable(dict):
     """Ids (decimal, joined by blanks) and decoded bytes by unit key, put together
-    from those of words when first asked for."""
+    from those of words when first asked for.  ``ids`` are by decoded word."""
 
-    def __init__(self, pattern: str, words: dict[str, tuple[str, bytes]]) -> None:
-        self.words, self.find = words, regex.compile(pattern).findall
+    def __init__(self, pattern: str, ids: dict[str, str]) -> None:
+        self.ids, self.find = ids, regex.compile(pattern).findall
 
     def __missing__(self, key: str) -> tuple[str, bytes]:
-        of = [self.words[w] for w in self.find(unit_of(key))]
-        found = self[key] = " ".join([x for x, _ in of]), b"".join([x for _, x in of])
+        words = self.find(unit_of(key))
+        found = self[key] = " ".join([self.ids[w] for w in words]), "".join(words).encode()
         return found
 
 
@@ -258,26 +259,24 @@ def encode(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_id", text:
 
     folded = used.groupBy("bucket").applyInArrow(distinct, "bucket long, word string").withColumn("n", word_ids(F.col("word"), v))
     pieces = F.array_join(F.transform("n", lambda i: F.get(v.pieces, i)), "")
-    folded = folded.select("bucket", "word", F.array_join("n", " ").alias("ids"), F.unhex(pieces).alias("decoded"))
+    folded = folded.select("bucket", F.unhex(pieces).alias("decoded"), F.array_join("n", " ").alias("ids"))
 
     def attached(wanted: pa.Table, known: pa.Table) -> pa.Table:
-        of = dict(zip(known.column("word").cast(pa.binary()).to_pylist(), zip(
-            known.column("ids").cast(pa.binary()).to_pylist(), known.column("decoded").to_pylist(), strict=True), strict=True))
+        ids = dict(zip(known.column("decoded").to_pylist(), known.column("ids").cast(pa.binary()).to_pylist(), strict=True))
         out = []
         for blob in wanted.column("words"):
             words = unpack(blob.as_py())
-            out.append(pack([*words, *[of[w][0] for w in words], *[of[w][1] for w in words]]))
+            out.append(pack([*words, *map(ids.__getitem__, words)]))
         return pa.table({"part": wanted.column("part"), "words": pa.array(out, pa.binary())})
 
     known = used.groupBy("bucket").cogroup(folded.groupBy("bucket")).applyInArrow(attached, "part long, words binary")
 
     def put_together(group: pa.Table, known: pa.Table) -> pa.Table:
-        words: dict[str, tuple[str, bytes]] = {}
+        of_word: dict[str, str] = {}
         for blob in known.column("words"):
-            items = unpack(blob.as_py())
-            n = len(items) // 3
-            words.update(zip((w.decode() for w in items[:n]), zip((x.decode() for x in items[n:2 * n]), items[2 * n:], strict=True), strict=True))
-        units = UnitTable(pattern, words)
+            items = [x.decode() for x in unpack(blob.as_py())]
+            of_word.update(zip(items[:len(items) // 2], items[len(items) // 2:], strict=True))
+        units = UnitTable(pattern, of_word)
         out = []
         for row in range(len(group)):
             ids, decoded = [], []
