@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from payscope.columns import (COMBINED_TEXT, EXTRACTED_SKILLS, POSTING_DATE, PRIMARY_CATEGORY,
                               QUAL_MEDIAN, QUALIFICATION, RANGE_MID, SALARY_FLAG, SALARY_FROM_NUM,
                               SALARY_MID, SALARY_TO_NUM, SKILLS_LIST)
+from payscope.columns import RAW
 from payscope.columns import SNAKE as S
 from payscope.operators import anova as A
 from payscope.operators import clean as C
@@ -33,6 +34,8 @@ from payscope.operators import skills as SK
 from payscope.plans import jobs
 from payscope.sources.adapters import TIEBREAK, postings_from_documents, postings_from_tpch
 from payscope.session import checkpoint_dir
+from payscope.sources.csv import read_postings_csv
+from payscope.sources.sink import write_kpi_csv
 from payscope.sources.taxonomy import TAXONOMY, TECH_SKILLS, read_taxonomy_json, vocabulary, write_taxonomy_json
 
 # ---------------------------------------------------------------------------
@@ -105,6 +108,29 @@ def _joined(c, name: str):
     return F.array_join(c, "|").alias(name)
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+# ------------------------------------------------------------------ source and sink
+@query("S1")
+def s1(spark, d):
+    """The postings as a CSV of the original header, read by name; an empty field is null."""
+    path = _folder(spark, "postings-csv")
+    columns = list(zip(S.names(), RAW.names(), strict=True))
+    (raw(spark, d).select(*[F.col(a).cast("string").alias(b) for a, b in reversed(columns)])
+     .write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
+    return read_postings_csv(spark, path).select(*[F.col(b).alias(a) for a, b in columns])
+
+
+@query("S3")
+def s3(spark, d):
+    """A KPI as the job writes it, read back from its file."""
+    kpi = K.salary_distribution_exact(m1(spark, d, category_rule="clean"), PRIMARY_CATEGORY)
+    path = write_kpi_csv(kpi, "Skill_Salary_Distribution", _folder(spark, "kpi"), order_by=[F.col(PRIMARY_CATEGORY)])
+    return spark.read.schema(kpi.schema).options(header=True, escape='"').csv(path)
+
+
 # ------------------------------------------------------------------ profiling
 @query("P1")
 def p1(spark, d):
@@ -290,7 +316,7 @@ def t5(spark, d):
 
 @query("T5_table")
 def t5_table(spark, d):
-    path = write_taxonomy_json(spark, f"{checkpoint_dir(spark).rstrip('/')}/taxonomy-{uuid.uuid4().hex}")
+    path = write_taxonomy_json(spark, _folder(spark, "taxonomy"))
     known = vocabulary(read_taxonomy_json(spark, path))
     df = SK.vocabulary_presence(with_text(spark, d), S.job_id, COMBINED_TEXT, known)
     return df.select(S.job_id, _joined(F.col("labels"), "labels"))

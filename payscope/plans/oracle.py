@@ -253,6 +253,9 @@ SQL["P3"] = w(POSTINGS, """c AS (SELECT salary_frequency, count(*) AS "count" FR
 
 SQL["P4"] = w(POSTINGS) + "SELECT DISTINCT salary_frequency FROM postings"
 
+SQL["S1"] = w(POSTINGS) + """SELECT CAST(job_id AS VARCHAR) AS job_id, agency, business_title, number_of_positions, job_category,
+  salary_range_from, salary_range_to, salary_frequency, minimum_qual_requirements, job_description,
+  nullif(preferred_skills, '') AS preferred_skills, posting_date, posting_updated, process_date FROM postings"""
 SQL["C1"] = w(POSTINGS, DEDUP) + "SELECT * FROM dedup"
 SQL["C2"] = w(POSTINGS, DEDUP) + f"""SELECT job_id, salary_range_from, salary_range_to,
   {num('salary_range_from')} AS Salary_From_Value, {num('salary_range_to')} AS Salary_To_Value,
@@ -478,3 +481,4 @@ SQL["M3_skills"] = SQL["K10"]
 SQL["M3_distribution"] = SQL["K1"]
 SQL["M3_degrees"] = SQL["K4"]
 SQL["M3_agencies"] = SQL["K7"]
+SQL["S3"] = SQL["K2"]
