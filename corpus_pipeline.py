@@ -4,6 +4,13 @@ Each stage takes what its predecessor kept and returns the columns of
 documents (the last one: packed pieces).  ``run`` stores every stage's result
 in the shared checkpoint folder and reads it again, so a lost executor repeats
 part of one stage.
+
+Defined results: an empty table gives no rows.  A null or empty text has no language and
+goes in the first stage; in a stage on its own it has no words, is equal to other
+empty texts, and packs as one empty document.  Where one of a group stays, it
+is one with an id if there is any.
+Where nothing is labelled with a language, none can be recognised, and no document
+stays.  Further columns are kept up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,13 +30,13 @@ POLICY = "web-3"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of no recognised language."""
+    """Drop documents of no recognised language (null texts are of none)."""
     found = language_id.predictor(language_id.train_on_documents(docs))(F.col("text"))
     return docs.where((found["lang_pred"] != language_id.UNKNOWN) & (found["score"] >= MIN_LANGUAGE_SCORE))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that fail a rule of the policy."""
+    """Drop documents that fail a rule of the policy (null texts have too few words)."""
     return docs.where(quality_rules.passes(F.col("text"), POLICY))
 
 
@@ -47,7 +54,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates, keep the document with the smallest doc_id."""
+    """Of near duplicates, keep the document with the smallest doc_id.  Rows are told apart by
+    doc_id: if some class has no id at all, every row without an id stays."""
     kept = near_dedup.classes(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
