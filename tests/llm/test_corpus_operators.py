@@ -204,8 +204,8 @@ def test_candidate_recall_by_similarity():
     """Pairs at 0.8 and more share a band and pass signature and bins."""
     r = random.Random(43)
     found, total = collections.Counter(), collections.Counter()
-    for n in (40, 120, 300):
-        for _ in range(60):
+    for n in (40, 120, 240):
+        for _ in range(25):
             words = [f"w{r.randrange(3000)}" for _ in range(n)]
             if r.random() < 0.3:  # a recurring line
                 line = [f"line{k}" for k in range(12)]
@@ -224,7 +224,7 @@ def test_candidate_recall_by_similarity():
             bins = equal / used >= 0.8 - near_dedup.BIN_DEVIATIONS * (0.16 / used) ** 0.5
             total[n] += 1
             found[n] += band and same and bins
-    assert sum(total.values()) > 80
+    assert sum(total.values()) > 35
     assert sum(found.values()) >= 0.98 * sum(total.values()), (found, total)
 
 
