@@ -30,10 +30,10 @@ No bucket is expanded into all pairs of a group:
    whose distances to the leader differ by more than 0.2 cannot be linked
    (triangle inequality), nor can one of too different lengths; those are
    skipped, and so are pairs whose 256 one-byte bin minima (one permutation
-   hashing) agree 4.5 standard deviations less than at similarity 0.8, which a
-   pair that is alike does with a chance of about 3 in a million.  A pair
-   is looked at in one of its buckets only.  All others are aligned, however many
-   they are.
+   hashing) agree three standard deviations less than at similarity 0.8, which a
+   pair at 0.8 does with a chance of about 1 in 1,000: of pairs that meet in this step
+   alone, so many are missed.  A pair is looked at in one of its buckets only.  All
+   others are aligned, however many they are.
 
 Results: one row per document: class_id is the smallest doc_id of its class,
 class_size its number of documents, kept whether it stays (one per class).
@@ -69,7 +69,7 @@ SKETCHES = 48
 # which sketches make each band; each sketch serves two
 BANDS = [(b, 16 + b, 32 + b) for b in range(16)] + [(b, 16 + (b + 5) % 16, 32 + (b + 11) % 16) for b in range(16)]
 AGREEING = 18
-BIN_DEVIATIONS = 4.5
+BIN_DEVIATIONS = 3
 BLOCK = 16384
 MATCHES = 1 << 20  # matches of an alignment held at a time
 MATCH_COST, ROW_COST = 1000, 5000  # of a match, and of a row of bits besides its length
