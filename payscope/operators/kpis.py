@@ -205,27 +205,37 @@ def _mentions_with_markers(df: DataFrame, skills: str, job_id: str, salary: str)
     return rows.where(F.col(SKILL).isNull() | (F.length(F.col(SKILL)) > 0))
 
 
-def _per_skill(per_job: DataFrame) -> tuple[DataFrame, Column]:
-    """(skill, job) -> skill: mention count, mean pay, distinct postings; and the mean
-    pay of all postings.
+def _per_skill(per_job: DataFrame) -> DataFrame:
+    """(skill, job) -> skill: mention count, mean pay, distinct postings.
 
     Two aggregation levels instead of a ``count(DISTINCT id)`` next to
     plain aggregates, which Spark would plan with an Expand that doubles
     every mention row before the shuffle.  The first level is combined
     map-side and spread by posting, so a hot skill is split over many tasks.
-
-    The null skill (the markers) carries the mean of all postings.  A scalar
-    subquery over the same rows hands it on, so the skills, of which there may be
-    any number, are not gathered: the subquery reads all columns and the rows are
-    told apart by ``_skills``, not by a filter on the skill, so both plans
-    are alike up to the last shuffle, which Spark then runs once.
+    The null skill (the markers) holds the figures of all postings.
     """
-    st = per_job.groupBy(SKILL).agg(
+    return per_job.groupBy(SKILL).agg(
         F.sum("_n").alias("job_count"),
         (reproducible_sum(F.col("_s")) / F.sum("_n")).alias("_mean"),
-        F.count(F.lit(1)).alias("unique_jobs"), F.count(SKILL).alias("_skills"))
-    marker = F.max(F.when(F.col("_skills") == 0, F.struct("_mean", "job_count", "unique_jobs")))
-    return st.where(F.col("_skills") > 0), st.agg(marker["_mean"].alias("_global")).scalar()
+        F.count(F.lit(1)).alias("unique_jobs"))
+
+
+def _best_paid(per_skill: DataFrame, min_jobs: int, top: int) -> DataFrame:
+    """The ``top`` skills by ``avg_salary``, each with the mean pay of all postings
+    (``_global``), which the null skill carries.
+
+    The null skill is put first and kept beside the best ones, each task handing on
+    no more than that many rows; only those meet in one row, which gives them the
+    mean.  A subquery for it would be planned apart from the skills, with other
+    columns and joins, and then runs the scan, the joins, the dedup and the text
+    a second time.
+    """
+    marker = F.col(SKILL).isNull()
+    first = (per_skill.where(marker | (F.col("job_count") >= min_jobs))
+             .orderBy(marker.desc(), F.col("avg_salary").desc(), F.col(SKILL).asc()).limit(top + 1))
+    row = first.agg(F.collect_list(F.when(~marker, F.struct(*per_skill.columns))).alias("_skills"),
+                    F.max(F.when(marker, F.col("_mean"))).alias("_global"))
+    return row.select("_global", F.inline("_skills"))
 
 
 def highest_paid_skills(df: DataFrame, text_col: str, job_id: str, salary: str = SALARY_MID,
@@ -249,12 +259,9 @@ def highest_paid_mentions(df: DataFrame, mentions: str, job_id: str, salary: str
     """K10 on a table that already has the array of ``mentions``."""
     rows = _mentions_with_markers(df, mentions, job_id, salary)
     per_job = rows.groupBy(SKILL, job_id).agg(F.count(salary).alias("_n"), reproducible_sum(F.col(salary)).alias("_s"))
-    st, mean = _per_skill(per_job)
-    st = st.withColumn("_global", mean)
+    st = _best_paid(_per_skill(per_job).withColumn("avg_salary", F.col("_mean")), min_jobs, top)
     premium = F.col("avg_salary") - F.col("_global")
-    return (st.where(F.col("job_count") >= min_jobs)
-              .withColumnRenamed("_mean", "avg_salary")
-              .select(SKILL, "job_count", "avg_salary", "unique_jobs",
+    return (st.select(SKILL, "job_count", "avg_salary", "unique_jobs",
                       premium.alias("salary_premium"),
                       F.round(premium / F.col("_global") * 100, 1).alias("premium_pct"))
               .orderBy(F.col("avg_salary").desc(), F.col(SKILL).asc())
@@ -268,26 +275,20 @@ def highest_paid_skills_generalized(df: DataFrame, text_col: str, qual_col: str,
     distinct postings, all rounded half-even; premium taken from the rounded
     mean against the mean pay of all postings.
 
-    One aggregation at (skill, posting, pay) feeds both the per-skill
-    figures and the median pairs.  The mentions are dealt by (skill, posting)
-    before it: both branches start from that one shuffle, so the taxonomy scan of
-    the text runs once, however the input is partitioned, and a hot skill is spread
-    by posting.
+    The mentions are dealt by (skill, posting) and aggregated twice from there, by
+    posting for the per-skill figures and by pay for the medians: both branches start
+    from that one shuffle, so the taxonomy scan of the text runs once, however the
+    input is partitioned, and a hot skill is spread by posting.
     """
     sk = generalized_skills(df, text_col, qual_col, taxonomy, cap, SKILLS_LIST)
     rows = _mentions_with_markers(sk, SKILLS_LIST, job_id, salary).repartition(SKILL, job_id)
-    lvl0 = rows.groupBy(SKILL, job_id, salary).agg(F.count(F.lit(1)).alias("_c"))
-    per_job = lvl0.groupBy(SKILL, job_id).agg(
-        F.sum("_c").alias("_n"), reproducible_sum(F.col(salary) * F.col("_c")).alias("_s"))
+    per_job = rows.groupBy(SKILL, job_id).agg(F.count(salary).alias("_n"), reproducible_sum(F.col(salary)).alias("_s"))
     # the marker rows cover no rank; the null-safe join infers no filter on the
-    # skill, which would make the two branches over lvl0 different plans
-    weight = F.when(F.col(SKILL).isNull(), F.lit(0)).otherwise(F.col("_c")).cast("long")
-    pairs = lvl0.groupBy(SKILL, salary).agg(F.sum(weight).alias("_c"))
+    # skill, which would make the two branches over the mentions different plans
+    weight = F.when(F.col(SKILL).isNull(), F.lit(0)).otherwise(F.lit(1)).cast("long")
+    pairs = rows.groupBy(SKILL, salary).agg(F.sum(weight).alias("_c"))
     med = median_from_pairs(pairs, [SKILL], salary, "_c", "median_salary").withColumnRenamed(SKILL, "_mk")
-    per_skill, mean = _per_skill(per_job)
-    st = (per_skill.withColumn("_global", mean)
-          .where(F.col("job_count") >= min_jobs)
-          .withColumn("avg_salary", F.bround("_mean", 0))
+    st = (_best_paid(_per_skill(per_job).withColumn("avg_salary", F.bround("_mean", 0)), min_jobs, top)
           .join(med, F.col(SKILL).eqNullSafe(F.col("_mk")), "left")
           .withColumn("median_salary", F.bround("median_salary", 0)))
     premium = F.col("avg_salary") - F.col("_global")

@@ -114,23 +114,28 @@ def keyword_presence(text: Column, entries: Sequence[tuple[str, str]]) -> Column
     """Array of labels whose keyword occurs at least once as a word.
 
     Keywords of word characters alone are looked up among the text's words,
-    found in one pass (whole words cannot hide each other).  Each other
-    keyword (phrases, ``c++``) is tested on its own, a cheap substring test
-    guarding the regex, so overlapping keywords are all found.
+    found in one pass (whole words cannot hide each other); the work follows the
+    words found, not the vocabulary.  Each other keyword (phrases, ``c++``) is
+    tested on its own, a cheap substring test guarding the regex, so overlapping
+    keywords are all found.  Labels come in the order of ``entries``.
     """
     if not entries:
         return _empty()
-    single = sorted({kw for _, kw in entries if re.fullmatch(r"\w+", kw)})
+    places: dict[str, list[int]] = {}
+    for i, (_, kw) in enumerate(entries):
+        places.setdefault(kw, []).append(i)
+    single = sorted(kw for kw in places if re.fullmatch(r"\w+", kw))
+    no_places = F.array().cast("array<int>")
+    place_of = F.create_map(*[x for kw in single for x in (F.lit(kw), F.array(*map(F.lit, places[kw])))])
+    names = F.array(*[F.lit(label) for label, _ in entries])
 
     def labels(text: Column) -> Column:
-        words = F.array_intersect(F.regexp_extract_all(text, F.lit(f"{WORD}+"), F.lit(0)), F.array(*[F.lit(k) for k in single]).cast("array<string>"))
-
-        def found(words: Column) -> Column:
-            return F.array_compact(F.array(*[
-                F.when(F.array_contains(words, kw) if kw in single else text.contains(kw) & text.rlike(bounded(kw)), F.lit(label))
-                for label, kw in entries]))
-
-        return _let(words, found)
+        hits = [F.array_compact(F.array(*[F.when(text.contains(kw) & text.rlike(bounded(kw)), F.lit(i))
+                                          for kw, at in places.items() if kw not in single for i in at], F.lit(None).cast("int")))]
+        if single:
+            words = F.array_intersect(F.regexp_extract_all(text, F.lit(f"{WORD}+"), F.lit(0)), F.array(*[F.lit(k) for k in single]))
+            hits.append(F.flatten(F.transform(words, lambda w: F.coalesce(F.element_at(place_of, w), no_places))))
+        return F.transform(F.sort_array(F.concat(*hits)), lambda i: F.get(names, i))
 
     return F.when(text.isNotNull(), _let(text, labels))
 
@@ -146,26 +151,36 @@ _ATOM = rf"{WORD}+|[^{WORD[1:]}"
 
 def phrase_candidates(text: Column, longest: int) -> Column:
     """Distinct runs of 1 to ``longest`` atoms of a text that are whole words or
-    phrases: neither end is a blank, and none touches a word character from outside."""
-    def word(x: Column) -> Column:
-        return x.rlike(f"^{WORD}")
+    phrases: neither end is a blank, and none touches a word character from outside.
 
-    def blank(x: Column) -> Column:
-        return _strip(x) == ""
+    Every atom is looked at once; the runs are then chosen by numbers alone."""
+    def kind(x: Column) -> Column:
+        """2 for a word, 0 for a blank, 1 for any other character."""
+        return F.when(x.rlike(f"^{WORD}"), 2).when(F.lit(WHITESPACE).contains(x), 0).otherwise(1)
 
-    def runs(atoms: Column) -> Column:
-        size = F.size(atoms)
+    def mark(kinds: Column) -> Callable[[Column, Column], Column]:
+        """1 if a run may begin at an atom, 2 if it may end there, 3 for both: a word
+        always, another character beside no word."""
+        def free(i: Column) -> Column:
+            return F.coalesce(F.get(kinds, i), F.lit(0)) != 2
+
+        return lambda k, i: (F.when(k == 2, 3).when(k == 0, 0)
+                             .otherwise(F.when(free(i - 1), 1).otherwise(0) + F.when(free(i + 1), 2).otherwise(0)))
+
+    def of_marks(atoms: Column, marks: Column) -> Column:
+        places = F.when(F.size(atoms) > 0, F.sequence(F.lit(0), F.size(atoms) - 1)).otherwise(F.array().cast("array<int>"))
 
-        def run(n: int) -> Column:
-            first, last = lambda i: F.get(atoms, i), lambda i: F.get(atoms, i + (n - 1))
-            whole = lambda i: (
-                ~blank(first(i)) & ~blank(last(i))
-                & (word(first(i)) | ~F.coalesce(word(F.get(atoms, i - 1)), F.lit(False)))
-                & (word(last(i)) | ~F.coalesce(word(F.get(atoms, i + n)), F.lit(False))))
-            starts = F.when(size >= n, F.sequence(F.lit(0), size - n)).otherwise(F.array().cast("array<int>"))
-            return F.transform(F.filter(starts, whole), lambda i: F.array_join(F.slice(atoms, i + 1, n), ""))
+        def of_starts(starts: Column) -> Column:
+            def run(n: int) -> Column:
+                whole = F.filter(starts, lambda i: F.get(marks, i + (n - 1)) >= 2)
+                return F.transform(whole, lambda i: F.get(atoms, i) if n == 1 else F.array_join(F.slice(atoms, i + 1, n), ""))
 
-        return F.array_distinct(F.flatten(F.array(*[run(n) for n in range(1, longest + 1)])))
+            return F.array_distinct(F.concat(*[run(n) for n in range(1, longest + 1)]))
+
+        return _let(F.filter(places, lambda i: F.get(marks, i).isin(1, 3)), of_starts)
+
+    def runs(atoms: Column) -> Column:
+        return _let(F.transform(atoms, kind), lambda kinds: _let(F.transform(kinds, mark(kinds)), lambda marks: of_marks(atoms, marks)))
 
     return _let(F.regexp_extract_all(text, F.lit(f"({_ATOM})"), F.lit(1)), runs)
 
@@ -181,7 +196,8 @@ def vocabulary_presence(df: DataFrame, key: str, text_col: str, vocabulary: Data
     text has no label, a null or blank keyword is never found; rows of one key
     share their labels, each once.
     """
-    known = vocabulary.select(F.col("keyword").alias("_keyword"), F.col("label").alias("_label")).where(_strip(F.col("keyword")) != "")
+    # a blank keyword becomes null; a filter on it would be inferred for every phrase too
+    known = vocabulary.select(F.when(_strip(F.col("keyword")) != "", F.col("keyword")).alias("_keyword"), F.col("label").alias("_label"))
     atoms = F.size(F.regexp_extract_all(F.col("_keyword"), F.lit(f"({_ATOM})"), F.lit(1)))
     longest = known.agg(F.max(atoms)).first()[0] or 1
     phrases = df.select(key, F.explode(phrase_candidates(F.col(text_col), longest)).alias("_phrase"))
@@ -191,7 +207,10 @@ def vocabulary_presence(df: DataFrame, key: str, text_col: str, vocabulary: Data
 
 def contextual_skills(qual_text: Column) -> Column:
     """Two labels from the first matching rule on the qualification text."""
-    t = F.lower(F.coalesce(qual_text, F.lit("")))
+    return _let(F.lower(F.coalesce(qual_text, F.lit(""))), _context_labels)
+
+
+def _context_labels(t: Column) -> Column:
     expr = None
     for needles, labels in CONTEXT_RULES:
         cond = None
@@ -206,7 +225,7 @@ def trim_labels(labels: Column, cap: int | None = None) -> Column:
     """Drop the text before the first ``_``, distinct, sorted; with ``cap``
     only the first so many (labels late in the alphabet are then lost)."""
     cut = F.transform(labels, lambda x: F.substring(x, F.instr(x, "_") + 1, 1 << 30))
-    return _capped(F.array_sort(F.array_distinct(cut)), cap)
+    return _capped(F.sort_array(F.array_distinct(cut)), cap)
 
 
 def _capped(items: Column, cap: int | None) -> Column:

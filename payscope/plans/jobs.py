@@ -7,7 +7,7 @@ bands.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +23,19 @@ from payscope.sources.sink import write_kpi_csv
 
 
 def clean(df: DataFrame, cols: PostingColumns = RAW, tiebreak: Sequence[str] = (),
-          category_rule: str = "first", keep_bounds: bool = False) -> DataFrame:
+          category_rule: str = "first", keep_bounds: bool = False, date: str | None = None,
+          write_out: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """M1: dedup -> salary midpoint -> posting date -> yearly pay -> primary category.
 
     ``category_rule='first'`` is the untrimmed head (C8); ``'clean'`` the
     trimmed, capitalised variant with 'Unknown' for null (C9).
+
+    ``df`` may hold rows whose texts are not written yet: the key, a ``date`` column,
+    the tie-breaks and what ``write_out`` makes the columns of ``cols`` from, row by
+    row.  It is then applied to the kept rows only, and the dedup moves narrow rows.
     """
-    df = C.dedup_keep_latest(df, cols.job_id, cols.posting_date, tiebreak)
+    df = C.dedup_keep_latest(df, cols.job_id, date or cols.posting_date, tiebreak)
+    df = write_out(df) if write_out else df
     df = C.salary_to_numeric(df, cols.salary_from, cols.salary_to, keep_bounds=keep_bounds)
     df = C.posting_date_to_date(df, cols.posting_date)
     df = C.normalize_to_annual(df, cols.salary_frequency)

@@ -11,8 +11,8 @@ broadcast explicitly.  ``part``, ``supplier`` and ``orders`` grow with the
 scale factor, so no hint is given: the planner broadcasts them only while
 their estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and
 falls back to sort-merge joins beyond it.  ``orders`` is joined last on the
-order key, which is also the posting key, so the dedup window that follows
-can reuse that hash partitioning instead of shuffling again; plans that do
+order key, which is also the posting key, so after the dedup window it
+reuses that hash partitioning instead of shuffling the rows again; plans that do
 not read the order date do not join it at all.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.columns import COMBINED_TEXT, SALARY_MID, SNAKE
-from payscope.functions.dates import ISO_FORMAT
+from payscope.functions.dates import ISO_FORMAT, parse_timestamp
 
 # Fixed values of adapter A (see FIXTURES.md section 5); each list is indexed
 # by a key of the row modulo its length.
@@ -67,6 +67,7 @@ PLAIN_FROM_QUANTITY = 20  # salary bounds without the currency sign from here on
 # Columns that break ties between lines of one order (the key/line pair is
 # not unique in the generated tables).
 TIEBREAK = ("line_number", "part_key", "supp_key", SNAKE.salary_to, SNAKE.salary_frequency)
+POSTED = "posted"  # the posting date of a line, by which the latest is kept
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,58 +96,89 @@ def _money_text(x: Column) -> Column:
     return F.concat(sign, x.cast("decimal(12,2)").cast("string"))
 
 
-def postings_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw postings (snake_case names, all text like the CSV) from lineitem."""
+def lines_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``postings_from_tpch`` before its texts are written: posting key,
+    posting day (``POSTED``), tie-breaks, and the columns that the texts come from.
+
+    A text follows from its row alone, so a dedup sorts and shuffles these narrow
+    rows and ``postings_from_lines`` writes the texts of the rows that it kept.
+    """
     li = fact_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_shipdate"])
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    # nation last: a join's size is not known when it is planned, and supplier joined
+    # with nation first would never count as small
+    j = (li.join(part, li.l_partkey == part.p_partkey)
+           .join(supp, li.l_suppkey == supp.s_suppkey)
+           .join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey))
+
+    freq = F.coalesce(
+        F.when(F.col("l_quantity") == WEEKLY_QUANTITY, F.lit("Weekly")),
+        *[F.when(F.col("l_returnflag") == k, F.lit(v)) for k, v in FREQUENCY_BY_FLAG.items()],
+        F.lit("Hourly"))
+    # the day that the posting date's text reads as; a year that ISO_FORMAT does not
+    # read back as written goes through the text
+    day = (F.when(F.year("l_shipdate").between(1, 9999), F.to_date("l_shipdate").cast("timestamp_ntz"))
+           .otherwise(parse_timestamp(_day_text())))
+    return j.select(
+        F.col("l_orderkey").alias(SNAKE.job_id),
+        day.alias(POSTED),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_partkey").alias("part_key"),
+        F.col("l_suppkey").alias("supp_key"),
+        _money_text(F.col("l_extendedprice") + F.lit(100) * F.col("l_quantity")).alias(SNAKE.salary_to),
+        freq.alias(SNAKE.salary_frequency),
+        "l_quantity", "l_extendedprice", "l_shipdate", "n_name", "p_name", "p_brand", "p_type", "p_size")
+
+
+def _day_text() -> Column:
+    return F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T00:00:00.000"))
+
+
+def postings_from_lines(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw postings (snake_case names, all text like the CSV) from the lines."""
     # One date per order key.  Declaring the key unique this way lets the
     # optimizer drop the left join altogether in plans that never read the
     # order date (most KPIs), so ``orders`` is not even scanned for them.
     orders = (fact_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
               .groupBy("o_orderkey").agg(F.max("o_orderdate").alias("o_orderdate")))
+    j = lines.join(orders, lines[SNAKE.job_id] == orders.o_orderkey, "left")
 
-    supp_nation = supp.join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey)
-    j = (li.join(part, li.l_partkey == part.p_partkey)
-           .join(supp_nation, li.l_suppkey == supp_nation.s_suppkey)
-           .join(orders, li.l_orderkey == orders.o_orderkey, "left"))
-
-    pk = F.col("p_partkey")
+    pk = F.col("part_key")
     sep = _pick(CATEGORY_SEPARATORS, pk)
     category = F.when(pk % 17 == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.col("p_type"), sep, F.col("p_brand")))
     preferred = F.replace(_pick(PREFERRED_TEXTS, pk), F.lit("{name}"), F.col("p_name"))
-    freq = F.coalesce(
-        F.when(F.col("l_quantity") == WEEKLY_QUANTITY, F.lit("Weekly")),
-        *[F.when(F.col("l_returnflag") == k, F.lit(v)) for k, v in FREQUENCY_BY_FLAG.items()],
-        F.lit("Hourly"))
     order_ts = F.date_format("o_orderdate", ISO_FORMAT)
 
     return j.select(
-        F.col("l_orderkey").alias(SNAKE.job_id),
+        SNAKE.job_id,
         F.col("n_name").alias(SNAKE.agency),
         F.col("p_name").alias(SNAKE.business_title),
-        F.col("l_linenumber").cast("string").alias(SNAKE.positions),
+        F.col("line_number").cast("string").alias(SNAKE.positions),
         category.alias(SNAKE.job_category),
         F.when(F.col("l_quantity") == NA_QUANTITY, F.lit("N/A"))
          .otherwise(_money_text(F.col("l_extendedprice"))).alias(SNAKE.salary_from),
-        _money_text(F.col("l_extendedprice") + F.lit(100) * F.col("l_quantity")).alias(SNAKE.salary_to),
-        freq.alias(SNAKE.salary_frequency),
+        SNAKE.salary_to,
+        SNAKE.salary_frequency,
         _pick(QUAL_TEXTS, F.col("p_size")).alias(SNAKE.min_qual),
         F.concat(F.col("p_type"), F.lit(" "), F.col("p_brand"), _pick(DESCRIPTION_TEXTS, pk)).alias(SNAKE.job_description),
         preferred.alias(SNAKE.preferred_skills),
-        F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T00:00:00.000")).alias(SNAKE.posting_date),
+        _day_text().alias(SNAKE.posting_date),
         order_ts.alias(SNAKE.posting_updated),
         order_ts.alias(SNAKE.process_date),
-        F.col("l_linenumber").alias("line_number"),
-        F.col("l_partkey").alias("part_key"),
-        F.col("l_suppkey").alias("supp_key"),
+        "line_number", "part_key", "supp_key",
     )
 
 
+def postings_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw postings (snake_case names, all text like the CSV) from lineitem."""
+    return postings_from_lines(lines_from_tpch(spark, sf_dir), spark, sf_dir)
+
+
 def postings_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as postings: long free text, source as agency, size as pay.
 
