@@ -122,7 +122,7 @@ def s1(spark, d):
     path = _folder(spark, "postings-csv")
     columns = list(zip(S.names(), RAW.names(), strict=True))
     (raw(spark, d).select(*[F.col(a).cast("string").alias(b) for a, b in reversed(columns)])
-     .write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
+     .write.options(header=True, escape='"', compression="gzip", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
     return read_postings_csv(spark, path).select(*[F.col(b).alias(a) for a, b in columns])
 
 
@@ -542,9 +542,14 @@ def q_m2(spark, d):
     return m2(spark, d)
 
 
+# what M2 and the KPI table read of a cleaned posting
+_KPI_INPUT = [S.job_id, S.agency, POSTING_DATE, SALARY_MID, PRIMARY_CATEGORY, S.preferred_skills, S.job_description, S.min_qual]
+
+
 def _m3(name: str, digits: dict[str, int]) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        base = jobs.kpi_base(m2(spark, d), S)
+        cleaned = C.project(m1(spark, d), _KPI_INPUT)
+        base = jobs.kpi_base(jobs.enrich(cleaned, S, checkpoint_input=True), S)
         return _round(jobs.kpi_tables(base, S)[name][0], digits)
     return run
 
