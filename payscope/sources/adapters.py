@@ -19,6 +19,7 @@ not read the order date do not join it at all.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,18 +104,43 @@ def lines_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     A text follows from its row alone, so a dedup sorts and shuffles these narrow
     rows and ``postings_from_lines`` writes the texts of the rows that it kept.
     """
-    li = fact_table(spark, sf_dir, "lineitem", [
+    # nation last: a join's size is not known when it is planned, and supplier joined
+    # with nation first would never count as small
+    j = _with_supplier(_with_part(_lineitem(spark, sf_dir), spark, sf_dir), spark, sf_dir)
+    return _with_nation(j, spark, sf_dir).select(*_line_columns())
+
+
+def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fact_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_shipdate"])
+
+
+def _with_part(j: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    return j.join(part, j.l_partkey == part.p_partkey).drop("p_partkey")
+
+
+def _with_supplier(j: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return j.join(supp, j.l_suppkey == supp.s_suppkey).drop("s_suppkey")
+
+
+def _with_nation(j: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation last: a join's size is not known when it is planned, and supplier joined
-    # with nation first would never count as small
-    j = (li.join(part, li.l_partkey == part.p_partkey)
-           .join(supp, li.l_suppkey == supp.s_suppkey)
-           .join(F.broadcast(nation), supp.s_nationkey == nation.n_nationkey))
+    return j.join(F.broadcast(nation), j.s_nationkey == nation.n_nationkey).drop("s_nationkey", "n_nationkey")
 
+
+def _with_order_date(j: DataFrame, key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One date per order key.  Declaring the key unique this way lets the
+    # optimizer drop the left join altogether in plans that never read the
+    # order date (most KPIs), so ``orders`` is not even scanned for them.
+    orders = (fact_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+              .groupBy("o_orderkey").agg(F.max("o_orderdate").alias("o_orderdate")))
+    return j.join(orders, j[key] == orders.o_orderkey, "left").drop("o_orderkey")
+
+
+def _line_columns() -> list[Column | str]:
     freq = F.coalesce(
         F.when(F.col("l_quantity") == WEEKLY_QUANTITY, F.lit("Weekly")),
         *[F.when(F.col("l_returnflag") == k, F.lit(v)) for k, v in FREQUENCY_BY_FLAG.items()],
@@ -123,7 +149,7 @@ def lines_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     # read back as written goes through the text
     day = (F.when(F.year("l_shipdate").between(1, 9999), F.to_date("l_shipdate").cast("timestamp_ntz"))
            .otherwise(parse_timestamp(_day_text())))
-    return j.select(
+    return [
         F.col("l_orderkey").alias(SNAKE.job_id),
         day.alias(POSTED),
         F.col("l_linenumber").alias("line_number"),
@@ -131,7 +157,7 @@ def lines_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("supp_key"),
         _money_text(F.col("l_extendedprice") + F.lit(100) * F.col("l_quantity")).alias(SNAKE.salary_to),
         freq.alias(SNAKE.salary_frequency),
-        "l_quantity", "l_extendedprice", "l_shipdate", "n_name", "p_name", "p_brand", "p_type", "p_size")
+        "l_quantity", "l_extendedprice", "l_shipdate", "n_name", "p_name", "p_brand", "p_type", "p_size"]
 
 
 def _day_text() -> Column:
@@ -140,13 +166,10 @@ def _day_text() -> Column:
 
 def postings_from_lines(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw postings (snake_case names, all text like the CSV) from the lines."""
-    # One date per order key.  Declaring the key unique this way lets the
-    # optimizer drop the left join altogether in plans that never read the
-    # order date (most KPIs), so ``orders`` is not even scanned for them.
-    orders = (fact_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
-              .groupBy("o_orderkey").agg(F.max("o_orderdate").alias("o_orderdate")))
-    j = lines.join(orders, lines[SNAKE.job_id] == orders.o_orderkey, "left")
+    return _with_order_date(lines, SNAKE.job_id, spark, sf_dir).select(*_posting_columns())
+
 
+def _posting_columns() -> list[Column | str]:
     pk = F.col("part_key")
     sep = _pick(CATEGORY_SEPARATORS, pk)
     category = F.when(pk % 17 == 0, F.lit(None).cast("string")).otherwise(
@@ -154,7 +177,7 @@ def postings_from_lines(lines: DataFrame, spark: SparkSession, sf_dir: str) -> D
     preferred = F.replace(_pick(PREFERRED_TEXTS, pk), F.lit("{name}"), F.col("p_name"))
     order_ts = F.date_format("o_orderdate", ISO_FORMAT)
 
-    return j.select(
+    return [
         SNAKE.job_id,
         F.col("n_name").alias(SNAKE.agency),
         F.col("p_name").alias(SNAKE.business_title),
@@ -171,7 +194,7 @@ def postings_from_lines(lines: DataFrame, spark: SparkSession, sf_dir: str) -> D
         order_ts.alias(SNAKE.posting_updated),
         order_ts.alias(SNAKE.process_date),
         "line_number", "part_key", "supp_key",
-    )
+    ]
 
 
 def postings_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +202,22 @@ def postings_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings_from_lines(lines_from_tpch(spark, sf_dir), spark, sf_dir)
 
 
+def postings_in_steps(spark: SparkSession, sf_dir: str, store: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The rows of ``postings_from_tpch`` for a plan that reads every column of every
+    line: ``store`` (rows and a name -> the same rows, stored) after each join.
+
+    A line is then dealt out by one key at a time, so the disk holds one shuffle
+    beside the table before it, not all of them.  Names come last, and the texts of
+    a posting are written as the stored rows are read: no shuffle of lines moves one,
+    and the columns of a part are stored in the order of its key.
+    """
+    j = _lineitem(spark, sf_dir)
+    j = store(_with_order_date(j, "l_orderkey", spark, sf_dir), "lines-dated")
+    j = store(_with_supplier(j, spark, sf_dir), "lines-supplied")
+    j = store(_with_nation(_with_part(j, spark, sf_dir), spark, sf_dir), "lines-named")
+    return j.select(*_line_columns(), "o_orderdate").select(*_posting_columns())
+
+
 def postings_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as postings: long free text, source as agency, size as pay.
 
